@@ -38,9 +38,7 @@ def upsert_latest(
     return latest_per_key(target.unionByName(batch), keys, order)
 
 
-def upsert_counts(
-    target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str]
-) -> DataFrame:
+def upsert_counts(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: keys inserted, keys modified, and their sum."""
     known = target.select(*keys, F.lit(True).alias("__known")).distinct()
     new = batch.select(*keys).distinct().join(known, list(keys), "left")

@@ -27,9 +27,9 @@ def unique(df: DataFrame, col: str) -> DataFrame:
 
 
 def null_counts(df: DataFrame, cols: Sequence[str], where=None) -> DataFrame:
-    """NULLs per column, all columns in one pass: (column, failures)."""
+    """NULLs per column, all columns in one pass: (column_name, failures)."""
     counts = _where(df, where).agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in cols])
-    return counts.unpivot([], list(cols), "column", "failures")
+    return counts.unpivot([], list(cols), "column_name", "failures")
 
 
 def not_null(df: DataFrame, cols: Sequence[str], where=None) -> DataFrame:
@@ -177,7 +177,7 @@ def range_check(col: str, lo=None, hi=None, where: Column | None = None) -> RowC
 def run_checks(
     df: DataFrame, row_checks: Sequence[RowCheck], frame_checks: Sequence[FrameCheck] = ()
 ) -> DataFrame:
-    """(test, column, severity, failures), every row test of the table in one scan."""
+    """(test, column_name, severity, failures), every row test of the table in one scan."""
     counts = df.agg(
         *[F.count(F.when(c.fails, 1)).alias(f"c{i}") for i, c in enumerate(row_checks)]
     )
@@ -185,7 +185,7 @@ def run_checks(
         *[
             F.struct(
                 F.lit(c.test).alias("test"),
-                F.lit(c.column).alias("column"),
+                F.lit(c.column).alias("column_name"),
                 F.lit(c.severity).alias("severity"),
                 F.col(f"c{i}").alias("failures"),
             )
@@ -197,7 +197,7 @@ def run_checks(
         results.append(
             c.failing.agg(F.count(F.lit(1)).alias("failures")).select(
                 F.lit(c.test).alias("test"),
-                F.lit(c.column).alias("column"),
+                F.lit(c.column).alias("column_name"),
                 F.lit(c.severity).alias("severity"),
                 "failures",
             )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,17 +30,14 @@ HORIZON_FRAME = 100
 DAY_ROWS = 48
 
 
-def series_order() -> list[Column]:
-    """Order of the series inside current / historical versions, ties broken (K2)."""
-    return [F.col("data_from_dttm").asc(), F.col("forecast_made_at").asc(), F.col("source_id").asc()]
-
-
-def made_order() -> list[Column]:
-    return [F.col("forecast_made_at").asc(), F.col("data_from_dttm").asc(), F.col("source_id").asc()]
+# total orders of the row frames, ties broken (K2)
+SERIES_ORDER = ("data_from_dttm", "forecast_made_at", "source_id")
+MADE_ORDER = ("forecast_made_at", "data_from_dttm", "source_id")
+ACCURACY_ORDER = ("data_from_dttm", "forecast_made_at", "fact_key")
 
 
-def accuracy_order() -> list[Column]:
-    return [F.col("data_from_dttm").asc(), F.col("forecast_made_at").asc(), F.col("fact_key").asc()]
+def ascending(names: Sequence[str]) -> list[Column]:
+    return [F.col(n).asc() for n in names]
 
 
 def fact_base(history: DataFrame) -> DataFrame:
@@ -76,7 +75,7 @@ def with_series_windows(df: DataFrame, cfg: Settings) -> DataFrame:
     frames = {name: mean(rows) for name, rows in MOVING.items()}
     frames["__prev"] = lambda w: F.lag("forecast_intensity").over(w)
     out = ordered(
-        df, ["is_current_version"], series_order(), frames, cfg, before=max(MOVING.values()) - 1
+        df, ["is_current_version"], ascending(SERIES_ORDER), frames, cfg, before=max(MOVING.values()) - 1
     )
     step = value - F.col("__prev")
     return out.withColumns(
@@ -116,7 +115,7 @@ def with_horizon_error(df: DataFrame, cfg: Settings) -> DataFrame:
     frames = {
         "avg_error_for_horizon": lambda w: F.avg("__gap").over(w.rowsBetween(-HORIZON_FRAME, 0))
     }
-    return ordered(banded, ["__band"], made_order(), frames, cfg, before=HORIZON_FRAME).drop(
+    return ordered(banded, ["__band"], ascending(MADE_ORDER), frames, cfg, before=HORIZON_FRAME).drop(
         "__band", "__gap"
     )
 
@@ -196,7 +195,7 @@ def with_error_windows(df: DataFrame, cfg: Settings) -> DataFrame:
         "__prev": lambda w: F.lag("absolute_error").over(w),
     }
     out = ordered(
-        df, ["forecast_horizon_category"], accuracy_order(), frames, cfg, before=DAY_ROWS - 1
+        df, ["forecast_horizon_category"], ascending(ACCURACY_ORDER), frames, cfg, before=DAY_ROWS - 1
     )
     better = F.coalesce(F.col("absolute_error") < F.col("__prev"), F.lit(False))
     return out.withColumn("is_improving", better).drop("__prev")

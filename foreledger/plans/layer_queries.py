@@ -22,6 +22,8 @@ from foreledger.plans.dwh import (
 )
 from foreledger.plans.marts import (
     analytics_join,
+    date_words,
+    day_words,
     last_days,
     min_hourly_avg,
     peak_stats,
@@ -638,21 +640,23 @@ def _(run):
 
 @query("date_text", "data_date date_formatted week_of_year")
 def _(run):
-    return run.report
+    return run.daily.select("data_date").withColumns(date_words())
+
+
+def _compared_days(run):
+    return with_day_comparison(report_base(run.mart, run.cfg)).withColumns(day_words())
 
 
 @query("daily_quality", "data_date daily_forecast_quality")
 def _(run):
-    return run.report
+    return _compared_days(run)
 
 
 @query("daily_trend", "data_date short_term_trend")
 def _(run):
-    return run.report
+    return _compared_days(run)
 
 
 @query("daily_advice", "data_date daily_recommendation")
 def _(run):
-    return run.report
-
-
+    return _compared_days(run)

@@ -297,8 +297,26 @@ def with_day_comparison(daily: DataFrame) -> DataFrame:
     )
 
 
+def day_words() -> dict[str, Column]:
+    """Words of a compared day row: forecast quality, trend, advice."""
+    c = F.col
+    day = c("avg_forecast")
+    return {
+        "daily_forecast_quality": bands(c("avg_absolute_error"), "<=", DAILY_QUALITY),
+        "short_term_trend": trend(day, c("ma7_forecast"), DAILY_TREND_WORDS),
+        "daily_recommendation": bands(day, "<", DAILY_ADVICE, DAILY_ADVICE_REST),
+    }
+
+
+def date_words() -> dict[str, Column]:
+    """Texts of the date. The second is a week of the month under its customary name (K9)."""
+    day = F.col("data_date")
+    return {"date_formatted": date_text(day), "week_of_year": week_of_month(day)}
+
+
 def daily_report(mart: DataFrame, cfg: Settings) -> DataFrame:
     c = F.col
+    dates, words = date_words(), day_words()
     recent = last_days(mart, "data_date", cfg.as_of, cfg.mart_days)
     days = with_day_comparison(report_base(mart, cfg, day_peak_cols()))
     joined = days.join(top_text(recent), "data_date", "left")
@@ -309,9 +327,7 @@ def daily_report(mart: DataFrame, cfg: Settings) -> DataFrame:
         levels.append(share(c(f"periods_{level}"), c("total_periods"), 1).alias(f"pct_{level}"))
     return joined.select(
         *REPORT_KEYS,
-        date_text(c("data_date")).alias("date_formatted"),
-        # a week-of-month value under the name users query it by (K9)
-        week_of_month(c("data_date")).alias("week_of_year"),
+        *[col.alias(name) for name, col in dates.items()],
         "total_periods",
         "hours_with_data",
         share(c("hours_with_data"), F.lit(24), 1).alias("data_completeness_pct"),
@@ -324,7 +340,7 @@ def daily_report(mart: DataFrame, cfg: Settings) -> DataFrame:
         two("avg_absolute_error").alias("avg_forecast_error"),
         two("avg_error_percent").alias("avg_forecast_error_pct"),
         F.round("avg_accuracy_rate", 1).alias("forecast_accuracy_rate"),
-        bands(c("avg_absolute_error"), "<=", DAILY_QUALITY).alias("daily_forecast_quality"),
+        words["daily_forecast_quality"].alias("daily_forecast_quality"),
         "top_3_peak_hours",
         "top_3_best_hours",
         two("avg_peak_intensity").alias("avg_peak_intensity"),
@@ -336,9 +352,7 @@ def daily_report(mart: DataFrame, cfg: Settings) -> DataFrame:
         two("week_over_week_change").alias("week_over_week_change"),
         two("ma7_forecast").alias("ma7_intensity"),
         two("ma30_forecast").alias("ma30_intensity"),
-        trend(c("avg_forecast"), c("ma7_forecast"), DAILY_TREND_WORDS).alias("short_term_trend"),
-        bands(c("avg_forecast"), "<", DAILY_ADVICE, DAILY_ADVICE_REST).alias(
-            "daily_recommendation"
-        ),
+        words["short_term_trend"].alias("short_term_trend"),
+        words["daily_recommendation"].alias("daily_recommendation"),
         ntz(cfg.as_of).alias("report_generated_at"),
     )

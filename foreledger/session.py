@@ -19,7 +19,7 @@ def scan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a source; a very large number when it has none."""
     try:
         plan = df._jdf.queryExecution().optimizedPlan()
-        return int(plan.stats().sizeInBytes().toString())
+        return int(str(plan.stats().sizeInBytes()))
     except AttributeError:  # a session without a JVM handle
         return 1 << 62
 

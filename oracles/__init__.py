@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from foreledger.plans.registry import QUERIES
-from oracles.layers import BODIES as LAYERS
+from oracles import checks, layers, loads, mart
 from oracles.sql import query
 
 
 def build() -> dict[str, str]:
-    bodies = dict(LAYERS)
+    bodies = layers.BODIES | loads.BODIES | checks.BODIES | mart.BODIES
     return {
-        name: query(QUERIES[name].spec, reads, body)
-        for name, (reads, body) in bodies.items()
-        if name in QUERIES
+        name: query(QUERIES[name].spec, reads, body) for name, (reads, body) in bodies.items()
     }

@@ -522,3 +522,52 @@ def query(spec: str, reads: str, body: str) -> str:
     ctes = [f"{name} AS ({TABLES[name][1]})" for name in needed(reads.split())]
     head = "WITH " + ", ".join(ctes) + " " if ctes else ""
     return f"{head}SELECT {output(spec)} FROM ({body}) AS answer"
+
+
+# ---- the state at the cut: what an earlier load had seen -------------------
+
+CUT = "TIMESTAMP '2024-01-20'"
+table("obs_old", "obs", f"SELECT * FROM obs WHERE created_at < {CUT}")
+table("obs_new", "obs", f"SELECT * FROM obs WHERE created_at >= {CUT}")
+table("changed_old", "obs_old", _CHANGED.format(source="obs_old"))
+table("raw_old", "changed_old", _VERSIONS.format(source="changed_old"))
+
+
+def earlier(name: str, base: str, body: str, now: bool = False) -> None:
+    """The same layer over the earlier load: its source table renamed, its clock at the cut."""
+    old = body.replace(f"FROM {base} ", f"FROM {base}_old ").replace(
+        f"FROM {base}\n", f"FROM {base}_old\n"
+    )
+    if old.endswith(f"FROM {base}"):
+        old += "_old"
+    if now:
+        old = old.replace(AS_OF, CUT)
+    table(f"{name}_old", f"{base}_old", old)
+
+
+earlier("stg_all", "raw", TABLES["stg_all"][1], now=True)
+earlier("stg", "stg_all", TABLES["stg"][1])
+earlier("hist", "raw", TABLES["hist"][1])
+earlier("ods", "stg", TABLES["ods"][1])
+table("daily_old", "ods_old", DAILY_BODY.format(source="ods_old"))
+table("fact0_old", "hist_old", FACT_BASE.format(source="hist_old"))
+table("fact1_old", "fact0_old", FACT_WINDOWS.format(source="fact0_old"))
+table("fact_old", "fact1_old", FACT_FINAL.format(source="fact1_old"))
+# new rows only, so their windows start over
+table(
+    "fact0_new",
+    "fact0 hist_old",
+    "SELECT * FROM fact0 WHERE processed_dttm > (SELECT max(processed_dttm) FROM hist_old)",
+)
+table("fact1_new", "fact0_new", FACT_WINDOWS.format(source="fact0_new"))
+table("fact_new", "fact1_new", FACT_FINAL.format(source="fact1_new"))
+table(
+    "batch",
+    "obs_new",
+    """
+    SELECT * FROM obs_new
+    QUALIFY row_number() OVER (PARTITION BY data_from_dttm, data_to_dttm
+        ORDER BY created_at DESC, forecast_intensity DESC NULLS LAST,
+                 actual_intensity DESC NULLS LAST, index_forecast DESC) = 1""",
+)
+table("month", "mart", f"SELECT * FROM mart WHERE data_date >= {AS_OF_DAY} - 30")
