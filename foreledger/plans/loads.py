@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foreledger.config import Settings
-from foreledger.functions.scalars import horizon_band, truncate
+from foreledger.functions.scalars import horizon_band, ntz, truncate
 from foreledger.operators.incremental import (
     delete_insert,
     lookback,
@@ -63,12 +64,19 @@ def load_fact(target: DataFrame, history: DataFrame, cfg: Settings) -> DataFrame
     new = since(history, target, "processed_dttm", "processed_dttm", cfg.start_date)
     if cfg.windows_restart_per_load:
         return target.unionByName(fact(new, cfg))
-    start = new.agg(truncate(F.min("data_from_dttm"), "week").alias("__start"))
-    fresh = facts_from(history, start, cfg)
-    before = cross_scalar(target, start).filter(
-        F.col("__start").isNull() | (F.col("data_from_dttm") < F.col("__start"))
-    )
-    return before.drop("__start").unionByName(fresh)
+    start = first_week(new)
+    if start is None:
+        return target
+    kept = target.filter(F.col("data_from_dttm") < ntz(start))
+    return kept.unionByName(facts_from(history, start, cfg))
+
+
+def first_week(rows: DataFrame) -> dt.datetime | None:
+    """Monday of the earliest period among `rows`: the one value fetched to steer a load.
+
+    As a literal it prunes partitions and reaches the scan.
+    """
+    return rows.agg(truncate(F.min("data_from_dttm"), "week")).first()[0]
 
 
 def _with_halo(rows: DataFrame, inside, keys, order, n: int) -> DataFrame:
@@ -83,31 +91,29 @@ def _with_halo(rows: DataFrame, inside, keys, order, n: int) -> DataFrame:
     return rows.filter(inside).unionByName(earlier)
 
 
-def facts_from(history: DataFrame, start: DataFrame, cfg: Settings) -> DataFrame:
-    """Facts of the periods from `start` (a one-row table) on, as a full rebuild gives them.
+def facts_from(history: DataFrame, start: dt.datetime, cfg: Settings) -> DataFrame:
+    """Facts of the periods from `start` (a Monday) on, as a full rebuild gives them.
 
     Day ranks and week ranges lie inside the weeks. The row frames need the last
     rows before `start`: per version kind for the moving averages, per horizon
     band, in order of making, for the horizon error.
     """
     rows = settle(fact_base(history), cfg, "fact-base")
-    marked = cross_scalar(rows, start).filter(F.col("__start").isNotNull())
-    inside = F.col("data_from_dttm") >= F.col("__start")
-    wanted = marked.filter(inside).drop("__start")
+    inside = F.col("data_from_dttm") >= ntz(start)
+    wanted = rows.filter(inside)
 
     ranged = with_weekly_range(with_daily_ranks(wanted, cfg), cfg, source=wanted)
 
     series = _with_halo(
-        marked, inside, ["is_current_version"], SERIES_ORDER, max(MOVING.values()) - 1
+        rows, inside, ["is_current_version"], SERIES_ORDER, max(MOVING.values()) - 1
     )
     series = with_series_windows(series, cfg).filter(inside)
 
-    first_made = wanted.agg(F.min("forecast_made_at").alias("__made"))
-    made = cross_scalar(rows, first_made).filter(F.col("__made").isNotNull())
+    made = cross_scalar(rows, wanted.agg(F.min("forecast_made_at").alias("__made")))
     late = F.col("forecast_made_at") >= F.col("__made")
     banded = made.withColumn("__h", horizon_band(F.col("forecast_horizon_hours")))
     horizon = _with_halo(banded, late, ["__h"], MADE_ORDER, HORIZON_FRAME)
-    horizon = with_horizon_error(horizon, cfg)
+    horizon = with_horizon_error(horizon, cfg).filter(inside)
 
     series_cols = [
         *MOVING,
@@ -117,9 +123,7 @@ def facts_from(history: DataFrame, start: DataFrame, cfg: Settings) -> DataFrame
     joined = ranged.join(series.select("fact_key", *series_cols), "fact_key").join(
         horizon.select("fact_key", "avg_error_for_horizon"), "fact_key"
     )
-    return joined.withColumns(derived_fact_cols()).withColumn(
-        "updated_at", F.lit(cfg.as_of).cast("timestamp_ntz")
-    )
+    return joined.withColumns(derived_fact_cols()).withColumn("updated_at", ntz(cfg.as_of))
 
 
 def load_accuracy(target: DataFrame, facts: DataFrame, cfg: Settings) -> DataFrame:
@@ -132,25 +136,20 @@ def load_accuracy(target: DataFrame, facts: DataFrame, cfg: Settings) -> DataFra
     if cfg.windows_restart_per_load:
         new = since(facts, target, "data_from_dttm", "data_from_dttm", cfg.start_date)
         return target.unionByName(forecast_accuracy(new, cfg))
-    new = not_loaded(facts.filter("actual_intensity IS NOT NULL"), target, "fact_key")
-    start = new.agg(F.min("data_from_dttm").alias("__start"))
-    return accuracy_from(target, facts, start, cfg)
-
-
-def accuracy_from(
-    target: DataFrame, facts: DataFrame, start: DataFrame, cfg: Settings
-) -> DataFrame:
-    """Rebuild accuracy from the week of `start` on, with the rows before it as context."""
-    week = start.select(truncate(F.col("__start"), "week").alias("__start"))
-    done = cross_scalar(facts.filter("actual_intensity IS NOT NULL"), week)
-    inside = F.col("data_from_dttm") >= F.col("__start")
-    known = done.filter(F.col("__start").isNotNull())
-    context = _with_halo(
-        known, inside, ["forecast_horizon_category"], ACCURACY_ORDER, DAY_ROWS
-    )
-    fresh = cross_scalar(forecast_accuracy(context.drop("__start"), cfg), week).filter(inside)
-    kept = cross_scalar(target, week).filter(F.col("__start").isNull() | ~inside)
-    return kept.drop("__start").unionByName(fresh.drop("__start"))
+    done = facts.filter("actual_intensity IS NOT NULL")
+    start = first_week(not_loaded(done, target, "fact_key"))
+    if start is None:
+        return target
+    kept = target.filter(F.col("data_from_dttm") < ntz(start))
+    return kept.unionByName(accuracy_from(done, start, cfg))
+
+
+def accuracy_from(done: DataFrame, start: dt.datetime, cfg: Settings) -> DataFrame:
+    """Accuracy of the completed versions from `start` on, with the rows before as context."""
+    inside = F.col("data_from_dttm") >= ntz(start)
+    keys = ["forecast_horizon_category"]
+    context = _with_halo(done, inside, keys, ACCURACY_ORDER, DAY_ROWS)
+    return forecast_accuracy(context, cfg).filter(inside)
 
 
 def compat(cfg: Settings) -> Settings:
