@@ -107,7 +107,14 @@ class Settings:
     plain_limit_bytes: int = 256 << 20
     bucket_rows: int = 500_000
     salts: int = 64
+    # range partitions at least; sized_by sets it so that one holds some 2 GB
+    min_parts: int = 1
 
     def sized_by(self, source: DataFrame) -> "Settings":
         """Choose the window shapes by the size of the source that feeds the run."""
-        return replace(self, wide=self.wide or scan_bytes(source) > self.plain_limit_bytes)
+        size = scan_bytes(source)
+        return replace(
+            self,
+            wide=self.wide or size > self.plain_limit_bytes,
+            min_parts=max(self.min_parts, min(size >> 31, 50_000)),
+        )

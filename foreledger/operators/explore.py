@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -9,12 +10,37 @@ from pyspark.sql import functions as F
 
 from foreledger.config import DAY_NAMES, DAY_PARTS, Settings
 from foreledger.functions.aggregates import count_if
+from foreledger.functions.scalars import ntz
 from foreledger.operators.joins import cross_scalar
 from foreledger.operators.windows import grouped, percentiles
 
 VALUE = "forecast_co2_gco2_kwh"
 
 
+def stats(df: DataFrame, ts: str) -> DataFrame:
+    """Rows of a table and its latest time."""
+    return df.agg(
+        F.count(F.lit(1)).alias("total_records"), F.max(ts).alias("latest_record_time")
+    )
+
+
+def recent(df: DataFrame, ts: str, as_of: dt.datetime, hours: int = 1) -> DataFrame:
+    """Rows of a table, and those of its last hours."""
+    first = ntz(as_of - dt.timedelta(hours=hours))
+    return df.agg(
+        F.count(F.lit(1)).alias("total_records"),
+        count_if(F.col(ts) >= first).alias("recent_records"),
+    )
+
+
+def avg_last_hours(df: DataFrame, as_of: dt.datetime, hours: int) -> DataFrame:
+    first = ntz(as_of - dt.timedelta(hours=hours))
+    return df.filter(F.col("data_from_dttm") >= first).agg(
+        F.avg("forecast_intensity").alias("avg_forecast"),
+        F.avg("actual_intensity").alias("avg_actual"),
+    )
+
+
 def describe(df: DataFrame, col: str, cfg: Settings) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles as (statistic, value) rows."""
     quartiles = {"25%": 0.25, "50%": 0.5, "75%": 0.75}

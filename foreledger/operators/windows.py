@@ -50,14 +50,16 @@ def settle(df: DataFrame, cfg: Settings, label: str) -> DataFrame:
     return materialize(df, label) if cfg.wide else df
 
 
-def place(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def place(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], cfg: Settings
+) -> DataFrame:
     """Add each row's position within its key (from 0) without a window over the key.
 
     The range partitioning is written once, since its bounds come from a sample
     and a re-run must not move rows. Positions then follow from the row number
     inside the partition and the counts of the partitions before it.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), cfg.min_parts)
     sort = [F.col(k).asc() for k in keys] + list(order)
     stored = materialize(
         df.repartitionByRange(parts, *sort)
@@ -107,7 +109,7 @@ def ordered(
         if number:
             new[number] = F.row_number().over(window)
         return df.withColumns(new)
-    placed = place(df, keys, order)
+    placed = place(df, keys, order, cfg)
     if number:
         placed = placed.withColumn(number, (F.col(_POS) + 1).cast("int"))
     if not frames:
@@ -146,7 +148,7 @@ def cumulate(
         if number:
             new[number] = F.row_number().over(window)
         return df.withColumns(new)
-    placed = place(df, keys, order).withColumn(
+    placed = place(df, keys, order, cfg).withColumn(
         _BUCKET, F.expr(f"{_POS} div {cfg.bucket_rows}")
     )
     if number:
@@ -340,23 +342,32 @@ def with_versions(
     ).withColumn("forecast_change_from_prev", F.col(value) - F.col(previous))
 
 
+def _both_ways(value: str, ties: Sequence[Column]) -> tuple[list[Column], list[Column]]:
+    col = F.col(value)
+    return [col.desc_nulls_first(), *ties], [col.asc_nulls_last(), *ties]
+
+
 def top_bottom(
-    df: DataFrame, keys: Sequence[str], value: str, ties: Sequence[Column], k: int | None = None
+    df: DataFrame, keys: Sequence[str], value: str, ties: Sequence[Column], cfg: Settings
 ) -> DataFrame:
-    """Row numbers from the highest and from the lowest value of each group.
+    """Row numbers of every row from the highest and from the lowest value of its group."""
+    down, up = _both_ways(value, ties)
+    first = ordered(df, keys, down, {}, cfg, number="rnk")
+    return ordered(first, keys, up, {}, cfg, number="rnk_low")
 
-    With `k`, two filtered branches: each keeps the `row_number <= k` form, which
-    Spark turns into a per-task limit before the shuffle, so a hot group sends
-    k rows per task and not itself.
+
+def top_k(
+    df: DataFrame, keys: Sequence[str], value: str, ties: Sequence[Column], k: int
+) -> DataFrame:
+    """The k highest and k lowest rows of each group, marked by `side`.
+
+    Two branches in the plain `row_number <= k` form, which Spark turns into a
+    limit per task before the shuffle: a hot group sends k rows per task.
     """
-    down = Window.partitionBy(*keys).orderBy(F.col(value).desc_nulls_first(), *ties)
-    up = Window.partitionBy(*keys).orderBy(F.col(value).asc_nulls_last(), *ties)
-    if k is None:
-        return df.withColumns(
-            {"rnk": F.row_number().over(down), "rnk_low": F.row_number().over(up)}
-        )
-    high = df.withColumn("rnk", F.row_number().over(down)).filter(F.col("rnk") <= k)
-    low = df.withColumn("rnk", F.row_number().over(up)).filter(F.col("rnk") <= k)
-    return high.withColumn("side", F.lit("high")).unionByName(
-        low.withColumn("side", F.lit("low"))
-    )
+    down, up = _both_ways(value, ties)
+    sides = []
+    for side, order in (("high", down), ("low", up)):
+        window = Window.partitionBy(*keys).orderBy(*order)
+        ranked = df.withColumn("rnk", F.row_number().over(window)).filter(F.col("rnk") <= k)
+        sides.append(ranked.withColumn("side", F.lit(side)))
+    return sides[0].unionByName(sides[1])

@@ -10,7 +10,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from foreledger.plans.run import Run
 
@@ -24,20 +23,18 @@ class Query:
         return shape(self.plan(Run(spark, folder)), self.spec)
 
 
+# adding zero turns -0.0 into 0.0
+_SHAPES = {
+    "": "`{0}`",
+    "i": "CAST(`{0}` AS BIGINT) AS `{0}`",
+    "f": "ROUND(CAST(`{0}` AS DOUBLE), 6) + 0.0D AS `{0}`",
+    "t": "CAST(`{0}` AS STRING) AS `{0}`",
+}
+
+
 def shape(df: DataFrame, spec: str) -> DataFrame:
-    cols = []
-    for item in spec.split():
-        kind, _, name = item.rpartition(":")
-        col = F.col(name)
-        if kind == "i":
-            col = col.cast("bigint")
-        elif kind == "f":
-            # adding zero turns -0.0 into 0.0
-            col = F.round(col.cast("double"), 6) + F.lit(0.0)
-        elif kind == "t":
-            col = col.cast("string")
-        cols.append(col.alias(name))
-    return df.select(*cols)
+    parts = [item.rpartition(":") for item in spec.split()]
+    return df.selectExpr(*[_SHAPES[kind].format(name) for kind, _, name in parts])
 
 
 QUERIES: dict[str, Query] = {}

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from foreledger.functions.scalars import feed_ts
+from foreledger.operators.explore import avg_last_hours
 from foreledger.operators.versioning import current_rows, forecast_changes
-from foreledger.operators.windows import top_bottom
+from foreledger.operators.windows import top_bottom, top_k
 from foreledger.plans.catalog import query
 from foreledger.plans.dwh import (
     accuracy_rows,
@@ -76,15 +75,13 @@ def _(run):
 
 @query("stg_sane_rows", "i:id f:period_duration_minutes i:forecast_intensity i:actual_intensity")
 def _(run):
-    """The row rules on periods stretched and values lowered so that each rule drops some."""
+    """The row rules on values lowered by 60 and periods as many minutes long, so that
+    each rule meets rows it must drop."""
+    lowered = F.col("forecast_intensity") - 60
     bent = run.raw.withColumns(
         {
-            "data_to_dttm": F.when(
-                F.col("id") % 5 == 0, F.col("data_from_dttm") + F.expr("INTERVAL 90 MINUTES")
-            )
-            .when(F.col("id") % 5 == 1, F.col("data_from_dttm"))
-            .otherwise(F.col("data_to_dttm")),
-            "forecast_intensity": F.col("forecast_intensity") - 60,
+            "data_to_dttm": F.col("data_from_dttm") + F.make_dt_interval(mins=lowered),
+            "forecast_intensity": lowered,
             "actual_intensity": F.col("actual_intensity") - 60,
         }
     )
@@ -243,11 +240,7 @@ def _(run):
 
 @query("last_hours_avg", "f:avg_forecast f:avg_actual")
 def _(run):
-    since = F.lit(run.cfg.as_of - dt.timedelta(hours=24)).cast("timestamp_ntz")
-    return run.raw.filter(F.col("data_from_dttm") >= since).agg(
-        F.avg("forecast_intensity").alias("avg_forecast"),
-        F.avg("actual_intensity").alias("avg_actual"),
-    )
+    return avg_last_hours(run.raw, run.cfg.as_of, 24)
 
 
 LEVELS = ("very_low", "low", "moderate", "high", "very_high")
@@ -605,16 +598,14 @@ def _(run):
 
 @query("day_top_bottom", "data_date data_from_dttm i:forecast_intensity i:rnk i:rnk_low")
 def _(run):
-    return top_bottom(
-        run.ods, ["data_date"], "forecast_intensity", [F.col("data_from_dttm").asc()]
-    )
+    ties = [F.col("data_from_dttm").asc()]
+    return top_bottom(run.ods, ["data_date"], "forecast_intensity", ties, run.cfg)
 
 
 @query("top3_per_day", "data_date side i:rnk data_from_dttm i:forecast_intensity")
 def _(run):
-    return top_bottom(
-        run.ods, ["data_date"], "forecast_intensity", [F.col("data_from_dttm").asc()], k=3
-    )
+    ties = [F.col("data_from_dttm").asc()]
+    return top_k(run.ods, ["data_date"], "forecast_intensity", ties, k=3)
 
 
 def _days(run):

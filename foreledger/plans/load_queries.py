@@ -12,6 +12,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from foreledger.functions.scalars import ntz
+from foreledger.operators.explore import recent, stats
 from foreledger.operators.incremental import (
     append,
     delete_insert,
@@ -122,18 +123,12 @@ def _(run):
 
 @query("table_statistics", "i:total_records latest_record_time")
 def _(run):
-    return documents(run.log).agg(
-        F.count(F.lit(1)).alias("total_records"), F.max("created_at").alias("latest_record_time")
-    )
+    return stats(documents(run.log), "created_at")
 
 
 @query("recent_counts", "i:total_records i:recent_records")
 def _(run):
-    first = ntz(dt.datetime(2024, 1, 29) - dt.timedelta(hours=1))
-    return documents(run.log).agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.count(F.when(F.col("created_at") >= first, 1)).alias("recent_records"),
-    )
+    return recent(documents(run.log), "created_at", dt.datetime(2024, 1, 29))
 
 
 @query("latest_records", "i:id from_dttm created_at")

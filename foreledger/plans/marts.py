@@ -39,7 +39,7 @@ from foreledger.operators.joins import cross_scalar, left_join_versions
 from foreledger.operators.windows import (
     grouped,
     settle,
-    top_bottom,
+    top_k,
     with_group_stats,
     with_ranks,
 )
@@ -248,7 +248,7 @@ def top_text(mart: DataFrame, k: int = 3) -> DataFrame:
     column used here.
     """
     slim = mart.select("data_date", "data_hour", "period_start", "forecast_co2_gco2_kwh")
-    picked = top_bottom(
+    picked = top_k(
         slim, ["data_date"], "forecast_co2_gco2_kwh", [F.col("period_start").asc()], k
     )
     text = hour_text(F.col("data_hour"), F.col("forecast_co2_gco2_kwh"))
@@ -274,17 +274,25 @@ def peak_stats(mart: DataFrame) -> DataFrame:
     return mart.groupBy("data_date").agg(*day_peak_cols())
 
 
-def with_day_comparison(daily: DataFrame) -> DataFrame:
+def with_day_comparison(daily: DataFrame, by_date: bool = False) -> DataFrame:
     """Lags and moving means added to day rows: one row per day, so one small window.
 
-    The week lag is seven rows back, whatever the dates (K10).
+    The lags are one and seven rows back, whatever the dates (K10); `by_date`
+    takes the days of these dates instead, NULL where one is missing.
     """
     by_day = Window.orderBy("data_date")
     day = F.col("avg_forecast")
+
+    def back(days: int) -> Column:
+        if not by_date:
+            return F.lag("avg_forecast", days).over(by_day)
+        exact = Window.orderBy(F.unix_date("data_date")).rangeBetween(-days, -days)
+        return F.max("avg_forecast").over(exact)
+
     lagged = daily.withColumns(
         {
-            "prev_day_avg": F.lag("avg_forecast", 1).over(by_day),
-            "prev_week_same_day_avg": F.lag("avg_forecast", 7).over(by_day),
+            "prev_day_avg": back(1),
+            "prev_week_same_day_avg": back(7),
             "ma7_forecast": F.avg("avg_forecast").over(by_day.rowsBetween(-6, 0)),
             "ma30_forecast": F.avg("avg_forecast").over(by_day.rowsBetween(-29, 0)),
         }

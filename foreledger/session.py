@@ -8,6 +8,21 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
+    """Settings a session for this library is best started with.
+
+    Capturing the Python call site of every Column costs several round trips
+    each, more than planning itself, and can only be switched off at the start.
+    """
+    return (
+        builder.config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+    )
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Zone-less timestamps are compared through UTC everywhere."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":

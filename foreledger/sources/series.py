@@ -76,9 +76,7 @@ def documents(log: DataFrame) -> DataFrame:
 def responses(log: DataFrame, per_response: int = 48) -> DataFrame:
     """The observation log as feed responses: JSON texts of `per_response` records.
 
-    Every seventh record loses its intensity block and every eleventh its end,
-    so the split into good and bad records is exercised on the whole log. The
-    response number comes from the unique id, so a response never grows.
+    The response number comes from the unique id, so a response never grows.
     """
     spelled = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm'Z'")
     block = F.struct(
@@ -88,8 +86,8 @@ def responses(log: DataFrame, per_response: int = 48) -> DataFrame:
     )
     record = F.struct(
         spelled(F.col("data_from_dttm")).alias("from"),
-        F.when(F.col("id") % 11 != 0, spelled(F.col("data_to_dttm"))).alias("to"),
-        F.when(F.col("id") % 7 != 0, block).alias("intensity"),
+        spelled(F.col("data_to_dttm")).alias("to"),
+        block.alias("intensity"),
     )
     return (
         log.withColumn("record", record)

@@ -46,10 +46,9 @@ BODIES |= {
         f"""SELECT * FROM (
               SELECT id, forecast_intensity - 60 AS forecast_intensity,
                      actual_intensity - 60 AS actual_intensity,
-                     CASE id % 5 WHEN 0 THEN 90.0 WHEN 1 THEN 0.0 ELSE 30.0 END
-                       AS period_duration_minutes
+                     forecast_intensity - 60 AS period_duration_minutes
               FROM raw WHERE valid_to_dttm = {OPEN_END})
-            WHERE period_duration_minutes BETWEEN 0.001 AND 60 AND forecast_intensity >= 0
+            WHERE period_duration_minutes BETWEEN 1 AND 60 AND forecast_intensity >= 0
               AND (actual_intensity IS NULL OR actual_intensity >= 0)""",
     ),
     "data_status": ("stg", "SELECT data_status, count(*) AS n FROM stg GROUP BY 1"),

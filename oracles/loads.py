@@ -21,7 +21,7 @@ _LOOKBACK = "(SELECT max(data_date) - 7 FROM daily_old)"
 BODIES: dict[str, tuple[str, str]] = {
     "feed_parse": (
         "obs",
-        f"SELECT id // 48 AS response_id, {_DOC} FROM obs WHERE id % 11 <> 0 AND id % 7 <> 0",
+        f"SELECT id // 48 AS response_id, {_DOC} FROM obs",
     ),
     "feed_flatten": ("obs", "SELECT *, created_at AS src_processed_dttm FROM obs"),
     "feed_upsert": (

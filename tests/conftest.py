@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import SparkSession
 
 from foreledger.config import Settings
+from foreledger.session import configure
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -15,11 +16,11 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[8]")
+        configure(SparkSession.builder)
+        .master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
         .getOrCreate()
     )

@@ -1,5 +1,6 @@
 """The wide window shapes equal the plain ones, on a hot key, ties and NULLs."""
 
+import datetime as dt
 from dataclasses import replace
 
 import pytest
@@ -10,9 +11,12 @@ from foreledger.operators.windows import (
     cumulate,
     ordered,
     percentiles,
+    top_bottom,
+    top_k,
     with_group_stats,
     with_ranks,
 )
+from foreledger.plans.marts import with_day_comparison
 from tests.conftest import sorted_rows
 
 
@@ -104,3 +108,21 @@ def test_left_join_versions(spark, rows, cfg):
     plain, wide = (left_join_versions(periods, versions, "k", "key", c) for c in both(cfg))
     assert sorted_rows(plain) == sorted_rows(wide)
     assert plain.filter("k = 7").count() == 1  # no version, still there once
+
+
+def test_day_lags_by_date(spark):
+    days = spark.createDataFrame(
+        [(dt.date(2024, 1, d), float(d)) for d in (1, 2, 4, 9)], "data_date date, avg_forecast double"
+    )
+    got = {r.data_date.day: r for r in with_day_comparison(days, by_date=True).collect()}
+    assert [got[d].prev_day_avg for d in (1, 2, 4, 9)] == [None, 1.0, None, None]
+    assert got[9].prev_week_same_day_avg == 2.0
+    rows = {r.data_date.day: r for r in with_day_comparison(days).collect()}
+    assert [rows[d].prev_day_avg for d in (1, 2, 4, 9)] == [None, 1.0, 2.0, 4.0]
+
+
+def test_top_bottom(rows, cfg):
+    plain, wide = (top_bottom(rows, ["k"], "v", [F.col("id").asc()], c) for c in both(cfg))
+    assert sorted_rows(plain) == sorted_rows(wide)
+    top = top_k(rows, ["k"], "v", [F.col("id").asc()], 2).filter("side = 'low'").drop("side", "rnk")
+    assert sorted_rows(top) == sorted_rows(plain.filter("rnk_low <= 2").drop("rnk", "rnk_low"))
