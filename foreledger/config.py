@@ -106,7 +106,6 @@ class Settings:
     wide: bool = False
     plain_limit_bytes: int = 256 << 20
     bucket_rows: int = 500_000
-    salts: int = 64
     # range partitions at least; sized_by sets it so that one holds some 2 GB
     min_parts: int = 1
 

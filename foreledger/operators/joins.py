@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foreledger.config import Settings
+from foreledger.session import materialize
 
 
 def cross_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -19,20 +20,30 @@ def left_join_versions(
     """periods LEFT JOIN versions, where `key` is unique among periods only.
 
     AQE cannot split the right side of a left join, so a period with very many
-    versions would be one task. In the wide shape versions are salted by
-    `spread_by`, and each period is repeated once per salt that really occurs
-    for it; that never makes more rows than the join returns.
+    versions would be one task. In the wide shape the versions of such periods
+    are salted by `spread_by`, a salt for every `cfg.bucket_rows` of them, and
+    the period is repeated once per salt that really occurs. Everything else
+    joins as it is. The hot periods are few by construction (rows / bucket_rows
+    at most) and written, so the planner knows their size.
     """
     if not cfg.wide:
         return periods.join(versions, key, "left")
-    salt = F.pmod(F.xxhash64(spread_by), F.lit(cfg.salts))
-    salted = versions.withColumn("__salt", salt)
-    present = salted.groupBy(key, "__salt").agg(F.count(F.lit(1)).alias("__n")).drop("__n")
-    return (
-        periods.join(present, key, "left")
-        .join(salted, [key, "__salt"], "left")
-        .drop("__salt")
+    counts = versions.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    salts = F.ceil(F.col("__n") / F.lit(cfg.bucket_rows))
+    hot = materialize(
+        counts.filter(F.col("__n") > cfg.bucket_rows).select(key, salts.alias("__salts")), "hot"
     )
+    own = F.pmod(F.xxhash64(spread_by), F.col("__salts"))
+    salted = versions.join(hot, key, "left").withColumn(
+        "__salt", F.when(F.col("__salts").isNotNull(), own).otherwise(F.lit(0))
+    )
+    present = materialize(
+        salted.filter(F.col("__salts").isNotNull()).select(key, "__salt").distinct(), "salts"
+    )
+    spread = periods.join(present, key, "left").withColumn(
+        "__salt", F.coalesce("__salt", F.lit(0))
+    )
+    return spread.join(salted.drop("__salts"), [key, "__salt"], "left").drop("__salt")
 
 
 def orphans(

@@ -16,13 +16,14 @@ ordinary window. The wide shape (`cfg.wide`) never gathers a key in one task:
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from foreledger.config import Settings
-from foreledger.session import materialize
+from foreledger.session import materialize, scan_bytes
 
 _SEQ, _POS, _PART, _BUCKET, _HOME = "__seq", "__pos", "__part", "__bucket", "__home"
 # monotonically_increasing_id keeps the partition in the bits above this one
@@ -207,6 +208,20 @@ def with_group_stats(
     return attach(df, materialize(stats, "groups"), keys)
 
 
+def histogram(
+    df: DataFrame, keys: Sequence[str], value: str, cfg: Settings
+) -> tuple[DataFrame, Settings]:
+    """Written counts per (key, value), and the settings its own windows should use.
+
+    A value with few distinct values gives a small histogram, whose written size
+    is known; only a large one needs the wide shapes again.
+    """
+    counts = materialize(
+        df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n")), "histogram"
+    )
+    return counts, replace(cfg, wide=scan_bytes(counts) > cfg.plain_limit_bytes)
+
+
 def with_ranks(
     df: DataFrame,
     keys: Sequence[str],
@@ -226,15 +241,15 @@ def with_ranks(
             order = col.desc_nulls_first() if descending else col.asc_nulls_last()
             new[name] = make[kind]().over(Window.partitionBy(*keys).orderBy(order))
         return df.withColumns(new)
-    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    counts, shapes = histogram(df, keys, value, cfg)
     up_to = cumulate(
-        counts, keys, [F.col(value).asc_nulls_last()], {"__upto": F.col("__n")}, cfg, "__no"
+        counts, keys, [F.col(value).asc_nulls_last()], {"__upto": F.col("__n")}, shapes, "__no"
     )
     spread = with_group_stats(
-        settle(up_to, cfg, "histogram"),
+        settle(up_to, shapes, "running"),
         keys,
         {"__rows": F.sum("__n"), "__values": F.count(F.lit(1))},
-        cfg,
+        shapes,
     )
     below = F.col("__upto") - F.col("__n")
     above = F.col("__rows") - F.col("__upto")
@@ -265,14 +280,10 @@ def percentiles(
         return df.groupBy(*keys).agg(
             *[F.percentile(value, p).alias(name) for name, p in points.items()]
         )
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
-    up_to = cumulate(counts, keys, [F.col(value).asc()], {"__upto": F.col("__n")}, cfg)
+    counts, shapes = histogram(df.filter(F.col(value).isNotNull()), keys, value, cfg)
+    up_to = cumulate(counts, keys, [F.col(value).asc()], {"__upto": F.col("__n")}, shapes)
     known = with_group_stats(
-        settle(up_to, cfg, "histogram"), keys, {"__rows": F.sum("__n")}, cfg
+        settle(up_to, shapes, "running"), keys, {"__rows": F.sum("__n")}, shapes
     )
     cols = []
     for name, p in points.items():

@@ -39,8 +39,9 @@ def rows(spark):
     )
 
 
-def both(cfg, size=17):
-    return cfg, replace(cfg, wide=True, bucket_rows=size)
+def both(cfg, size=17, limit=0):
+    """Plain and wide settings; a limit of 0 makes histograms wide as well."""
+    return cfg, replace(cfg, wide=True, bucket_rows=size, plain_limit_bytes=limit)
 
 
 @pytest.mark.parametrize("size", [3, 17, 1000])
@@ -75,7 +76,8 @@ def test_cumulate(rows, cfg):
     assert sorted_rows(plain) == sorted_rows(wide)
 
 
-def test_ranks(rows, cfg):
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_ranks(rows, cfg, limit):
     kinds = {
         "r": ("rank", True),
         "r_up": ("rank", False),
@@ -84,13 +86,14 @@ def test_ranks(rows, cfg):
         "p": ("percent_rank", False),
         "p_down": ("percent_rank", True),
     }
-    plain, wide = (with_ranks(rows, ["k"], "v", kinds, c) for c in both(cfg, 4))
+    plain, wide = (with_ranks(rows, ["k"], "v", kinds, c) for c in both(cfg, 4, limit))
     assert sorted_rows(plain) == sorted_rows(wide)
 
 
-def test_percentiles(rows, cfg):
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_percentiles(rows, cfg, limit):
     points = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p90": 0.9, "p100": 1.0}
-    plain, wide = (percentiles(rows, ["k"], "v", points, c) for c in both(cfg, 4))
+    plain, wide = (percentiles(rows, ["k"], "v", points, c) for c in both(cfg, 4, limit))
     known = sorted_rows(wide)
     # a group of NULLs only has no percentile: absent in one shape, NULL in the other
     assert [r for r in sorted_rows(plain) if r[-1] is not None] == known
