@@ -86,12 +86,21 @@ def with_series_windows(df: DataFrame, cfg: Settings) -> DataFrame:
     ).drop("__prev")
 
 
+def _per_kind(unit: Column) -> Column:
+    """Days or weeks of current and of historical versions as one key.
+
+    As two keys, the optimizer moves their windows below the one keyed by the
+    version kind alone and computes them in its two tasks.
+    """
+    return F.struct(unit.alias("unit"), "is_current_version")
+
+
 def with_daily_ranks(df: DataFrame, cfg: Settings) -> DataFrame:
     """Rank and percentile of the forecast within its day."""
-    dated = df.withColumn("__day", F.to_date("data_from_dttm"))
+    dated = df.withColumn("__day", _per_kind(F.to_date("data_from_dttm")))
     ranked = with_ranks(
         dated,
-        ["__day", "is_current_version"],
+        ["__day"],
         "forecast_intensity",
         {
             "daily_intensity_rank": ("rank", True),
@@ -123,10 +132,10 @@ def with_horizon_error(df: DataFrame, cfg: Settings) -> DataFrame:
 def with_weekly_range(
     df: DataFrame, cfg: Settings, source: DataFrame | None = None
 ) -> DataFrame:
-    week = truncate(F.col("data_from_dttm"), "week")
+    week = _per_kind(truncate(F.col("data_from_dttm"), "week"))
     return with_group_stats(
         df.withColumn("__week", week),
-        ["__week", "is_current_version"],
+        ["__week"],
         {
             "weekly_min_intensity": F.min("forecast_intensity"),
             "weekly_max_intensity": F.max("forecast_intensity"),

@@ -13,6 +13,7 @@ from foreledger.plans.dwh import fact, fact_base, forecast_accuracy
 from foreledger.plans.marts import analytics, daily_report
 from foreledger.plans.ods import daily_summary, ods_enrich
 from foreledger.plans.staging import stg_current, stg_history
+from foreledger.session import materialize
 from foreledger.sources.series import observations
 from foreledger.sources.tables import read_table
 
@@ -84,6 +85,11 @@ class Run:
     def mart(self) -> DataFrame:
         return analytics(self.ods, self.accuracy, self.cfg)
 
+    @cached_property
+    def stored_mart(self) -> DataFrame:
+        """The mart as a written table, for plans that read it several times."""
+        return materialize(self.mart, "mart")
+
     @cached_property
     def report(self) -> DataFrame:
-        return daily_report(self.mart, self.cfg)
+        return daily_report(self.stored_mart, self.cfg)
