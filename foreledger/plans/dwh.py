@@ -74,9 +74,8 @@ def with_series_windows(df: DataFrame, cfg: Settings) -> DataFrame:
 
     frames = {name: mean(rows) for name, rows in MOVING.items()}
     frames["__prev"] = lambda w: F.lag("forecast_intensity").over(w)
-    out = ordered(
-        df, ["is_current_version"], ascending(SERIES_ORDER), frames, cfg, before=max(MOVING.values()) - 1
-    )
+    order, back = ascending(SERIES_ORDER), max(MOVING.values()) - 1
+    out = ordered(df, ["is_current_version"], order, frames, cfg, before=back)
     step = value - F.col("__prev")
     return out.withColumns(
         {
@@ -124,9 +123,9 @@ def with_horizon_error(df: DataFrame, cfg: Settings) -> DataFrame:
     frames = {
         "avg_error_for_horizon": lambda w: F.avg("__gap").over(w.rowsBetween(-HORIZON_FRAME, 0))
     }
-    return ordered(banded, ["__band"], ascending(MADE_ORDER), frames, cfg, before=HORIZON_FRAME).drop(
-        "__band", "__gap"
-    )
+    order = ascending(MADE_ORDER)
+    out = ordered(banded, ["__band"], order, frames, cfg, before=HORIZON_FRAME)
+    return out.drop("__band", "__gap")
 
 
 def with_weekly_range(
@@ -203,9 +202,8 @@ def with_error_windows(df: DataFrame, cfg: Settings) -> DataFrame:
         "rolling_24h_accuracy_rate": lambda w: F.avg(hit).over(last(w)) * 100,
         "__prev": lambda w: F.lag("absolute_error").over(w),
     }
-    out = ordered(
-        df, ["forecast_horizon_category"], ascending(ACCURACY_ORDER), frames, cfg, before=DAY_ROWS - 1
-    )
+    order = ascending(ACCURACY_ORDER)
+    out = ordered(df, ["forecast_horizon_category"], order, frames, cfg, before=DAY_ROWS - 1)
     better = F.coalesce(F.col("absolute_error") < F.col("__prev"), F.lit(False))
     return out.withColumn("is_improving", better).drop("__prev")
 

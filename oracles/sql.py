@@ -259,9 +259,6 @@ DAILY_BODY = f"""
           FROM {{source}} GROUP BY ALL)"""
 table("daily", "ods", DAILY_BODY.format(source="ods"))
 
-_SERIES = (
-    "(PARTITION BY is_current_version ORDER BY data_from_dttm, forecast_made_at, source_id {})"
-)
 FACT_BASE = f"""
     SELECT id AS source_id, {key("data_from_dttm", "data_to_dttm")} AS period_key,
            {key("id", "forecast_made_at")} AS fact_key, * EXCLUDE (id),
