@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +23,24 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that tasks can import it."""
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    # on the driver's own disk, from where it serves the archive as long as it runs
+    archive = f"{tempfile.mkdtemp()}/{package.name}-{uuid.uuid4().hex}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, f"{package.name}/{file.relative_to(package)}")
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(application)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """`df` written to the shared folder and read back: survives lost executors."""
     return materialize(df, label)

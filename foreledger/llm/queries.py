@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from foreledger.llm import rules
-from foreledger.llm.common import stored
+from foreledger.llm import rules, secrets, tokens, warc
+from foreledger.llm.common import run_dir, ship, stored
 from foreledger.sources.tables import read_table
 
 
@@ -16,6 +17,31 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.apply_policy(rows, rules.POLICIES[rules.CURRENT])
 
 
+def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    folder = run_dir(spark, "tokens")
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    tokens.write_tokens(read_table(spark, sf_dir, "documents"), vocabulary, folder)
+    return tokens.read_tokens(spark, folder)
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = stored(secrets.scan_unseen(docs, None, "doc_id", "text"), "secret-ledger")
+    return secrets.findings_by_path(docs, found, "doc_id", "text")
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    folder = run_dir(spark, "warc")
+    stored(warc.write_archives(read_table(spark, sf_dir, "pages"), folder), "warc-manifest")
+    return warc.read_archives(spark, folder)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op6_token_ids": op6_token_ids,
+    "op7_secret_scan": op7_secret_scan,
+    "op10_warc": op10_warc,
 }

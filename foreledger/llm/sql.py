@@ -5,7 +5,7 @@ WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents
 ), w AS (
   SELECT rid, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws,
-    list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
   FROM d
 ), windows AS (
   SELECT rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS win
