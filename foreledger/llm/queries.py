@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from foreledger.llm import rules, secrets, tokens, warc
+from foreledger.llm import rules, secrets, simhash, tokens, warc
 from foreledger.llm.common import run_dir, ship, stored
 from foreledger.sources.tables import read_table
 
@@ -17,6 +17,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.apply_policy(rows, rules.POLICIES[rules.CURRENT])
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return simhash.groups(read_table(spark, sf_dir, "documents"))
+
+
 def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     folder = run_dir(spark, "tokens")
@@ -41,6 +46,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_simhash": op3_simhash,
     "op6_token_ids": op6_token_ids,
     "op7_secret_scan": op7_secret_scan,
     "op10_warc": op10_warc,
