@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from foreledger.llm import rules, secrets, simhash, tokens, warc
+from foreledger.llm import mixing, rules, secrets, simhash, tokens, warc
 from foreledger.llm.common import run_dir, ship, stored
 from foreledger.sources.tables import read_table
 
@@ -37,6 +38,19 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.findings_by_path(docs, found, "doc_id", "text")
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mixed(docs).select(
+        "doc_id",
+        "source",
+        F.col("_fl_block").alias("block"),
+        F.col("_fl_cycle").alias("cycle"),
+        F.col("_fl_slot").alias("slot"),
+        F.col("_fl_position").alias("position"),
+        F.col("_fl_place").alias("place"),
+    )
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     folder = run_dir(spark, "warc")
@@ -49,5 +63,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op6_token_ids": op6_token_ids,
     "op7_secret_scan": op7_secret_scan,
+    "op9_mixing": op9_mixing,
     "op10_warc": op10_warc,
 }
