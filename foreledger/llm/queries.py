@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foreledger.llm import mixing, rules, secrets, simhash, tokens, warc
+from foreledger.llm import decontaminate, mixing, rules, secrets, simhash, tokens, warc
 from foreledger.llm.common import run_dir, ship, stored
 from foreledger.sources.tables import read_table
 
@@ -23,6 +23,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(read_table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return decontaminate.passages(docs, items).drop("text_key")
+
+
 def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     folder = run_dir(spark, "tokens")
@@ -61,6 +66,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_simhash": op3_simhash,
+    "op5_decontamination": op5_decontamination,
     "op6_token_ids": op6_token_ids,
     "op7_secret_scan": op7_secret_scan,
     "op9_mixing": op9_mixing,

@@ -37,4 +37,38 @@ WITH d AS (
 SELECT *, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, 'v2' AS policy FROM f
 """
 
-ORACLE: dict[str, str] = {"op1_quality_rules": OP1}
+# every window of an item's size, by exact similarity
+OP5 = r"""
+WITH d AS (
+  SELECT DISTINCT doc_id, text FROM documents
+), dw AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS ws
+  FROM d
+), ds AS (
+  SELECT rid, doc_id, len(ws) - 4 AS n_doc, i - 1 AS place, array_to_string(ws[i:i + 4], ' ') AS s
+  FROM dw, unnest(range(1, len(ws) - 3)) u(i)
+), b AS (
+  SELECT DISTINCT item_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS ws FROM benchmark
+), bs AS (
+  SELECT item_id, len(ws) - 4 AS n, array_to_string(ws[i:i + 4], ' ') AS s
+  FROM b, unnest(range(1, len(ws) - 3)) u(i)
+), bw AS (
+  SELECT item_id, n, s, count(*) AS in_item FROM bs GROUP BY ALL
+), hits AS (
+  SELECT rid, doc_id, n_doc, place, item_id, n, s, in_item FROM ds JOIN bw USING (s)
+), counted AS (
+  SELECT rid, doc_id, item_id, n, start, s, in_item, count(*) AS in_window
+  FROM hits, unnest(range(greatest(place - n + 1, 0), least(place, n_doc - n) + 1)) u(start)
+  GROUP BY ALL
+), shared AS (
+  SELECT rid, doc_id, item_id, n, start, CAST(sum(least(in_window, in_item)) AS BIGINT) AS shared
+  FROM counted GROUP BY ALL
+)
+SELECT doc_id, item_id, CAST(start AS BIGINT) AS window_start, CAST(n AS BIGINT) AS n_shingles,
+  shared, shared / (2 * n - shared) AS similarity
+FROM shared WHERE shared >= 0.8 * (2 * n - shared) - 1e-9
+QUALIFY row_number() OVER (PARTITION BY rid, item_id ORDER BY shared DESC, start) = 1
+"""
+
+ORACLE: dict[str, str] = {"op1_quality_rules": OP1, "op5_decontamination": OP5}
