@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foreledger.llm import decontaminate, mixing, rules, secrets, simhash, tokens, warc
-from foreledger.llm.common import run_dir, ship, stored
+from foreledger.llm import decontaminate, langid, mixing, rules, secrets, simhash, tokens, warc
+from foreledger.llm.common import remainder, run_dir, ship, stored
 from foreledger.sources.tables import read_table
 
 
@@ -18,6 +18,14 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.apply_policy(rows, rules.POLICIES[rules.CURRENT])
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    model = langid.train(docs.where(~held_out))
+    return langid.predicted(docs, model, F.col("doc_id"), held_out.alias("held_out"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return simhash.groups(read_table(spark, sf_dir, "documents"))
@@ -65,6 +73,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_language_id": op2_language_id,
     "op3_simhash": op3_simhash,
     "op5_decontamination": op5_decontamination,
     "op6_token_ids": op6_token_ids,
