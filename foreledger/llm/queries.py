@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foreledger.llm import decontaminate, langid, mixing, rules, secrets, simhash, tokens, warc
+from foreledger.llm import decontaminate, langid, mixing, rules, secrets, simhash, tokens, toxicity, warc
 from foreledger.llm.common import remainder, run_dir, ship, stored
 from foreledger.sources.tables import read_table
 
@@ -51,6 +51,16 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.findings_by_path(docs, found, "doc_id", "text")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    docs, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    held_out = remainder(F.col("doc_id"), 5) == 0
+    model = toxicity.train(docs.where(~held_out), labels)
+    return toxicity.scored(
+        docs, model, F.col("doc_id"), held_out.alias("held_out")
+    ).withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source")
     return mixing.mixed(docs).select(
@@ -78,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
     "op6_token_ids": op6_token_ids,
     "op7_secret_scan": op7_secret_scan,
+    "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_warc": op10_warc,
 }
