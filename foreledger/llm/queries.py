@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foreledger.llm import decontaminate, langid, mixing, rules, secrets, simhash, tokens, toxicity, warc
+from foreledger.llm import decontaminate, langid, mixing, pst, rules, secrets, simhash, tokens, toxicity, warc
 from foreledger.llm.common import remainder, run_dir, ship, stored
 from foreledger.sources.tables import read_table
 
@@ -31,6 +31,15 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(read_table(spark, sf_dir, "documents"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 7) == 2
+    tree, counts, total = pst.train(docs.where(~held_out))
+    rows = pst.scored(docs, tree, counts, F.col("doc_id"), held_out.alias("held_out"))
+    return rows.withColumn("train_tokens", F.lit(total).cast("long"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = (read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
     return decontaminate.passages(docs, items).drop("text_key")
@@ -85,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
     "op3_simhash": op3_simhash,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_decontamination": op5_decontamination,
     "op6_token_ids": op6_token_ids,
     "op7_secret_scan": op7_secret_scan,
