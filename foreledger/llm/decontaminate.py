@@ -36,25 +36,27 @@ def _text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def _shingle_structs(words: Column) -> Column:
-    """Array of structs of five words in a row."""
-    n = F.greatest(F.size(words) - (SHINGLE - 1), F.lit(0))
-    return F.arrays_zip(*[F.slice(words, i + 1, n).alias(f"w{i}") for i in range(SHINGLE)])
+def _hashes(words: str) -> Column:
+    """Hash of each five words in a row of a column of words."""
+    each = F.transform(
+        words, lambda w, i: F.xxhash64(w, *[F.get(words, i + k) for k in range(1, SHINGLE)])
+    )
+    return F.slice(each, 1, F.greatest(F.size(words) - (SHINGLE - 1), F.lit(0)))
 
 
-def _hash(shingle: Column) -> Column:
-    return F.xxhash64(*[shingle[f"w{i}"] for i in range(SHINGLE)])
+def hash_lists(texts: DataFrame, *keys: str) -> DataFrame:
+    """The keys and `hashes`, those of all shingles of `text` in order."""
+    words = texts.select(*keys, words_of(F.lower("text")).alias("words"))
+    return words.select(*keys, _hashes("words").alias("hashes"))
 
 
 def shingles(texts: DataFrame, *keys: str) -> DataFrame:
     """The keys, place and hash of every shingle of `text`, and `n`, how many there are."""
-    lists = texts.select(*keys, words_of(F.lower("text")).alias("words")).select(
-        *keys,
-        (F.size("words") - (SHINGLE - 1)).alias("n"),
-        _shingle_structs(F.col("words")).alias("list"),
-    )
-    each = lists.select(*keys, "n", F.posexplode("list").alias("place", "shingle"))
-    return each.select(*keys, "n", "place", _hash(F.col("shingle")).alias("h"))
+    lists = hash_lists(texts, *keys).select(*keys, F.size("hashes").alias("n"), "hashes")
+    # outer, as the optimizer would filter by the inner form's size where the text is
+    # read, and there split it once more for every word
+    each = lists.select(*keys, "n", F.posexplode_outer("hashes").alias("place", "h"))
+    return each.where("place IS NOT NULL")
 
 
 def fingerprints(each: DataFrame, *keys: str) -> DataFrame:
@@ -141,9 +143,7 @@ def passages(docs: DataFrame, items: DataFrame, least: float = LEAST, radius: in
         & F.col("t.text_key").eqNullSafe(F.col("w.text_key")),
         "left_semi",
     )
-    lists = held.distinct().select(
-        "doc_id", "text_key", _shingle_structs(words_of(F.lower("text"))).alias("list")
-    ).select("doc_id", "text_key", F.transform("list", _hash).alias("hashes"))
+    lists = hash_lists(held.distinct(), "doc_id", "text_key")
     cut = windows.alias("w").join(
         lists.alias("l"),
         F.col("l.doc_id").eqNullSafe(F.col("w.doc_id"))

@@ -148,8 +148,12 @@ def apply_policy(rows: DataFrame, policy: Policy) -> DataFrame:
 
 def keep(docs: DataFrame, policy: Policy, text: str = "text") -> DataFrame:
     """The documents that a policy keeps, with their own columns."""
+    own = [F.col(f"`{c}`") for c in docs.columns]
     bits = F.col("_fl_rules.fail_bits").bitwiseAND(F.lit(policy.mask))
-    return measured(docs, text).where(bits == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # A plain filter on the measures would be moved to where the text is read, and
+    # there split it anew for every word; one on a generated column stays.
+    verdict = F.explode_outer(F.when(bits == 0, F.array(F.lit(True)))).alias("_fl_kept")
+    return measured(docs, text).select(*own, verdict).where("_fl_kept").select(*own)
 
 
 def ablations(rows: DataFrame, policy: Policy) -> DataFrame:

@@ -83,14 +83,28 @@ def fingerprint(text: str) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = [fingerprint(t.as_py() or "") for t in batch.column("text")]
-        signed = np.array(prints, np.uint64).view(np.int64)
-        yield pa.record_batch([batch.column("doc_id"), pa.array(signed)], names=["doc_id", "fp"])
+        signed = pa.array(np.array(prints, np.uint64).view(np.int64))
+        yield pa.record_batch(
+            [batch.column("doc_id"), batch.column("text_key"), signed],
+            names=["doc_id", "text_key", "fp"],
+        )
+
+
+def _id(doc_id: Column) -> Column:
+    return doc_id.cast("long")
+
+
+def _text_key(text: Column) -> Column:
+    """Tells apart rows that share an id."""
+    return F.xxhash64(text.cast("string"))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fp, a signed 64-bit number, of every row."""
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return slim.mapInArrow(_fingerprints, "doc_id long, fp long")
+    """doc_id, text_key and fp, a signed 64-bit number, of every row."""
+    slim = docs.select(
+        _id(F.col("doc_id")).alias("doc_id"), _text_key(F.col("text")).alias("text_key"), "text"
+    )
+    return slim.mapInArrow(_fingerprints, "doc_id long, text_key long, fp long")
 
 
 def _key(fp: Column, place: int, triple: tuple[int, int, int]) -> Column:
@@ -173,20 +187,40 @@ def links(prints: DataFrame, most: int = LIST_MOST) -> DataFrame:
     return short.unionByName(long).distinct()
 
 
-def groups(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint (hex) and component_id of every row."""
+def members(docs: DataFrame) -> DataFrame:
+    """doc_id, text_key, fp, component (a fingerprint) and component_id of every row."""
     prints = stored(fingerprints(docs), "fingerprints")
     # each print goes by its smallest id from here on
     named = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "named-prints")
-    found = components(links(named))
-    # smallest id of each component, then of each print
-    of_print = named.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "component", F.coalesce("component", "fp")
-    )
+    found = components(links(named)).withColumnRenamed("node", "fp")
+    of_print = named.join(found, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     smallest = of_print.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    ids = of_print.join(smallest, "component").select("fp", "component_id")
-    return prints.join(ids, "fp").select(
-        "doc_id",
-        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        "component_id",
+    ids = of_print.join(smallest, "component").select("fp", "component", "component_id")
+    return prints.join(ids, "fp")
+
+
+def groups(docs: DataFrame) -> DataFrame:
+    """doc_id, fingerprint (hex) and component_id of every row."""
+    return members(docs).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of `docs` for each group: that with the smallest id, a null id last."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key"))
+    chosen = members(docs).groupBy("component").agg(first.alias("c")).select("c.*")
+    chosen = stored(chosen.select("doc_id", "text_key"), "chosen").alias("c")
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.select(
+        *own,
+        _id(F.col("doc_id")).alias("_fl_id"),
+        _text_key(F.col("text")).alias("_fl_key"),
+    )
+    kept = keyed.join(
+        chosen,
+        F.col("_fl_id").eqNullSafe(F.col("c.doc_id")) & (F.col("_fl_key") == F.col("c.text_key")),
+        "left_semi",
     )
+    # rows that repeat id and text
+    return kept.dropDuplicates(["_fl_id", "_fl_key"]).select(*own)
