@@ -136,7 +136,7 @@ def passages(docs: DataFrame, items: DataFrame, least: float = LEAST, radius: in
     windows = stored(windows, "windows")
 
     # the words of the windows, from the few texts that have any
-    holders = windows.select("doc_id", "text_key").distinct().alias("w")
+    holders = windows.select("doc_id", "text_key").distinct().hint("shuffle_hash").alias("w")
     held = texts.alias("t").join(
         holders,
         F.col("t.doc_id").eqNullSafe(F.col("w.doc_id"))
