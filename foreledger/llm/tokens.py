@@ -272,7 +272,8 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
         "path string, modificationTime timestamp, length long, content binary"
     )
     books = binary.load(f"{folder}/codebook.u32").select("content").collect()  # one row
-    id_of = np.frombuffer(bytes(books[0][0]), "<u4")
+    # an empty file is not listed
+    id_of = np.frombuffer(bytes(books[0][0]) if books else b"", "<u4")
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -99,8 +99,21 @@ def record(page_id, url, html, length: int, digest: str, refers_to) -> bytes:
     return f"WARC/1.1\r\n{lines}\r\n".encode() + block + b"\r\n\r\n"
 
 
+def info_record() -> bytes:
+    """What the archives of a folder are, as a record of its own."""
+    block = b"format: WARC File Format 1.1\r\n"
+    head = (
+        f"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: {record_id(None, 'info')}\r\n"
+        f"WARC-Date: {DATE}\r\nContent-Type: application/warc-fields\r\n"
+        f"Content-Length: {len(block)}\r\n\r\n"
+    )
+    return head.encode() + block + b"\r\n\r\n"
+
+
 def write_archives(pages: DataFrame, folder: str, per_archive: int = 64 << 20) -> DataFrame:
     """Write the archives of `pages` and return one row per archive: path, records, bytes."""
+    # the folder is there and readable without any page, too
+    write_file(f"{folder}/info.warc.gz", gzip.compress(info_record(), 3, mtime=0))
     decisions = decided(pages)
     texts = pages.select(
         F.col("page_id").cast("long"),
@@ -175,7 +188,10 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for data in batch.column("content"):
             rows = []
             for headers, block in parse(data.as_buffer().to_pybytes()):
-                kind, page = headers["WARC-Type"], headers["X-Page-ID"]
+                kind = headers["WARC-Type"]
+                if kind == "warcinfo":
+                    continue
+                page = headers["X-Page-ID"]
                 digest = headers["WARC-Payload-Digest"].removeprefix("sha256:")
                 size = None
                 if kind == "response":
