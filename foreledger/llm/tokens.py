@@ -34,14 +34,14 @@ BLOCK = 1 << 20  # ids coded at a time, a multiple of four
 # case and composed form change one character into one, and words end at blanks.
 _PLAIN = re.compile("[\t\n\r -~À-ÖØ-öø-ÿ]*")
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-_MAX_CACHED = 300_000
+_MAX_CACHED = 400_000
 
 
 class Encoder:
-    """Ids of texts. Words seen before come from a cache; the rest go to the tokenizer at once.
+    """Ids of texts. Words and pieces seen before come from caches; new pieces go to the tokenizer.
 
-    The vocabulary marks the last token of a word, which tells the words of a
-    joined text apart again.
+    New pieces are tokenized as one text. The vocabulary marks the last token of
+    a piece, which tells the pieces apart again.
     """
 
     def __init__(self, path: str):
@@ -53,32 +53,43 @@ class Encoder:
         self.ends = np.zeros(size, bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.ends[i] = token.endswith("</w>")
-        self.cache: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def ids(self, text: str) -> np.ndarray:
         coded = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.array(coded, self.dtype)
 
-    def learn(self, pieces: list[str]) -> None:
-        if len(self.cache) > _MAX_CACHED:
-            self.cache.clear()
-        new = [p for p in dict.fromkeys(pieces) if p not in self.cache]
-        if not new:
-            return
+    def learn_pieces(self, new: list[str]) -> None:
         ids = self.ids(" ".join(new))
-        parts = np.split(ids, np.flatnonzero(self.ends[ids]) + 1)[:-1]
-        if len(parts) != len(new):  # a vocabulary without word ends
-            parts = [self.ids(p) for p in new]
-        self.cache.update(zip(new, (p.tobytes() for p in parts), strict=True))
+        raw, size = ids.tobytes(), ids.itemsize
+        ends = ((np.flatnonzero(self.ends[ids]) + 1) * size).tolist()
+        if len(ends) == len(new):
+            parts = [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        else:  # a vocabulary without word ends
+            parts = [self.ids(p).tobytes() for p in new]
+        self.pieces.update(zip(new, parts, strict=True))
+
+    def learn_words(self, split: list[list[str]]) -> None:
+        for cache in (self.words, self.pieces):
+            if len(cache) > _MAX_CACHED:
+                cache.clear()
+        new = [w for w in dict.fromkeys(chain.from_iterable(split)) if w not in self.words]
+        cut = [_PIECE.findall(w) for w in new]
+        fresh = [p for p in dict.fromkeys(chain.from_iterable(cut)) if p not in self.pieces]
+        if fresh:
+            self.learn_pieces(fresh)
+        known = self.pieces.__getitem__
+        self.words.update(zip(new, [b"".join(map(known, c)) for c in cut], strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         plain = [_PLAIN.fullmatch(t) is not None and "<|" not in t for t in texts]
-        split = [_PIECE.findall(t.lower()) if p else [] for t, p in zip(texts, plain, strict=True)]
-        self.learn(list(chain.from_iterable(split)))
-        known = self.cache.__getitem__
+        split = [t.lower().split() if p else [] for t, p in zip(texts, plain, strict=True)]
+        self.learn_words(split)
+        known = self.words.__getitem__
         return [
-            b"".join(map(known, pieces)) if p else self.ids(t).tobytes()
-            for t, p, pieces in zip(texts, plain, split, strict=True)
+            b"".join(map(known, words)) if p else self.ids(t).tobytes()
+            for t, p, words in zip(texts, plain, split, strict=True)
         ]
 
 
