@@ -115,5 +115,5 @@ class Settings:
         return replace(
             self,
             wide=self.wide or size > self.plain_limit_bytes,
-            min_parts=max(self.min_parts, min(size >> 31, 50_000)),
+            min_parts=max(self.min_parts, size >> 31),
         )

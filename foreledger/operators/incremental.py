@@ -90,9 +90,13 @@ def lookback(
     return marked.filter(F.col(column) >= F.col("__from")).drop("__from")
 
 
-def not_loaded(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """Batch rows whose key the target lacks: loses no late version (K6)."""
-    return batch.join(target.select(key).distinct(), key, "left_anti")
+def not_loaded(batch: DataFrame, target: DataFrame, key: str, *same: str) -> DataFrame:
+    """Batch rows whose key the target lacks, or holds with another value in `same` (K6)."""
+    held = target.select(key, *same).distinct().alias("held")
+    match = F.col(f"batch.{key}") == F.col(f"held.{key}")
+    for column in same:
+        match &= F.col(f"batch.{column}").eqNullSafe(F.col(f"held.{column}"))
+    return batch.alias("batch").join(held, match, "left_anti")
 
 
 # ---- loads -----------------------------------------------------------------

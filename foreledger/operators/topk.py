@@ -8,14 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LATEST_DEFAULT = 10
-LATEST_CAP = 100
 
 
 def latest(
-    df: DataFrame, ts: str, ties: Sequence[Column], n: int = LATEST_DEFAULT, cap: int = LATEST_CAP
+    df: DataFrame, ts: str, ties: Sequence[Column], n: int = LATEST_DEFAULT
 ) -> DataFrame:
-    """The last n rows by time, never more than `cap`."""
-    return df.orderBy(F.col(ts).desc_nulls_last(), *ties).limit(min(n, cap))
+    """The last n rows by time."""
+    return df.orderBy(F.col(ts).desc_nulls_last(), *ties).limit(n)
 
 
 def n_largest(df: DataFrame, value: str, n: int, ties: Sequence[Column]) -> DataFrame:
@@ -33,12 +32,15 @@ def best_worst(df: DataFrame, hour: str, value: str, k: int = 3) -> DataFrame:
     return ranked.filter((F.col("best_rank") <= k) | (F.col("worst_rank") <= k))
 
 
-def read_mart(mart: DataFrame, since_day: Column, n: int, columns: Sequence[str]) -> DataFrame:
-    """Newest rows of the mart from a day on, as the analyses read them.
+def read_mart(
+    mart: DataFrame, since_day: Column, columns: Sequence[str], n: int | None = None
+) -> DataFrame:
+    """Rows of the mart from a day on, as the analyses read them; the newest n if asked.
 
-    The cap is the feature; sort and cap become one top-n per task.
+    With n, sort and limit become one top-n per task.
     """
+    rows = mart.filter(F.col("data_date") >= since_day).select(*columns)
+    if n is None:
+        return rows
     newest = [F.col("period_start").desc(), *[F.col(c).asc_nulls_last() for c in columns[1:]]]
-    return (
-        mart.filter(F.col("data_date") >= since_day).select(*columns).orderBy(*newest).limit(n)
-    )
+    return rows.orderBy(*newest).limit(n)

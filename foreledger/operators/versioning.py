@@ -99,7 +99,9 @@ def scd2_merge(
     The batch is first reduced to one row per key, so a key sent twice cannot
     open two versions at once. Only the open versions take part in the join;
     closed ones pass through without a shuffle. A matched, changed row comes out
-    twice from one join: closed, and as the new version.
+    twice from one join: closed, and as the new version. A row older than the open
+    version it meets was overtaken on its way and changes nothing; a version never
+    starts before the one it follows.
     """
     at = truncate(ntz(now), "second")
     closed = target.filter(~is_current(F.col("valid_to_dttm")))
@@ -111,9 +113,11 @@ def scd2_merge(
     both = old.join(new, list(keys), "full_outer")
 
     has_old, has_new = F.col("old").isNotNull(), F.col("new").isNotNull()
+    overtaken = F.coalesce(F.col(f"new.{stamp}") < F.col(f"old.{stamp}"), F.lit(False))
     changed = (
         has_old
         & has_new
+        & ~overtaken
         & differs([F.col(f"old.{c}") for c in tracked], [F.col(f"new.{c}") for c in tracked])
     )
     # the open version is known to start at or before the load
@@ -121,8 +125,9 @@ def scd2_merge(
     kept = F.col("old").withField(
         "valid_to_dttm", F.when(changed, until).otherwise(F.col("old.valid_to_dttm"))
     )
+    begins = F.greatest(at, F.col("old.valid_from_dttm"))  # a missing old one does not count
     fresh = F.struct(
-        *[_fresh_field(c, target, incoming, keys, at).alias(c) for c in target.columns]
+        *[_fresh_field(c, target, incoming, keys, begins).alias(c) for c in target.columns]
     )
     rows = F.array_compact(
         F.array(F.when(has_old, kept), F.when(changed | ~has_old, fresh))

@@ -275,7 +275,7 @@ def percentiles(
     points: Mapping[str, float],
     cfg: Settings,
 ) -> DataFrame:
-    """Exact interpolated percentiles per group, NULL values ignored."""
+    """Exact interpolated percentiles per group, NULL values ignored; a group of NULLs has NULL."""
     if not cfg.wide:
         return df.groupBy(*keys).agg(
             *[F.percentile(value, p).alias(name) for name, p in points.items()]
@@ -292,7 +292,9 @@ def percentiles(
         high = F.min(F.when(F.col("__upto") > F.ceil(spot), F.col(value)))
         part = F.max(spot - F.floor(spot))
         cols.append((low + (high - low) * part).cast("double").alias(name))
-    return known.groupBy(*keys).agg(*cols)
+    found = known.groupBy(*keys).agg(*cols)
+    # groups of NULLs only are in no histogram
+    return attach(df.select(*keys).distinct(), found, keys, "left") if keys else found
 
 
 def grouped(

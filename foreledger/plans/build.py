@@ -81,7 +81,8 @@ def build_accuracy(to: Layers, cfg: Settings, full: bool) -> None:
     if full or not to.has("dwh_forecast_accuracy"):
         return rebuild(forecast_accuracy(facts, cfg), path, BY)
     done = facts.filter("actual_intensity IS NOT NULL")
-    start = first_week(not_loaded(done, to.read("dwh_forecast_accuracy"), "fact_key"))
+    loaded = to.read("dwh_forecast_accuracy")
+    start = first_week(not_loaded(done, loaded, "fact_key", "is_current_version"))
     if start is not None:
         replace_partitions(accuracy_from(done, start, cfg), path, BY)
 

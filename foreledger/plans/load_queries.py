@@ -32,9 +32,15 @@ from foreledger.operators.versioning import (
     scd2_merge,
 )
 from foreledger.plans.catalog import query
-from foreledger.plans.dwh import accuracy_rows, derived_fact_cols, fact, fact_base
+from foreledger.plans.dwh import (
+    accuracy_rows,
+    derived_fact_cols,
+    fact,
+    fact_base,
+    forecast_accuracy,
+)
 from foreledger.plans.layer_queries import LEVELS, PERIOD
-from foreledger.plans.loads import compat, load_fact
+from foreledger.plans.loads import compat, load_accuracy, load_fact
 from foreledger.plans.ods import daily_summary, ods_enrich
 from foreledger.plans.staging import stg_current, stg_history
 from foreledger.sources.feed import flatten, parse_feed
@@ -150,6 +156,17 @@ def _(run):
     return scd2_merge(old_raw(run), flatten(documents(new_log(run))), run.cfg.as_of)
 
 
+@query(
+    "scd2_late",
+    f"""{PERIOD} i:forecast_intensity i:actual_intensity index_forecast index_actual
+        valid_from_dttm t:valid_to_dttm src_processed_dttm processed_dttm""",
+)
+def _(run):
+    """The earlier deliveries come once more, after the newer ones have overtaken them."""
+    table = scd2_merge(old_raw(run), flatten(documents(new_log(run))), run.cfg.as_of)
+    return scd2_merge(table, flatten(documents(old_log(run))), CUT)
+
+
 @query("load_stats", "i:extracted i:inserted i:reversioned i:loaded transfer_ok")
 def _(run):
     return load_stats(old_raw(run), flatten(documents(new_log(run))))
@@ -216,6 +233,18 @@ def _(run):
     return since(done, loaded, "data_from_dttm", "data_from_dttm", run.cfg.start_date)
 
 
+@query(
+    "accuracy_load",
+    """fact_key period_key i:error i:absolute_error is_current_version
+       f:rolling_24h_mae f:rolling_24h_rmse f:rolling_24h_accuracy_rate f:weekly_avg_error
+       is_improving""",
+)
+def _(run):
+    """Accuracy loaded on top of what the earlier facts gave: the rows of a full rebuild."""
+    before = fact(stg_history(old_raw(run), old_cfg(run)), old_cfg(run))
+    return load_accuracy(forecast_accuracy(before, old_cfg(run)), run.fact, run.cfg)
+
+
 def _categorised_old(run):
     rows = fact_base(stg_history(old_raw(run), old_cfg(run)))
     return rows.withColumn(

@@ -130,14 +130,15 @@ def load_accuracy(target: DataFrame, facts: DataFrame, cfg: Settings) -> DataFra
     """Target with the completed versions it lacks.
 
     With `cfg.windows_restart_per_load`: only periods after the newest loaded one
-    (K6), windows over the new rows. Otherwise missing versions are found by key
-    and the rolling metrics are those of a full rebuild.
+    (K6), windows over the new rows. Otherwise missing versions, and those that are
+    no longer current, are found by key and the rolling metrics are those of a full rebuild.
     """
     if cfg.windows_restart_per_load:
         new = since(facts, target, "data_from_dttm", "data_from_dttm", cfg.start_date)
         return target.unionByName(forecast_accuracy(new, cfg))
     done = facts.filter("actual_intensity IS NOT NULL")
-    start = first_week(not_loaded(done, target, "fact_key"))
+    # a version without an actual may have replaced one that is loaded as current
+    start = first_week(not_loaded(done, target, "fact_key", "is_current_version"))
     if start is None:
         return target
     kept = target.filter(F.col("data_from_dttm") < ntz(start))

@@ -48,7 +48,7 @@ def recent(run):
 )
 def _(run):
     first = F.date_sub(F.lit(run.cfg.as_of.date()), DAYS)
-    return read_mart(run.mart, first, 5000, READ_COLUMNS)
+    return read_mart(run.mart, first, READ_COLUMNS)
 
 
 @query("anomaly_rows", "period_start i:forecast_co2_gco2_kwh intensity_anomaly_type f:z")
@@ -146,6 +146,12 @@ def _(run):
     return explore.anomaly_summary(recent(run))
 
 
+@query("anomaly_examples", "period_start i:forecast_co2_gco2_kwh intensity_anomaly_type")
+def _(run):
+    ties = [F.col(c) for c in ("period_start", VALUE, "intensity_anomaly_type")]
+    return explore.anomaly_examples(recent(run), ties)
+
+
 @query("shift_saving", "f:overall_mean f:best_hour_mean f:saving f:saving_pct")
 def _(run):
     return explore.shift_saving(recent(run))

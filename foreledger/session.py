@@ -39,19 +39,28 @@ def scan_bytes(df: DataFrame) -> int:
         return 1 << 62
 
 
+_OWN: dict[str, str] = {}  # application -> its folder, where one machine does all the work
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder. Only a local session may fall back to its own disk."""
+    """The cluster's checkpoint folder.
+
+    Only a session that runs in one process may fall back to its own disk; its
+    settings are left as they are.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    own = tempfile.mkdtemp(prefix="foreledger-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    application = spark.sparkContext.applicationId
+    if application not in _OWN:
+        _OWN[application] = tempfile.mkdtemp(prefix="foreledger-")
+    return _OWN[application]
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -8,8 +8,9 @@ from foreledger.session import materialize
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table has been written there whole; a write that failed leaves no mark."""
     jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
+    where = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
@@ -26,12 +27,6 @@ def rebuild(df: DataFrame, path: str, by: str | None = None) -> None:
         spread_by(df, by).write.mode("overwrite").partitionBy(by).parquet(path)
 
 
-def append_rows(df: DataFrame, path: str, by: str | None = None) -> None:
-    writer = df if by is None else spread_by(df, by)
-    writer = writer.write.mode("append")
-    (writer.partitionBy(by) if by else writer).parquet(path)
-
-
 def replace_partitions(df: DataFrame, path: str, by: str) -> None:
     """Overwrite only the partitions that occur in `df`.
 

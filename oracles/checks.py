@@ -101,7 +101,7 @@ BODIES |= {
         "fact0 ods_old",
         """SELECT 'lineitem -> orders' AS link, l_orderkey AS child_key, count(*) AS n
            FROM lineitem WHERE l_returnflag = 'N' AND NOT EXISTS
-             (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus = 'F')
+             (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey)
            GROUP BY l_orderkey
            UNION ALL
            SELECT 'fact -> periods', source_id, count(*) FROM fact0

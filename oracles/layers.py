@@ -25,7 +25,7 @@ whole("fact moving_averages period_change short_term_trend daily_rank daily_perc
 whole("is_outlier horizon_error weekly_range weekly_volatility horizon_category", "fact")
 whole("surrogate_key", "fact")
 whole("forecast_accuracy error_metrics forecast_quality error_direction rolling_mae", "acc")
-whole("rolling_rmse rolling_accuracy is_improving weekly_error", "acc")
+whole("rolling_rmse rolling_accuracy is_improving weekly_error accuracy_load", "acc")
 whole("analytics_mart potential_saving anomaly_flags", "mart")
 whole("analytics_join", "combined")
 whole("daily_report date_text daily_quality daily_trend daily_advice", "report")

@@ -124,3 +124,5 @@ BODIES: dict[str, tuple[str, str]] = {
              (SELECT max(data_from_dttm) FROM fact_old WHERE actual_intensity IS NOT NULL)""",
     ),
 }
+# an overtaken delivery changes nothing
+BODIES["scd2_late"] = BODIES["scd2_merge"]

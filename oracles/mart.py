@@ -45,7 +45,12 @@ def _rows(label: str, entries) -> str:
 
 
 BODIES: dict[str, tuple[str, str]] = {
-    "mart_read": ("month", "SELECT * FROM month ORDER BY period_start DESC LIMIT 5000"),
+    "mart_read": ("month", "SELECT * FROM month"),
+    "anomaly_examples": (
+        "month",
+        f"""SELECT * FROM month WHERE is_statistical_anomaly
+            ORDER BY period_start, {V}, intensity_anomaly_type LIMIT 10""",
+    ),
     "anomaly_rows": (
         "month",
         "SELECT *, intensity_z_score AS z FROM month WHERE is_statistical_anomaly",

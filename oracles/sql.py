@@ -293,7 +293,7 @@ FACT_FINAL = f"""
            {trend("forecast_ma3", "forecast_ma12", TREND_WORDS)} AS short_term_trend,
            {share("weekly_max_intensity - weekly_min_intensity", "weekly_max_intensity", 2)}
              AS weekly_volatility_pct,
-           daily_intensity_percentile NOT BETWEEN 5.0000000001 AND 94.9999999999 AS is_outlier,
+           (daily_intensity_percentile >= 95 OR daily_intensity_percentile <= 5) AS is_outlier,
            {case("forecast_horizon_hours", "<", HORIZON_CATEGORIES, HORIZON_CATEGORY_REST)}
              AS forecast_horizon_category
     FROM {{source}}"""

@@ -77,6 +77,19 @@ def test_accuracy_load_equals_rebuild(split):
     assert without_clock(loaded) == without_clock(forecast_accuracy(new, cfg))
 
 
+def test_accuracy_load_sees_a_version_replaced_by_one_without_actual(split):
+    """Nothing is missing then, but the loaded version is no longer current."""
+    cfg = split.cfg
+    before = fact(stg_history(split.new, cfg), cfg).cache()
+    done = before.filter("actual_intensity IS NOT NULL AND is_current_version")
+    gone = done.agg(F.max("fact_key")).first()[0]
+    current = F.col("is_current_version") & (F.col("fact_key") != gone)
+    after = before.withColumn("is_current_version", current)
+    loaded = load_accuracy(forecast_accuracy(before, cfg), after, cfg)
+    assert without_clock(loaded) == without_clock(forecast_accuracy(after, cfg))
+    assert not loaded.filter(F.col("fact_key") == gone).first().is_current_version
+
+
 def test_ods_and_daily_loads_equal_rebuild(split):
     cfg = split.cfg
     target = split.ods(split.old, split.old_cfg)

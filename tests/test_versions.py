@@ -113,3 +113,17 @@ def test_upsert_replaces_whole_document(spark):
     assert got == {1: (1, 2), 2: (None, 5), 3: (6, 7)}
     counts = upsert_counts(old, new, ["k"]).first()
     assert (counts.inserted, counts.modified, counts.saved) == (1, 1, 2)
+
+
+def test_overtaken_delivery_changes_nothing(spark, empty):
+    """The same two batches in either order leave the newer forecast open, and no overlap."""
+    early = batch(spark, (111, None, "low", T(2024, 1, 8, 8)))
+    late = batch(spark, (250, None, "high", T(2024, 1, 8, 12)))
+    table = scd2_merge(empty, late, T(2024, 1, 8, 12))
+    table = scd2_merge(table, early, T(2024, 1, 8, 8))
+    assert versions(table) == [(250, None, T(2024, 1, 8, 12), OPEN_END)]
+    # a newer row in a load with an older clock starts where the open version does
+    table = scd2_merge(table, batch(spark, (260, None, "high", T(2024, 1, 8, 13))), T(2024, 1, 8, 9))
+    assert [v[0] for v in versions(table.filter(F.col("valid_to_dttm") == F.lit(OPEN_END)))] == [260]
+    assert table.filter("valid_to_dttm < valid_from_dttm").count() == 0
+    assert table.agg(F.min("valid_from_dttm")).first()[0] == T(2024, 1, 8, 12)
