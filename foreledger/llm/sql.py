@@ -71,4 +71,24 @@ FROM shared WHERE shared >= 0.8 * (2 * n - shared) - 1e-9
 QUALIFY row_number() OVER (PARTITION BY rid, item_id ORDER BY shared DESC, start) = 1
 """
 
-ORACLE: dict[str, str] = {"op1_quality_rules": OP1, "op5_decontamination": OP5}
+OP10 = """
+WITH p AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+    sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p
+), r AS (
+  SELECT *, coalesce(payload_bytes >= 100 AND first_id < page_id, false) AS later FROM f
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN later THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN later THEN first_id END AS refers_to
+FROM r
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_quality_rules": OP1,
+    "op5_decontamination": OP5,
+    "op10_warc": OP10,
+}
