@@ -4,7 +4,9 @@ Words are lower-cased runs without white space, shingles are five words. An item
 of n shingles is compared with windows of n shingles. A window whose weighted
 Jaccard similarity with the item is `LEAST` or more shares with it, counted with
 repeats, at least 2 n LEAST / (1 + LEAST) shingles; other windows cannot qualify
-and get no fingerprint. The 64-bit SimHash of each window left is looked up
+and get no fingerprint. A document of fewer shingles than the item is one window,
+whole, and m of them share at least (m + n) LEAST / (1 + LEAST); it is verified at
+once, by its exact similarity. The 64-bit SimHash of each window left is looked up
 among those of the items of its size: the bits are cut into `RADIUS` + 1 blocks,
 so two fingerprints within the radius agree in a block. Pairs within the radius
 are verified by their exact similarity.
@@ -117,7 +119,9 @@ def passages(docs: DataFrame, items: DataFrame, least: float = LEAST, radius: in
     hits = stored(
         shingles(texts, "doc_id", "text_key").join(known, "h", "left_semi").distinct(), "hits"
     )
-    need = F.ceil(2 * F.col("n") * least / (1 + least) - 1e-9).cast("int")
+    size = F.least("n", "n_doc")  # of the windows; a shorter document is one, whole
+    need = F.ceil((size + F.col("n")) * least / (1 + least) - 1e-9).cast("int")
+    last = F.greatest(F.col("n_doc") - F.col("n"), F.lit(0))
     by_item = (
         hits.withColumnRenamed("n", "n_doc")
         .join(item_hashes, "h")
@@ -125,13 +129,13 @@ def passages(docs: DataFrame, items: DataFrame, least: float = LEAST, radius: in
         .agg(F.sort_array(F.collect_list("place")).alias("places"))  # of one text
         .where(F.size("places") >= need)
     )
+    by_item = stored(by_item, "window-items")
     windows = by_item.select(
         "doc_id",
         "text_key",
         "n",
-        F.explode(
-            _starts(F.col("places"), F.col("n"), F.col("n_doc") - F.col("n"), need)
-        ).alias("start"),
+        size.alias("size"),
+        F.explode(_starts(F.col("places"), F.col("n"), last, need)).alias("start"),
     ).distinct()
     windows = stored(windows, "windows")
 
@@ -149,12 +153,13 @@ def passages(docs: DataFrame, items: DataFrame, least: float = LEAST, radius: in
         F.col("l.doc_id").eqNullSafe(F.col("w.doc_id"))
         & F.col("l.text_key").eqNullSafe(F.col("w.text_key")),
     )
-    keys = ["doc_id", "text_key", "n", "start"]
+    keys = ["doc_id", "text_key", "n", "size", "start"]
     in_window = stored(
         cut.select(*[f"w.{k}" for k in keys], F.slice("l.hashes", F.col("w.start") + 1, F.col("w.n")).alias("hs")),
         "window-hashes",
     )
-    prints = fingerprints(in_window.select(*keys, F.explode("hs").alias("h")), *keys)
+    whole_size = in_window.where(F.col("size") == F.col("n"))
+    prints = fingerprints(whole_size.select(*keys, F.explode("hs").alias("h")), *keys)
     item_prints = fingerprints(item_shingles, "item_id", "n").withColumnRenamed("fp", "item_fp")
 
     blocked = prints.select("*", _blocks(F.col("fp"), radius).alias("k")).select(
@@ -169,6 +174,9 @@ def passages(docs: DataFrame, items: DataFrame, least: float = LEAST, radius: in
         .select(*keys, "item_id")
         .distinct()
     )
+    # of few shingles and another number than the item's, so not left to fingerprints
+    shorter = by_item.where(F.col("n_doc") < F.col("n")).withColumn("size", size)
+    near = near.unionByName(shorter.withColumn("start", F.lit(0)).select(*keys, "item_id"))
 
     weights = item_shingles.groupBy("item_id", "h").agg(F.count("*").alias("in_item"))
     pairs = near.alias("p").join(
@@ -186,11 +194,10 @@ def passages(docs: DataFrame, items: DataFrame, least: float = LEAST, radius: in
         .groupBy(*keys, "item_id")
         .agg(F.sum(F.least("in_window", "in_item")).alias("shared"))
     )
-    # both sides have n shingles, so the larger counts add up to 2 n less the smaller ones
-    similar = shared.where(
-        F.col("shared") >= F.lit(least) * (2 * F.col("n") - F.col("shared")) - 1e-9
-    )
-    best = similar.groupBy("doc_id", "text_key", "item_id", "n").agg(
+    # the larger counts add up to the shingles of both sides less the smaller ones
+    either = F.col("size") + F.col("n") - F.col("shared")
+    similar = shared.where(F.col("shared") >= F.lit(least) * either - 1e-9)
+    best = similar.groupBy("doc_id", "text_key", "item_id", "n", "size").agg(
         F.max(F.struct("shared", (-F.col("start")).alias("start"))).alias("best")
     )
     return best.select(
@@ -200,7 +207,9 @@ def passages(docs: DataFrame, items: DataFrame, least: float = LEAST, radius: in
         (-F.col("best.start")).cast("long").alias("window_start"),
         F.col("n").cast("long").alias("n_shingles"),
         F.col("best.shared").alias("shared"),
-        (F.col("best.shared") / (2 * F.col("n") - F.col("best.shared"))).alias("similarity"),
+        (F.col("best.shared") / (F.col("size") + F.col("n") - F.col("best.shared"))).alias(
+            "similarity"
+        ),
     )
 
 

@@ -350,3 +350,14 @@ def test_near_passages_are_found(spark):
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontaminate.passages(docs, bench).collect()}
     assert got == pytest.approx(want) and len(want) >= 30
+
+
+def test_documents_shorter_than_the_item(spark):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words[:55])), (2, " ".join(words[:40])), (3, " ".join(words))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(words))], "item_id long, text string")
+    found = decontaminate.passages(docs, bench).collect()
+    got = {r["doc_id"]: (r["window_start"], r["shared"], r["similarity"]) for r in found}
+    assert got == {1: (0, 51, pytest.approx(51 / 56)), 3: (0, 56, 1.0)}
+    assert [r["doc_id"] for r in decontaminate.clean(docs, bench).collect()] == [2]
