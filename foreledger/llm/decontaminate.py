@@ -11,6 +11,10 @@ among those of the items of its size: the bits are cut into `RADIUS` + 1 blocks,
 so two fingerprints within the radius agree in a block. Pairs within the radius
 are verified by their exact similarity.
 
+The hashes of a window or item are numbered by occurrence first: the second copy
+of a shingle is another element than the first. So the similarity with repeats is
+that of plain sets, and a shingle that repeats weighs on many bits evenly.
+
 The radius is far above the 9.7 bits by which fingerprints at similarity 0.8
 differ on average, so that one pair in a thousand at that very edge is lost, and
 practically none above.
@@ -61,8 +65,23 @@ def shingles(texts: DataFrame, *keys: str) -> DataFrame:
     return each.where("place IS NOT NULL")
 
 
+def _occurrence(h: Column, k: Column) -> Column:
+    """Hash of the copy k, from zero, of a shingle."""
+    return F.when(k == 0, h).otherwise(F.xxhash64(h, k.cast("long")))
+
+
+def numbered(hashes: str) -> Column:
+    """A column of sorted hashes with the copies of one told apart."""
+
+    def one(h: Column, i: Column) -> Column:
+        first = F.array_position(hashes, h) - 1
+        return F.when((i > 0) & (F.get(hashes, i - 1) == h), _occurrence(h, i - first)).otherwise(h)
+
+    return F.transform(hashes, one)
+
+
 def fingerprints(each: DataFrame, *keys: str) -> DataFrame:
-    """The keys and the SimHash of the hashes `h` under them, repeats counted."""
+    """The keys and the SimHash of the different hashes `h` under them."""
     ones = [F.sum(F.getbit("h", F.lit(b)).cast("int")).alias(f"b{b}") for b in range(64)]
     counted = each.groupBy(*keys).agg(F.count("*").alias("shingles"), *ones)
     bits = [
@@ -155,12 +174,20 @@ def passages(docs: DataFrame, items: DataFrame, least: float = LEAST, radius: in
     )
     keys = ["doc_id", "text_key", "n", "size", "start"]
     in_window = stored(
-        cut.select(*[f"w.{k}" for k in keys], F.slice("l.hashes", F.col("w.start") + 1, F.col("w.n")).alias("hs")),
+        cut.select(
+            *[f"w.{k}" for k in keys],
+            F.sort_array(F.slice("l.hashes", F.col("w.start") + 1, F.col("w.n"))).alias("hs"),
+        ),
         "window-hashes",
-    )
+    ).withColumn("hs", numbered("hs"))
     whole_size = in_window.where(F.col("size") == F.col("n"))
     prints = fingerprints(whole_size.select(*keys, F.explode("hs").alias("h")), *keys)
-    item_prints = fingerprints(item_shingles, "item_id", "n").withColumnRenamed("fp", "item_fp")
+    counted = item_shingles.groupBy("item_id", "n", "h").agg(F.count("*").alias("in_item"))
+    copies = F.sequence(F.lit(0).cast("long"), F.col("in_item") - 1)
+    in_items = counted.select(
+        "item_id", "n", F.explode(F.transform(copies, lambda k: _occurrence(F.col("h"), k))).alias("h")
+    )
+    item_prints = fingerprints(in_items, "item_id", "n").withColumnRenamed("fp", "item_fp")
 
     blocked = prints.select("*", _blocks(F.col("fp"), radius).alias("k")).select(
         *keys, "fp", "k.block", "k.bits"
@@ -178,7 +205,6 @@ def passages(docs: DataFrame, items: DataFrame, least: float = LEAST, radius: in
     shorter = by_item.where(F.col("n_doc") < F.col("n")).withColumn("size", size)
     near = near.unionByName(shorter.withColumn("start", F.lit(0)).select(*keys, "item_id"))
 
-    weights = item_shingles.groupBy("item_id", "h").agg(F.count("*").alias("in_item"))
     pairs = near.alias("p").join(
         in_window.alias("w"),
         F.col("p.doc_id").eqNullSafe(F.col("w.doc_id"))
@@ -188,11 +214,9 @@ def passages(docs: DataFrame, items: DataFrame, least: float = LEAST, radius: in
     )
     shared = (
         pairs.select(*[f"p.{k}" for k in keys], "p.item_id", F.explode("w.hs").alias("h"))
-        .groupBy(*keys, "item_id", "h")
-        .agg(F.count("*").alias("in_window"))
-        .join(weights, ["item_id", "h"])
+        .join(in_items.select("item_id", "h"), ["item_id", "h"])
         .groupBy(*keys, "item_id")
-        .agg(F.sum(F.least("in_window", "in_item")).alias("shared"))
+        .agg(F.count("*").alias("shared"))
     )
     # the larger counts add up to the shingles of both sides less the smaller ones
     either = F.col("size") + F.col("n") - F.col("shared")

@@ -361,3 +361,21 @@ def test_documents_shorter_than_the_item(spark):
     got = {r["doc_id"]: (r["window_start"], r["shared"], r["similarity"]) for r in found}
     assert got == {1: (0, 51, pytest.approx(51 / 56)), 3: (0, 56, 1.0)}
     assert [r["doc_id"] for r in decontaminate.clean(docs, bench).collect()] == [2]
+
+
+def test_passages_of_repeated_shingles(spark):
+    """A run of one word on one side: the multiset similarity decides, not the fingerprint's weights."""
+    dice = random.Random(8)
+    items, rows, want = [], [], {}
+    for i in range(40):
+        size = 120 if i % 2 else 160
+        words = [f"w{dice.randrange(10**6)}" for _ in range(size)]
+        items.append((i, " ".join([*words, *[f"y{i}.{k}" for k in range(14)]])))
+        rows.append((i, " ".join([*words, *["0"] * 14])))
+        want[i, i] = (size - 4) / (size + 24)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.passages(docs, bench).collect()
+    assert {(r["doc_id"], r["item_id"]): r["similarity"] for r in found} == pytest.approx(want)
+    turned = decontaminate.passages(bench.toDF("doc_id", "text"), docs.toDF("item_id", "text"))
+    assert {(r["doc_id"], r["item_id"]): r["similarity"] for r in turned.collect()} == pytest.approx(want)
