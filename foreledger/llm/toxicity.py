@@ -1,18 +1,20 @@
 """Toxicity by weak supervision.
 
 Voters look for one term each: a word, or the first letters of words. Some are
-given, the others are the terms that a bounded sample of labelled texts shows to
-go with toxic texts. A generative label model has a hidden label and voters that
+given, the others are the terms that the labelled texts show to go with toxic
+texts. A generative label model has a hidden label and voters that
 fire with one rate if it is 1 and another if it is 0; the given label is one more
 voter, which may err. The rates are solved from how often voters fire together
 over all different training texts: the covariances of any three voters give the
 reach of each. What covariance is left between two voters is their correlation,
 and of voters that fire together each counts the less the more it repeats the
-others. Posterior labels of the sample then train a linear classifier over voters
+others. Posterior labels of a sample then train a linear classifier over voters
 and further terms, and that scores every text.
 
-The sample holds at most `SAMPLE` labelled rows, those with the smallest hashes
-of their ids; everything else covers all rows. Null and empty texts have no
+The sample holds at most `SAMPLE` different labelled texts, those with the
+smallest hashes, and only the classifier's steps are taken on it; counts, rates
+and the prior cover all rows. A term that no text of the sample holds gets its
+log likelihood ratio over all labelled texts as weight. Null and empty texts have no
 terms and get the classifier's constant. Rows with a null id or without label
 are not learned from; conflicting labels of an id count as toxic. Without labels
 only the given terms vote, at the default rate.
@@ -75,34 +77,37 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def sample_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """text and toxic of at most SAMPLE labelled rows of `docs`."""
+def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, text and toxic of the different labelled texts of `docs`."""
     marked = (
         labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.max(F.col("toxic").cast("long")).alias("toxic"))
     )
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(marked, "doc_id")
-    chosen = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    chosen = stored(chosen.dropDuplicates(["doc_id"]), "label-sample")  # at most SAMPLE rows
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # copies of a text are one observation
-    each = texts.join(F.broadcast(chosen), "doc_id").groupBy("text").agg(F.max("toxic").alias("toxic"))
-    return stored(each, "sample")
+    each = texts.join(marked, "doc_id").groupBy("text").agg(F.max("toxic").alias("toxic"))
+    return stored(each.select(F.xxhash64("text").alias("key"), "text", "toxic"), "labelled")
 
 
-def telling_terms(sample: DataFrame) -> tuple[pd.DataFrame, int, int]:
+def sample_of(labelled: DataFrame) -> DataFrame:
+    """text and toxic of at most SAMPLE of the labelled texts."""
+    chosen = stored(labelled.select("key").orderBy("key").limit(SAMPLE), "label-sample")
+    return labelled.join(F.broadcast(chosen), "key", "left_semi").select("text", "toxic")
+
+
+def telling_terms(labelled: DataFrame) -> tuple[pd.DataFrame, int, int]:
     """Terms that go with toxic texts beyond chance, and the labels' sizes.
 
     The test is the likelihood ratio, at a level that falls with the number of
     terms tried.
     """
-    sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    sizes = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
         return pd.DataFrame({"term": [], "a": [], "b": [], "g": []}), toxic, clean
     counted = (
-        sample.mapInArrow(_count_terms, "term string, toxic long, n long")
+        labelled.select("text", "toxic").mapInArrow(_count_terms, "term string, toxic long, n long")
         .groupBy("term")
         .agg(
             F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
@@ -125,33 +130,31 @@ def telling_terms(sample: DataFrame) -> tuple[pd.DataFrame, int, int]:
     return best.orderBy(F.desc("g"), "term").limit(TERMS).toPandas(), toxic, clean
 
 
-def choose_voters(
-    found: pd.DataFrame, rows: list[np.ndarray], features: list[str]
-) -> list[str]:
+def choose_voters(found: pd.DataFrame, mostly: np.ndarray, features: list[str]) -> list[str]:
     """The given terms and the best of those that go with toxic texts.
 
     A term that mostly occurs in the texts of one chosen before, and is no surer
-    than that, says the same and is left out.
+    than that, says the same and is left out. `mostly` says of each
+    two features whether half the labelled texts of the first hold the second.
     """
-    texts: list[set[int]] = [set() for _ in features]
-    for i, row in enumerate(rows):
-        for j in row:
-            texts[j].add(i)
     place = {t: j for j, t in enumerate(features)}
     sure = {row.term: row.a / (row.a + row.b) for row in found.itertuples()}
     voters = list(GIVEN)
     for row in found.itertuples():
         if len(voters) >= VOTERS:
             break
-        own = texts[place[row.term]]
+        own = mostly[place[row.term]]
         rivals = [v for v in voters if sure.get(v, 0) >= sure[row.term]]
-        if all(2 * len(own & texts[place[v]]) < len(own) for v in rivals):
+        if not any(own[place[v]] for v in rivals):
             voters.append(row.term)
     return voters
 
 
-def vote_moments(docs: DataFrame, voters: list[str]) -> tuple[np.ndarray, int]:
-    """How often each two voters fire in one text, over all different texts, and their number."""
+def vote_sums(docs: DataFrame, voters: list[str]) -> DataFrame:
+    """i, j and n: how often each two voters fire in one text, over all different texts.
+
+    The number of texts is under the place after the last voter, twice.
+    """
     place = {v: i for i, v in enumerate(voters)}
     m = len(voters)
 
@@ -173,7 +176,7 @@ def vote_moments(docs: DataFrame, voters: list[str]) -> tuple[np.ndarray, int]:
                 rows += 1
         i, j = np.nonzero(both)
         yield pa.record_batch(
-            [pa.array([*i, m]), pa.array([*j, m]), pa.array([*both[i, j], rows])],
+            [pa.array(np.append(*x)) for x in ((i, m), (j, m), (both[i, j], rows))],
             schema=pa.schema([(c, pa.int64()) for c in "ijn"]),
         )
 
@@ -181,12 +184,39 @@ def vote_moments(docs: DataFrame, voters: list[str]) -> tuple[np.ndarray, int]:
         fire, "key long, fired array<int>"
     )
     summed = votes.dropDuplicates(["key"]).select("fired").mapInArrow(count, "i long, j long, n long")
+    return summed.groupBy("i", "j").agg(F.sum("n").alias("n"))
+
+
+def vote_moments(docs: DataFrame, voters: list[str]) -> tuple[np.ndarray, int]:
+    """The sums of `vote_sums` as a matrix, and the number of texts."""
+    m = len(voters)
     out = np.zeros((m + 1, m + 1))
-    for i, j, n in summed.groupBy("i", "j").agg(F.sum("n")).collect():  # at most voters squared
+    for i, j, n in vote_sums(docs, voters).collect():  # at most voters squared
         out[i, j] = n
     return out[:m, :m], int(out[m, m])
 
 
+def label_moments(labelled: DataFrame, features: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Over all labelled texts: how often each feature occurs by label, and which go mostly together."""
+    m = len(features)
+    by_label = [
+        vote_sums(labelled.where(F.col("toxic") == label), features).withColumn("toxic", F.lit(label))
+        for label in (0, 1)
+    ]
+    sums = stored(by_label[0].unionByName(by_label[1]).where(F.col("i") < m), "label-moments")
+    counts = np.zeros((2, m))
+    for i, label, n in sums.where("i = j").select("i", "toxic", "n").collect():  # twice the features
+        counts[label, i] = n
+    both = sums.groupBy("i", "j").agg(F.sum("n").alias("n"))
+    own = both.where("i = j").select("i", F.col("n").alias("own"))
+    pairs = both.join(own, "i").where("2 * n >= own")
+    # as Arrow columns: at most features squared, in practice few
+    found = pairs.select(F.col("i").cast("int"), F.col("j").cast("int")).toArrow()
+    mostly = np.zeros((m, m), bool)
+    mostly[found["i"].to_numpy(), found["j"].to_numpy()] = True
+    return counts, mostly
+
+
 @dataclass
 class LabelModel:
     """Prior, the voters' firing rates given the label, and their correlations."""
@@ -212,7 +242,7 @@ def fit_label_model(
     variance and d the difference of a voter's two rates. Three voters give d_i
     as the root of cov(i, j) cov(i, k) / (cov(j, k) v); here k is the given label
     and the median is over j, which is robust against voters that depend on each
-    other. `with_label` counts in the sample how often a voter fires on texts
+    other. `with_label` counts over all labelled texts how often a voter fires on texts
     given as clean and as toxic; the rate on clean texts stays within what chance
     makes of that count.
     """
@@ -295,24 +325,28 @@ def fit_classifier(
 
 def train(docs: DataFrame, labels: DataFrame) -> Classifier:
     """Voters, label model and classifier from the training rows `docs`."""
-    sample = sample_of(docs, labels)
-    found, toxic, clean = telling_terms(sample)
+    labelled = labelled_texts(docs, labels)
+    found, toxic, clean = telling_terms(labelled)
     features = [*GIVEN, *[t for t in found["term"] if t not in GIVEN]]
-    rows, given = present(sample, features)
-    voters = choose_voters(found, rows, features)
+    counts, mostly = label_moments(labelled, features)
+    voters = choose_voters(found, mostly, features)
     prior = toxic / (toxic + clean) if toxic and clean else DEFAULT_PRIOR
+    place = {t: i for i, t in enumerate(features)}
+    with_label = counts[:, [place[v] for v in voters]]
     # voters first among the features
-    rank = {t: i for i, t in enumerate(dict.fromkeys([*voters, *features]))}
-    moved = np.array([rank[t] for t in features])
-    features, rows = list(rank), [np.sort(moved[r]) for r in rows]
-    with_label = np.zeros((2, len(voters)))
-    for row, label in zip(rows, given, strict=True):
-        with_label[label, row[row < len(voters)]] += 1
+    features = list(dict.fromkeys([*voters, *features]))
+    rows, _ = present(sample_of(labelled), features)
     both, texts = vote_moments(docs, voters)
     model = fit_label_model(both, texts, prior, with_label, toxic, clean)
     odds = np.array([model.log_odds(r[r < len(voters)]) for r in rows])
     posterior = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
-    return fit_classifier(rows, posterior, features)
+    classifier = fit_classifier(rows, posterior, features)
+    sampled = set(np.concatenate([*rows, np.zeros(0, np.int64)]).tolist())
+    unseen = set(features) - {features[i] for i in sampled}
+    for row in found[found["term"].isin(unseen)].itertuples():
+        ratio = (row.a + 0.5) / (toxic + 1) * (clean + 1) / (row.b + 0.5)
+        classifier.weight[row.term] = math.log(ratio)
+    return classifier
 
 
 def scored(docs: DataFrame, classifier: Classifier, *keep: Column) -> DataFrame:

@@ -379,3 +379,23 @@ def test_passages_of_repeated_shingles(spark):
     assert {(r["doc_id"], r["item_id"]): r["similarity"] for r in found} == pytest.approx(want)
     turned = decontaminate.passages(bench.toDF("doc_id", "text"), docs.toDF("item_id", "text"))
     assert {(r["doc_id"], r["item_id"]): r["similarity"] for r in turned.collect()} == pytest.approx(want)
+
+
+def test_toxic_terms_beyond_the_sample(spark, monkeypatch):
+    """Terms, rates and prior come from all labelled texts, also when the classifier's sample is small."""
+    rows = [(i, f"plain words {i % 7} about number{i}" + (" zorgle" if i % 10 == 0 else "")) for i in range(600)]
+    rows += [(3, "another text")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(600)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "SAMPLE", 2)
+    given = []
+    fit = toxicity.fit_label_model
+
+    def spy(both, texts, prior, with_label, toxic, clean):
+        given.append((toxic, clean, prior))
+        return fit(both, texts, prior, with_label, toxic, clean)
+
+    monkeypatch.setattr(toxicity, "fit_label_model", spy)
+    model = toxicity.train(docs, labels)
+    assert given == [(60, 541, pytest.approx(60 / 601))]
+    assert "zorgle" in model.weight and model.weight["zorgle"] > 0
