@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foreledger.llm import decontaminate, langid, mixing, pst, rules, secrets, simhash, tokens, toxicity, warc
+from foreledger.llm import (
+    collocations,
+    decontaminate,
+    exact,
+    langid,
+    mixing,
+    pst,
+    repeats,
+    rules,
+    secrets,
+    simhash,
+    tokens,
+    toxicity,
+    warc,
+)
 from foreledger.llm.common import remainder, run_dir, ship, stored
 from foreledger.sources.tables import read_table
 
@@ -90,6 +104,20 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, folder)
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.groups(read_table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return collocations.ranked(collocations.mined(read_table(spark, sf_dir, "documents")), 2000)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return repeats.digests(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
@@ -101,4 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_warc": op10_warc,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_collocations": op12_collocations,
+    "op13_periodic_runs": op13_periodic_runs,
 }

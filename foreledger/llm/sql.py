@@ -87,8 +87,57 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM r
 """
 
+OP11 = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+  sha256(t) AS text_sha256
+FROM d WINDOW same AS (PARTITION BY t)
+"""
+
+OP12 = r"""
+WITH docs AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+), pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM docs
+), split AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces
+), grams AS (
+  SELECT lang, k, ws[i:i + k - 1] AS ws
+  FROM split, unnest([1, 2, 3, 4]) g(k), unnest(range(1, len(ws) - k + 2)) u(i)
+), f AS (
+  SELECT lang, k, ws, count(*) AS f FROM grams GROUP BY ALL
+), totals AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, k, ws, f AS a FROM f WHERE k > 1 AND f >= 30
+), cuts AS (
+  SELECT c.lang, c.ws, c.k, c.a, cut, l.f AS l, r.f AS r,
+    CAST(CAST(2000000 AS HUGEINT) * a // (l.f + r.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+  JOIN f l ON l.lang = c.lang AND l.ws = c.ws[1:cut]
+  JOIN f r ON r.lang = c.lang AND r.ws = c.ws[cut + 1:]
+), worst AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, cut) = 1
+), inside AS (
+  SELECT lang, ws[i:i + m - 1] AS ws, max(a) AS longest
+  FROM candidates, unnest([2, 3]) g(m), unnest(range(1, k - m + 2)) u(i) WHERE m < k GROUP BY ALL
+), kept AS (
+  SELECT w.*, array_to_string(w.ws, ' ') AS phrase FROM worst w LEFT JOIN inside i USING (lang, ws)
+  WHERE coalesce(100 * longest < 80 * a, true)
+)
+SELECT lang, row_number() OVER best AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang)
+WINDOW best AS (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase))
+QUALIFY rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
     "op1_quality_rules": OP1,
     "op5_decontamination": OP5,
     "op10_warc": OP10,
+    "op11_exact_dedup": OP11,
+    "op12_collocations": OP12,
 }
