@@ -1,11 +1,12 @@
 """Collocations: phrases of two to four words, counted without loss in quotient filters.
 
-Words that occur often enough are numbered within their language, at most `PER_LANG`
-each and `AT_HAND` in all, which bounds what tasks are sent. Four numbers of 16 bits
-make a key, an invertible permutation of 64 bits spreads it, and its first bits are the
-quotient, the others the remainder, kept whole. A filter is the sorted keys of a shard:
-a bit per quotient that occurs, a bit per slot that ends a run, remainders in as few
-bytes as they need, one byte per counter with larger ones apart. Filters are cut by
+Words that occur often enough are numbered within their language, `AT_HAND` in all at
+most, which bounds what tasks are sent. Numbers of 21 bits make a key: up to three
+words in 64 bits, which an invertible permutation spreads; of four, the last is mixed
+into the others before and kept beside them, which can be undone as well. The first
+bits of a key are the quotient, the others the remainder, kept whole. A filter is the
+sorted keys of a shard: a bit per quotient that occurs, a bit per slot that ends a run,
+remainders in as few bytes as they need, one byte per counter with larger ones apart. Filters are cut by
 ranges of quotients and merged in key order across shards, so no two phrases share a
 counter. Phrases of k words are counted where both phrases of k - 1 words in them may be
 frequent: the occupied quotients of those, a bitmap of fixed size, let every frequent
@@ -36,12 +37,13 @@ from foreledger.llm.common import stored
 
 LEAST = 30
 LONGEST = 4
-PER_LANG = (1 << 16) - 2
 AT_HAND = 1 << 20
-OTHER = (1 << 16) - 1  # a word that may be frequent and is not at hand
+BITS = 21  # of a word's number
+OTHER = (1 << BITS) - 1  # a word that may be frequent and is not at hand
 CELLS = 1 << 22  # bits of a bitmap
 SHARD = 1 << 21  # keys a task holds before it writes a filter
 RANGE_TOKENS = 4 << 20
+PORTION = 1 << 20  # bytes of text split at a time
 MOST_RANGES = 1 << 16
 SCALE = 2_000_000
 
@@ -58,14 +60,24 @@ def tokens(text: bytes) -> list[bytes]:
 
 
 def _by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
-    """Each language's tokens in a batch, texts apart by a break."""
-    texts = batch.column("text").cast(pa.binary())
+    """Tokens of a batch in portions of one language, texts apart by a break."""
     found: dict[str, list[bytes]] = {}
+    held: Counter = Counter()
+
+    def split(lang: str) -> tuple[str, list[bytes]]:
+        return lang, [t for t in tokens(_BREAK.join(found.pop(lang))) if t]
+
+    texts = batch.column("text").cast(pa.binary())
     for lang, text in zip(batch.column("lang").to_pylist(), texts, strict=True):
         if text.is_valid:
-            found.setdefault(lang, []).append(text.as_buffer().to_pybytes())
-    for lang, parts in found.items():
-        yield lang, [t for t in tokens(_BREAK.join(parts)) if t]
+            raw = text.as_buffer().to_pybytes()
+            found.setdefault(lang, []).append(raw)
+            held[lang] += len(raw)
+            if held[lang] >= PORTION:
+                held[lang] = 0
+                yield split(lang)
+    for lang in list(found):
+        yield split(lang)
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,17 +126,25 @@ def restore(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _HALF)
 
 
-def merge(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted different keys and the sums of their counts."""
-    if not len(keys):
-        return keys, counts
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-    return keys[first], np.add.reduceat(counts, first)
+Filter = tuple[np.ndarray, np.ndarray, np.ndarray]  # keys, last words of four, counts
 
 
-def pack_filter(keys: np.ndarray, counts: np.ndarray, prefix: int) -> bytes:
+def merge(parts: list[Filter]) -> Filter:
+    """Sorted different keys and the sums of their counts."""
+    keys, last, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+    if not len(keys):
+        return keys, last, counts
+    order = np.argsort(keys)
+    same = keys[order[1:]] == keys[order[:-1]]
+    if (same & (last[order[1:]] != last[order[:-1]])).any():  # equal keys of four different words
+        order = np.lexsort((last, keys))
+        same = keys[order[1:]] == keys[order[:-1]]
+    keys, last, counts = keys[order], last[order], counts[order]
+    first = np.flatnonzero(np.append(True, ~(same & (last[1:] == last[:-1]))))
+    return keys[first], last[first], np.add.reduceat(counts, first)
+
+
+def pack_filter(keys: np.ndarray, last: np.ndarray, counts: np.ndarray, prefix: int) -> bytes:
     """A filter of sorted permuted keys that agree in their first `prefix` bits."""
     m = len(keys)
     q_bits = max(1, min(24, m.bit_length() - 1, 63 - prefix))
@@ -134,42 +154,68 @@ def pack_filter(keys: np.ndarray, counts: np.ndarray, prefix: int) -> bytes:
     occupied = np.zeros(1 << q_bits, bool)
     occupied[quotient] = True
     run_end = np.append(quotient[1:] != quotient[:-1], True)
-    r_bytes = -(-r_bits // 8)
-    remainder = (keys & np.uint64((1 << r_bits) - 1)).astype("<u8").view(np.uint8).reshape(m, 8)[:, :r_bytes]
+    remainder = keys & np.uint64((1 << r_bits) - 1)
+    fourth = bool(last.any())
+
+    def low_bytes(values: np.ndarray, size: int) -> bytes:
+        return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(m, 8)[:, :size]).tobytes()
+
     large = counts >= 255
     return b"".join(
         (
-            struct.pack("<IB", m, q_bits),
+            struct.pack("<IBB", m, q_bits, fourth),
             np.packbits(occupied).tobytes(),
             np.packbits(run_end).tobytes(),
-            np.ascontiguousarray(remainder).tobytes(),
+            low_bytes(remainder, -(-r_bits // 8)),
+            low_bytes(last, 3) if fourth else b"",
             np.where(large, 255, counts).astype(np.uint8).tobytes(),
             counts[large].astype("<i8").tobytes(),
         )
     )
 
 
-def unpack_filter(raw: bytes, prefix: int, part: int) -> tuple[np.ndarray, np.ndarray]:
+def unpack_filter(raw: bytes, prefix: int, part: int) -> Filter:
     """Sorted keys and counts of a filter; `part` holds the first `prefix` bits."""
-    m, q_bits = struct.unpack_from("<IB", raw)
-    r_bits = 64 - prefix - q_bits
-    r_bytes, at = -(-r_bits // 8), 5
+    m, q_bits, fourth = struct.unpack_from("<IBB", raw)
+    r_bits, at = 64 - prefix - q_bits, 6
 
     def take(size: int, kind: str) -> np.ndarray:
         nonlocal at
         at += size
         return np.frombuffer(raw[at - size : at], kind)
 
+    def numbers(size: int) -> np.ndarray:
+        full = np.zeros((m, 8), np.uint8)
+        full[:, :size] = take(m * size, "u1").reshape(m, size)
+        return full.view("<u8").ravel()
+
     occupied = np.unpackbits(take(-(-(1 << q_bits) // 8), "u1"), count=1 << q_bits)
     run_end = np.unpackbits(take(-(-m // 8), "u1"), count=m).astype(np.int64)
-    full = np.zeros((m, 8), np.uint8)
-    full[:, :r_bytes] = take(m * r_bytes, "u1").reshape(m, r_bytes)
+    remainder = numbers(-(-r_bits // 8))
+    last = numbers(3) if fourth else np.zeros(m, np.uint64)
     counts = take(m, "u1").astype(np.int64)
     large = counts == 255
     counts[large] = take(8 * int(large.sum()), "<i8")
     quotient = np.flatnonzero(occupied)[np.cumsum(run_end) - run_end].astype(np.uint64)
-    keys = full.view("<u8").ravel() | quotient << np.uint64(r_bits)
-    return keys | np.uint64(part << (64 - prefix)) if prefix else keys, counts
+    keys = remainder | quotient << np.uint64(r_bits)
+    return keys | np.uint64(part << (64 - prefix)) if prefix else keys, last, counts
+
+
+def key_of(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Permuted keys of phrases, given by the numbers of their words, and what is kept beside."""
+    key = words[0].astype(np.uint64)
+    for more in words[1:3]:
+        key = key << np.uint64(BITS) | more.astype(np.uint64)
+    last = words[3].astype(np.uint64) if len(words) > 3 else np.zeros(len(key), np.uint64)
+    return permute(key ^ last * np.uint64(_ODD[1])), last
+
+
+def words_in(keys: np.ndarray, last: np.ndarray, k: int) -> np.ndarray:
+    """The numbers of the words of permuted keys, a row per phrase."""
+    plain = restore(keys) ^ last * np.uint64(_ODD[1])
+    shifts = [np.uint64(BITS * (min(k, 3) - 1 - j)) for j in range(min(k, 3))]
+    parts = [plain >> s & np.uint64(OTHER) for s in shifts] + ([last] if k > 3 else [])
+    return np.stack(parts, 1).astype(np.int64)
 
 
 def cell(permuted: np.ndarray, lang: int) -> np.ndarray:
@@ -178,27 +224,23 @@ def cell(permuted: np.ndarray, lang: int) -> np.ndarray:
     return ((permuted >> shift) + np.uint64(lang * 2654435761 % CELLS)) % np.uint64(CELLS)
 
 
-def windows(ids: np.ndarray, k: int, lang: int, shorter: np.ndarray | None) -> np.ndarray:
-    """Permuted keys of the phrases of k words at hand, both parts of k - 1 words in the bitmap."""
-    n = len(ids) - k + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
+def windows(
+    ids: np.ndarray, k: int, lang: int, shorter: np.ndarray | None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the phrases of k words at hand, both parts of k - 1 words in the bitmap."""
+    n = max(0, len(ids) - k + 1)
     known = (ids > 0) & (ids < OTHER)
     good = known[:n].copy()
     for j in range(1, k):
         good &= known[j : j + n]
     at = np.flatnonzero(good)
-    wide = ids.astype(np.uint64)
 
-    def key(start: np.ndarray, size: int) -> np.ndarray:
-        out = wide[start]
-        for j in range(1, size):
-            out = out << np.uint64(16) | wide[start + j]
-        return permute(out)
+    def key(start: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        return key_of([ids[start + j] for j in range(size)])
 
     if shorter is not None:
-        at = at[shorter[cell(key(at, k - 1), lang)]]
-        at = at[shorter[cell(key(at + 1, k - 1), lang)]]
+        at = at[shorter[cell(key(at, k - 1)[0], lang)]]
+        at = at[shorter[cell(key(at + 1, k - 1)[0], lang)]]
     return key(at, k)
 
 
@@ -237,7 +279,7 @@ def _bitmap(cells: DataFrame) -> np.ndarray:
 
 
 def mined(
-    docs: DataFrame, least: int = LEAST, per_lang: int = PER_LANG, at_hand: int = AT_HAND, shard: int = SHARD
+    docs: DataFrame, least: int = LEAST, at_hand: int = AT_HAND, shard: int = SHARD
 ) -> DataFrame:
     """lang, phrase, k, a, l, r, cut, score, n of every candidate that no longer one covers."""
     spark = docs.sparkSession
@@ -251,16 +293,17 @@ def mined(
     totals = stored(words.groupBy("lang").agg(F.sum("f").alias("n")), "word-totals")
     frequent = words.where(F.col("f") >= least)
     best = Window.partitionBy("lang").orderBy(F.desc("f"), "phrase")
-    ranked_words = frequent.withColumn("id", F.row_number().over(best)).where(F.col("id") <= per_lang)
-    chosen = stored(ranked_words.orderBy(F.desc("f"), "lang", "id").limit(at_hand), "words-at-hand")
+    common = frequent.orderBy(F.desc("f"), "lang", "phrase").limit(at_hand)
+    chosen = stored(common.withColumn("id", F.row_number().over(best)), "words-at-hand")
     rest = frequent.join(chosen, ["lang", "phrase"], "left_anti")
     # the bytes that tasks hash: lang, blank, word
     rest_cells = F.expr(f"pmod(xxhash64(concat(lang, ' ', phrase)), {CELLS})").alias("cell")
     others = _bitmap(rest.select(rest_cells))
     others = others if others.any() else None
     per: dict[str, dict[bytes, int]] = {}
-    for lang, word, i in chosen.select("lang", "phrase", "id").collect():  # at most at_hand
-        per.setdefault(lang, {})[word.encode()] = i
+    hand = chosen.select("lang", "phrase", "id").toArrow()  # at most at_hand
+    for lang, word, i in zip(*(hand[c] for c in ("lang", "phrase", "id")), strict=True):
+        per.setdefault(lang.as_py(), {})[word.as_py().encode()] = i.as_py()
     for lang, *_ in totals.where(~F.lit(others is None)).select("lang").collect():
         per.setdefault(lang, {})
     langs = sorted(per)
@@ -273,7 +316,7 @@ def mined(
             for lang, found in _by_lang(batch):
                 if lang not in numbers:
                     continue
-                ids = np.fromiter(map(numbers[lang].__getitem__, found), np.uint16, len(found))
+                ids = np.fromiter(map(numbers[lang].__getitem__, found), np.uint32, len(found))
                 spelled = _spelled(found, ids) if others is not None else {}
                 m = len(spelled)
                 yield pa.record_batch(
@@ -312,24 +355,20 @@ def _counted(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = {x: i for i, x in enumerate(shared.value[0])}
-        merged: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        fresh: dict[int, list[np.ndarray]] = {}
+        merged: dict[int, Filter] = {}
+        fresh: dict[int, list[Filter]] = {}
 
         def settle() -> None:
             for lang, new in fresh.items():
-                keys, n = np.unique(np.concatenate(new), return_counts=True)
-                old = merged.get(lang)
-                if old:
-                    keys, n = merge(np.concatenate([old[0], keys]), np.concatenate([old[1], n]))
-                merged[lang] = keys, n
+                merged[lang] = merge([*new, merged[lang]] if lang in merged else new)
             fresh.clear()
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for lang, (keys, n) in merged.items():
+            for lang, (keys, last, n) in merged.items():
                 part = (keys >> np.uint64(64 - prefix)).astype(np.int64) if prefix else np.zeros(len(keys), np.int64)
                 cuts = np.flatnonzero(np.diff(part, prepend=-1))
                 for a, b in zip(cuts, np.append(cuts, len(keys))[1:], strict=True):
-                    raw = pack_filter(keys[a:b], n[a:b], prefix)
+                    raw = pack_filter(keys[a:b], last[a:b], n[a:b], prefix)
                     yield pa.RecordBatch.from_pydict(
                         {"lang": [lang], "part": [int(part[a])], "filter": [raw]},
                         pa.schema([("lang", pa.int32()), ("part", pa.int32()), ("filter", pa.binary())]),
@@ -340,13 +379,13 @@ def _counted(
         for batch in batches:
             for lang, ids in zip(batch.column("lang").to_pylist(), batch.column("ids"), strict=True):
                 own = place[lang]
-                keys = windows(np.frombuffer(ids.as_buffer(), np.uint16), k, own, allowed.value)
-                fresh.setdefault(own, []).append(keys)
+                keys, last = windows(np.frombuffer(ids.as_buffer(), np.uint32), k, own, allowed.value)
+                fresh.setdefault(own, []).append((keys, last, np.ones(len(keys), np.int64)))
                 held += len(keys)
                 if held >= shard:
                     settle()
                     held = 0
-                    if sum(len(x) for x, _ in merged.values()) >= shard:
+                    if sum(len(x[0]) for x in merged.values()) >= shard:
                         yield from flush()
         settle()
         yield from flush()
@@ -360,18 +399,11 @@ def _counted(
             words.append(own)
         at, parts = None, []
 
-        def join() -> None:
-            keys, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-            parts[:] = [merge(keys, n)]
-
         def close() -> pa.RecordBatch:
-            join()
             lang = at[0]
-            keys, n = parts[0]
-            keys, n = keys[n >= least], n[n >= least]
-            plain = restore(keys)
-            ids = np.stack([plain >> np.uint64(16 * (k - 1 - j)) & np.uint64(OTHER) for j in range(k)], 1)
-            spelled = [b" ".join(row) for row in words[lang][ids.astype(np.int64)].tolist()]
+            keys, last, n = merge(parts)
+            keys, last, n = keys[n >= least], last[n >= least], n[n >= least]
+            spelled = [b" ".join(row) for row in words[lang][words_in(keys, last, k)].tolist()]
             return pa.record_batch(
                 [
                     pa.array([langs[lang]] * len(n), pa.string()),
@@ -390,8 +422,8 @@ def _counted(
                         yield close()
                     at, parts = (lang, part), []
                 parts.append(unpack_filter(raw.as_buffer().to_pybytes(), prefix, part))
-                if len(parts) > 1 and sum(len(x) for x, _ in parts[1:]) > max(SHARD, len(parts[0][0])):
-                    join()
+                if sum(len(x[0]) for x in parts[1:]) > max(SHARD, len(parts[0][0])):
+                    parts = [merge(parts)]
         if parts:
             yield close()
 

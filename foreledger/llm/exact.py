@@ -1,16 +1,15 @@
 """Exact duplicates through an extendible-hash index on shared files, in SQL functions only.
 
-A text's slot is its 64-bit hash. The directory starts with one bucket and doubles
-as long as a bucket holds more slots than it may: the overfull bucket's range of
-hashes is halved, the others keep their depth. Owners hold runs of neighbouring
-buckets of about equal weight; each owner task chains the different texts of one
-hash and writes its part of the index. Which texts are different is decided on
-their bytes: copies are combined within each task before they are shuffled, so a
-text that a third of all rows share moves once per task.
-
-The directory has at most 2**FINE cells, the bound for its broadcast; a bucket
-that may not be halved further chains its slots beyond capacity. Rows find their
-entry by hash and digest. At most HOT texts can each hold more than a
+A text's slot is its 64-bit hash. The directory doubles as long as a bucket holds more
+slots than it may: the overfull bucket's range of hashes is halved, the others keep
+their depth. It starts with an eighth of the buckets that all rows would fill, and counts
+in cells finer than a bucket. A bucket belongs to one owner task, which
+chains the different texts of one hash and writes its part of the index. Which texts
+are different is decided on their bytes: copies are combined within each task before
+they are shuffled, so a text that a third of all rows share moves once per task.
+
+A bucket of one cell is not halved further and chains its slots beyond capacity. Rows
+find their entry by hash and digest. At most HOT texts can each hold more than a
 HOT-th of the rows; those entries are broadcast, all others are joined by shuffle.
 
 Null counts as empty. Of equal texts the row with the largest id stays, a null id
@@ -28,9 +27,8 @@ from pyspark.sql import functions as F
 
 from foreledger.llm.common import stored
 
-FINE = 20
-CAPACITY = 16_384  # slots in a bucket
-OWNED = 16_384  # slots of an owner task, whole buckets
+CAPACITY = 4096  # slots in a bucket
+FINER = 8  # doublings that the cells leave from the first directory on
 HOT = 4096
 
 
@@ -47,33 +45,27 @@ def _cell(h: Column, fine: int) -> Column:
     return F.shiftrightunsigned(h, 64 - fine)
 
 
-def grow_directory(slots: DataFrame, capacity: int = CAPACITY, fine: int = FINE, owned: int = OWNED) -> DataFrame:
-    """cell, depth, bucket and owner for each occupied cell, from the different hashes `h`.
+def grow_directory(slots: DataFrame, start: int, fine: int, capacity: int = CAPACITY) -> DataFrame:
+    """cell, n, depth and bucket for each occupied cell, from the different hashes `h`.
 
     A cell is the first `fine` bits of a hash, a bucket is named by its first cell.
     """
     cells = slots.groupBy(_cell(F.col("h"), fine).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
-    grown = stored(cells.withColumn("depth", F.lit(0)), "directory")
-
+    grown = stored(cells.withColumn("depth", F.lit(start)), "directory")
     unused = F.lit(fine) - F.col("depth")
     bucket = F.call_function("shiftleft", F.call_function("shiftright", F.col("cell"), unused), unused)
-    for depth in range(fine):  # each round doubles the directory
+    for depth in range(start, fine):  # each round doubles the directory
         held = F.sum("n").over(Window.partitionBy("depth", bucket))
         over = (held > capacity) & (F.col("depth") == depth)
         wider = stored(grown.withColumn("depth", F.col("depth") + F.when(over, 1).otherwise(0)), "directory")
         if wider.where(F.col("depth") > depth).isEmpty():
             break
         grown = wider
-    before = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    # at most 2**fine rows in this one window
-    run = F.coalesce(F.sum("n").over(before), F.lit(0))
-    placed = grown.withColumn("bucket", bucket).withColumn("owner", F.floor(run / owned))
-    one = Window.partitionBy("bucket")
-    return stored(placed.withColumn("owner", F.min("owner").over(one)), "directory")
+    return stored(grown.withColumn("bucket", bucket), "directory")
 
 
 def build_index(
-    docs: DataFrame, capacity: int = CAPACITY, fine: int = FINE, owned: int = OWNED, slot: Column | None = None
+    docs: DataFrame, capacity: int = CAPACITY, finer: int = FINER, slot: Column | None = None
 ) -> Index:
     """Index of all rows of `docs` (doc_id, text). `slot` replaces the hash in tests of collisions."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -82,16 +74,19 @@ def build_index(
     digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
     numbered = rows.select("doc_id", "h", digest.alias("digest"), F.monotonically_increasing_id().alias("row"))
     members = stored(numbered, "dedup-members")
-    directory = grow_directory(members.select("h").distinct(), capacity, fine, owned)
+    start = max(0, (members.count() // capacity).bit_length() - 3)
+    fine = min(60, start + finer)
+    directory = grow_directory(members.select("h").distinct(), start, fine, capacity)
 
     # copies combine by bytes before and after the shuffle
     different = rows.groupBy("h", "text").agg(
         F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
     )
     slim = different.select("h", digest.alias("digest"), "keep_id", "group_size", _cell(F.col("h"), fine).alias("cell"))
-    placed = slim.join(F.broadcast(directory.select("cell", "bucket", "owner")), "cell")
-    chain = F.row_number().over(Window.partitionBy("owner", "bucket", "h").orderBy("digest"))
-    entries = placed.repartition("owner").withColumn("link", chain).drop("cell")
+    # written, so the planner knows whether the directory is small
+    placed = slim.join(directory.select("cell", "bucket"), "cell")
+    chain = F.row_number().over(Window.partitionBy("bucket", "h").orderBy("digest"))
+    entries = placed.repartition("bucket").withColumn("link", chain).drop("cell")
     return Index(members, directory, stored(entries, "dedup-index"))
 
 
