@@ -98,6 +98,8 @@ class Settings:
     padded_day_names: bool = False
     # K4: windows of an append see the new rows only, as in a plain append load
     windows_restart_per_load: bool = False
+    # columns that a load may add to or drop from its table: fail, sync_all_columns
+    schema_policy: str = "fail"
     # monitors (volume, freshness, dimension, column)
     history_buckets: int = 14
     min_history: int = 7

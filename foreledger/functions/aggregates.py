@@ -25,6 +25,15 @@ def count_cols(hour: Column) -> list[Column]:
     ]
 
 
+def exact_mean(value: Column, digits: int = 2) -> Column:
+    """Mean of values with `digits` decimals, summed as whole numbers.
+
+    A sum of doubles depends on the order of its parts, and so on the number of tasks.
+    """
+    scaled = F.round(value * F.lit(10**digits)).cast("bigint")
+    return F.try_divide(F.sum(scaled), F.count(scaled) * F.lit(10**digits))
+
+
 def stat_cols(value: Column, suffix: str, spread: bool = False) -> list[Column]:
     cols = [
         F.min(value).alias(f"min_{suffix}"),
@@ -39,7 +48,7 @@ def stat_cols(value: Column, suffix: str, spread: bool = False) -> list[Column]:
 def error_cols(error: Column, pct: Column, accurate: Column) -> list[Column]:
     return [
         F.avg(F.abs(error)).alias("avg_absolute_error"),
-        F.avg(pct).alias("avg_forecast_error_percent"),
+        exact_mean(pct).alias("avg_forecast_error_percent"),
         count_if(accurate).alias("accurate_forecasts_count"),
     ]
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foreledger.config import DAY_NAMES, DAY_PARTS, Settings
-from foreledger.functions.aggregates import count_if
+from foreledger.functions.aggregates import count_if, exact_mean
 from foreledger.functions.scalars import ntz
 from foreledger.operators.joins import cross_scalar
 from foreledger.operators.windows import grouped, percentiles
@@ -152,7 +152,7 @@ def accuracy(df: DataFrame) -> DataFrame:
     return done.agg(
         F.count(F.lit(1)).alias("rows_with_actual"),
         F.avg(F.abs("forecast_error")).alias("mae"),
-        F.avg(F.abs("forecast_error_percent")).alias("mape"),
+        exact_mean(F.abs("forecast_error_percent")).alias("mape"),
         F.try_divide(count_if(F.col("is_forecast_accurate")) * 100.0, F.count(F.lit(1))).alias(
             "accuracy_rate"
         ),

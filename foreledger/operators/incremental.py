@@ -17,10 +17,7 @@ from pyspark.sql import functions as F
 from foreledger.functions.scalars import ntz
 from foreledger.operators.joins import cross_scalar
 from foreledger.operators.versioning import latest_per_key
-
-
-class SchemaChanged(ValueError):
-    """Raised under the `fail` policy when a load would change the table's columns."""
+from foreledger.sources.store import SchemaChanged
 
 
 # ---- document store --------------------------------------------------------
@@ -76,6 +73,23 @@ def since(
     return marked.filter(keep).drop("__mark")
 
 
+def since_mark(
+    batch: DataFrame,
+    mark: dt.datetime | None,
+    batch_ts: str,
+    default: dt.datetime | None = None,
+    null_admits_all: bool = True,
+) -> DataFrame:
+    """As `since`, for a newest value that is known (from a table's manifest, say).
+
+    The target is not read, and the value reaches the scan of the batch as a literal.
+    """
+    mark = default if mark is None else mark
+    if mark is None:
+        return batch if null_admits_all else batch.filter(F.lit(False))
+    return batch.filter(F.col(batch_ts) > ntz(mark))
+
+
 def extract_since(src: DataFrame, target: DataFrame, src_ts: str, tgt_ts: str) -> DataFrame:
     """Source documents created after the newest one already loaded."""
     return since(src, target, src_ts, tgt_ts)

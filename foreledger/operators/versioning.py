@@ -25,6 +25,8 @@ RAW_COLUMNS = (
     "processed_dttm",
 )
 
+LAST_SEEN = "last_seen_dttm"
+
 
 def _one_second() -> Column:
     return F.expr("INTERVAL '1' SECOND")
@@ -46,7 +48,7 @@ def scd2_from_log(
     log: DataFrame,
     cfg: Settings,
     keys: Sequence[str] = KEYS,
-    tracked: Sequence[str] = ("forecast_intensity", "actual_intensity"),
+    tracked: Sequence[str] = TRACKED,
     ts: str = "created_at",
     tie: str = "id",
 ) -> DataFrame:
@@ -56,12 +58,36 @@ def scd2_from_log(
     second before the next begins, and never before its own start (two changes
     within one second).
     """
-    order = [F.col(ts).asc(), F.col(tie).asc()]
+    changed = with_opens(log, cfg, keys, tracked, ts, tie).filter("opens").drop("opens")
+    return versions_of(changed, cfg, keys, ts, tie)
+
+
+def with_opens(
+    log: DataFrame,
+    cfg: Settings,
+    keys: Sequence[str] = KEYS,
+    tracked: Sequence[str] = TRACKED,
+    ts: str = "created_at",
+    tie: str = "id",
+) -> DataFrame:
+    """`opens` for each observation: whether it differs from the one before it."""
     now = F.struct(*tracked)
-    changed = ordered(
-        log, keys, order, {"__before": lambda w: F.lag(now).over(w)}, cfg, before=1
-    ).filter(F.col("__before").isNull() | ~now.eqNullSafe(F.col("__before")))
-    begun = changed.drop("__before").withColumn("valid_from_dttm", truncate(F.col(ts), "second"))
+    order = [F.col(ts).asc(), F.col(tie).asc()]
+    seen = ordered(log, keys, order, {"__before": lambda w: F.lag(now).over(w)}, cfg, before=1)
+    opens = F.col("__before").isNull() | ~now.eqNullSafe(F.col("__before"))
+    return seen.withColumn("opens", opens).drop("__before")
+
+
+def versions_of(
+    changed: DataFrame,
+    cfg: Settings,
+    keys: Sequence[str] = KEYS,
+    ts: str = "created_at",
+    tie: str = "id",
+) -> DataFrame:
+    """Versions from the observations that open one."""
+    order = [F.col(ts).asc(), F.col(tie).asc()]
+    begun = changed.withColumn("valid_from_dttm", truncate(F.col(ts), "second"))
     following = ordered(
         begun,
         keys,
@@ -102,6 +128,11 @@ def scd2_merge(
     twice from one join: closed, and as the new version. A row older than the open
     version it meets was overtaken on its way and changes nothing; a version never
     starts before the one it follows.
+
+    Where the table has a column `last_seen_dttm`, it holds the newest delivery that
+    brought the open version, and advances with each that confirms it; without it
+    only the delivery that opened the version is known. `operators.timeline` puts
+    late rows into their place in history instead.
     """
     at = truncate(ntz(now), "second")
     closed = target.filter(~is_current(F.col("valid_to_dttm")))
@@ -113,7 +144,10 @@ def scd2_merge(
     both = old.join(new, list(keys), "full_outer")
 
     has_old, has_new = F.col("old").isNotNull(), F.col("new").isNotNull()
-    overtaken = F.coalesce(F.col(f"new.{stamp}") < F.col(f"old.{stamp}"), F.lit(False))
+    newest = F.col(f"old.{stamp}")
+    if LAST_SEEN in target.columns:
+        newest = F.greatest(newest, F.col(f"old.{LAST_SEEN}"))  # skips NULL
+    overtaken = F.coalesce(F.col(f"new.{stamp}") < newest, F.lit(False))
     changed = (
         has_old
         & has_new
@@ -125,9 +159,12 @@ def scd2_merge(
     kept = F.col("old").withField(
         "valid_to_dttm", F.when(changed, until).otherwise(F.col("old.valid_to_dttm"))
     )
+    if LAST_SEEN in target.columns:
+        confirmed = F.greatest(newest, F.when(~changed, F.col(f"new.{stamp}")))
+        kept = kept.withField(LAST_SEEN, confirmed.cast(target.schema[LAST_SEEN].dataType))
     begins = F.greatest(at, F.col("old.valid_from_dttm"))  # a missing old one does not count
     fresh = F.struct(
-        *[_fresh_field(c, target, incoming, keys, begins).alias(c) for c in target.columns]
+        *[_fresh_field(c, target, incoming, keys, begins, stamp).alias(c) for c in target.columns]
     )
     rows = F.array_compact(
         F.array(F.when(has_old, kept), F.when(changed | ~has_old, fresh))
@@ -136,8 +173,10 @@ def scd2_merge(
     return closed.unionByName(merged.select(*target.columns))
 
 
-def _fresh_field(name, target, incoming, keys, at) -> Column:
+def _fresh_field(name, target, incoming, keys, at, stamp) -> Column:
     kind = target.schema[name].dataType
+    if name == LAST_SEEN:
+        return F.col(f"new.{stamp}").cast(kind)
     if name == "id":
         # a key from the content: no sequence, same value when the load is replayed
         return F.xxhash64(*[F.col(f"new.{k}") for k in keys], at).cast(kind)

@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foreledger.config import Settings
-from foreledger.operators.incremental import delete_insert, lookback, not_loaded, since
-from foreledger.plans.dwh import fact, forecast_accuracy
+from foreledger.functions.scalars import horizon_band, ntz
+from foreledger.operators.incremental import delete_insert, since_mark
+from foreledger.plans import pruned
+from foreledger.plans.dwh import DAY_ROWS, HORIZON_FRAME, MOVING, fact, forecast_accuracy
 from foreledger.plans.loads import accuracy_from, facts_from, first_week
 from foreledger.plans.marts import analytics, daily_report
 from foreledger.plans.ods import daily_summary, ods_enrich
-from foreledger.plans.staging import stg_current, stg_history
+from foreledger.plans.staging import history_rows, stg_current, stg_history
+from foreledger.sources import store
 from foreledger.sources.store import (
+    Snapshot,
     exists,
     materialize_as,
+    read_snapshot,
     rebuild,
     replace_partitions,
     touched_partitions,
@@ -36,72 +42,176 @@ class Layers:
         return f"{self.out.rstrip('/')}/{name}"
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        return store.read(self.spark, self.path(name))
 
     def has(self, name: str) -> bool:
         return exists(self.spark, self.path(name))
 
+    def state(self, name: str, version: int | None = None) -> Snapshot | None:
+        return store.snapshot(self.spark, self.path(name), version)
+
+
+@dataclass(frozen=True)
+class Source:
+    """Raw versions: a plain DataFrame, or a published table of which only parts are read."""
+
+    spark: SparkSession
+    rows: DataFrame
+    path: str | None = None
+    state: Snapshot | None = None
+
+    @staticmethod
+    def of(spark: SparkSession, raw: DataFrame | str) -> Source:
+        if isinstance(raw, DataFrame):
+            return Source(spark, raw)
+        state = store.snapshot(spark, raw)
+        if state is None or state.by != BY:
+            raise ValueError(f"no table partitioned by {BY} at {raw}")
+        return Source(spark, read_snapshot(spark, raw, state).drop(BY), raw, state)
+
+    @property
+    def version(self) -> int | None:
+        return self.state.version if self.state else None
+
+    def before(self, target: Snapshot | None) -> Snapshot | None:
+        """The state of this source that `target` was built from, if it is still known."""
+        known = target.source_version if target else None
+        return store.snapshot(self.spark, self.path, known) if known and self.path else None
+
+    def days(self, only: list[str]) -> DataFrame:
+        return read_snapshot(self.spark, self.path, self.state, only).drop(BY)
+
 
 def dated(df: DataFrame) -> DataFrame:
     return df.withColumn(BY, F.to_date("data_from_dttm"))
 
 
-def build_ods(to: Layers, stg: DataFrame, cfg: Settings, full: bool) -> None:
-    if full or not to.has("ods_periods"):
-        return rebuild(ods_enrich(stg, cfg), to.path("ods_periods"), BY)
-    target = to.read("ods_periods")
-    batch = ods_enrich(since(stg, target, "processed_dttm", "updated_at"), cfg)
-    part = touched_partitions(target, batch, BY).select(*batch.columns)
-    replace_partitions(delete_insert(part, batch, "period_key"), to.path("ods_periods"), BY)
+def build_ods(to: Layers, raw: Source, cfg: Settings, full: bool) -> None:
+    path = to.path("ods_periods")
+    held = to.state("ods_periods")
+    if full or held is None:
+        rebuild(ods_enrich(stg_current(raw.rows, cfg), cfg), path, BY, raw.version)
+        return
+    rows = raw.rows
+    if raw.state and (older := raw.before(held)):
+        rows = raw.days(raw.state.changed_since(older))
+    new = since_mark(stg_current(rows, cfg), held.newest("updated_at"), "processed_dttm")
+    batch = ods_enrich(new, cfg)
+    part = touched_partitions(to.read("ods_periods"), batch, BY)
+    columns = [c for c in batch.columns if c in part.columns]
+    # a column the policy lets in is NULL in the rows that stay
+    kept = delete_insert(part.select(*columns), batch.select(*columns), "period_key")
+    if set(columns) != set(batch.columns):
+        added = batch.select("period_key", *[c for c in batch.columns if c not in columns])
+        kept = kept.join(added, "period_key", "left").select(*batch.columns)
+    replace_partitions(kept, path, BY, cfg.schema_policy, raw.version)
 
 
 def build_daily(to: Layers, cfg: Settings, full: bool) -> None:
-    ods = to.read("ods_periods")
-    if full or not to.has("ods_daily_summary"):
-        return rebuild(daily_summary(ods, cfg), to.path("ods_daily_summary"), BY)
-    recent = lookback(ods, to.read("ods_daily_summary"), BY, cfg.lookback_days, cfg.start_date)
+    path, ods = to.path("ods_daily_summary"), to.read("ods_periods")
+    held = to.state("ods_daily_summary")
+    if full or held is None:
+        rebuild(daily_summary(ods, cfg), path, BY)
+        return
+    newest = held.newest(BY)
+    first = newest - dt.timedelta(days=cfg.lookback_days) if newest else cfg.start_date.date()
     # the partition column is the merge key: a written day replaces the stored one
-    replace_partitions(daily_summary(recent, cfg), to.path("ods_daily_summary"), BY)
+    recent = ods.filter(F.col(BY) >= F.lit(first))
+    replace_partitions(daily_summary(recent, cfg), path, BY, cfg.schema_policy)
 
 
-def build_fact(to: Layers, history: DataFrame, cfg: Settings, full: bool) -> None:
+def build_fact(to: Layers, raw: Source, cfg: Settings, full: bool) -> None:
     path = to.path("dwh_version_fact")
-    if full or not to.has("dwh_version_fact"):
-        return rebuild(dated(fact(history, cfg)), path, BY)
-    target = to.read("dwh_version_fact")
-    new = since(history, target, "processed_dttm", "processed_dttm", cfg.start_date)
-    start = first_week(new)
-    if start is not None:
-        replace_partitions(dated(facts_from(history, start, cfg)), path, BY)
+    held = to.state("dwh_version_fact")
+    if full or held is None:
+        rebuild(dated(fact(stg_history(raw.rows, cfg), cfg)), path, BY, raw.version)
+        return
+    if raw.state and (older := raw.before(held)):
+        start = pruned.first_changed_week(raw.state, older)
+        if start is None:
+            return
+        history = stg_history(raw.days(fact_days(raw, start, cfg)), cfg)
+        start = dt.datetime.combine(start, dt.time())
+    else:
+        history = stg_history(raw.rows, cfg)
+        mark = held.newest("processed_dttm")
+        start = first_week(since_mark(history, mark, "processed_dttm", cfg.start_date))
+        if start is None:
+            return
+    rows = dated(facts_from(history, start, cfg))
+    replace_partitions(rows, path, BY, cfg.schema_policy, raw.version)
+
+
+def fact_days(raw: Source, start: dt.date, cfg: Settings) -> list[str]:
+    """Partitions of the version table that the facts from `start` on are made of.
+
+    The moving averages look back over periods, the horizon error over versions in
+    the order they were made: a partition may be left out only if all its versions
+    were made before those that fill the frames.
+    """
+    inside, before = pruned.split_days(raw.state, start)
+    made = "valid_from_dttm"
+    kind, band = F.col("is_current_version"), horizon_band(F.col("forecast_horizon_hours"))
+    wanted = history_rows(raw.days(inside), cfg)
+    kinds, bands = pruned.values_of(wanted, kind), pruned.values_of(wanted, band)
+    oldest = pruned.oldest_in(raw.state, inside, made)
+
+    def full(tried: list[str], left: list[str]) -> bool:
+        latest = pruned.newest_in(raw.state, left, made)
+        if oldest is None or latest is None or latest >= oldest:
+            return False
+        rows = history_rows(raw.days(tried), cfg)
+        early = rows.filter(F.col("forecast_made_at") < ntz(oldest))
+        return pruned.enough(rows, kind, kinds, max(MOVING.values()) - 1) and pruned.enough(
+            early, band, bands, HORIZON_FRAME, latest, "forecast_made_at"
+        )
+
+    return inside + pruned.halo(before, full)
 
 
 def build_accuracy(to: Layers, cfg: Settings, full: bool) -> None:
-    path = to.path("dwh_forecast_accuracy")
-    facts = to.read("dwh_version_fact").drop(BY)
-    if full or not to.has("dwh_forecast_accuracy"):
-        return rebuild(forecast_accuracy(facts, cfg), path, BY)
-    done = facts.filter("actual_intensity IS NOT NULL")
-    loaded = to.read("dwh_forecast_accuracy")
-    start = first_week(not_loaded(done, loaded, "fact_key", "is_current_version"))
-    if start is not None:
-        replace_partitions(accuracy_from(done, start, cfg), path, BY)
+    path, done = to.path("dwh_forecast_accuracy"), F.col("actual_intensity").isNotNull()
+    facts, held = to.state("dwh_version_fact"), to.state("dwh_forecast_accuracy")
+
+    def read(days: list[str] | None = None) -> DataFrame:
+        where = to.path("dwh_version_fact")
+        return read_snapshot(to.spark, where, facts, days).drop(BY).filter(done)
+
+    if full or held is None:
+        rebuild(forecast_accuracy(read(), cfg), path, BY, facts.version)
+        return
+    older = to.state("dwh_version_fact", held.source_version) if held.source_version else None
+    start = pruned.first_changed_week(facts, older)
+    if start is None:
+        return
+    inside, before = pruned.split_days(facts, start)
+    key = F.col("forecast_horizon_category")
+    wanted = pruned.values_of(read(inside), key)
+    context = pruned.halo(
+        before, lambda tried, left: pruned.enough(read(tried), key, wanted, DAY_ROWS)
+    )
+    rows = accuracy_from(read(inside + context), dt.datetime.combine(start, dt.time()), cfg)
+    replace_partitions(rows, path, BY, cfg.schema_policy, facts.version)
 
 
 def build_all(
-    spark: SparkSession, raw: DataFrame, out: str, cfg: Settings, full_refresh: bool = False
+    spark: SparkSession, raw: DataFrame | str, out: str, cfg: Settings, full_refresh: bool = False
 ) -> Layers:
     """Staging as views, stores and warehouse as partitioned tables, marts rewritten.
 
     Later layers read the written earlier ones, so each is computed once. An
-    incremental run replaces only the partitions its rows fall into.
+    incremental run replaces only the partitions its rows fall into. Where `raw` is the
+    path of a published version table (as the ingest keeps it), such a run also reads only
+    the partitions that changed since the layer was built, and those its windows reach back to.
     """
     to = Layers(spark, out)
-    cfg = cfg.sized_by(raw)
-    stg = materialize_as(stg_current(raw, cfg), "stg_current", "view", "")
-    history = materialize_as(stg_history(raw, cfg), "stg_history", "view", "")
-    build_ods(to, stg, cfg, full_refresh)
+    source = Source.of(spark, raw)
+    cfg = cfg.sized_by(source.rows)
+    materialize_as(stg_current(source.rows, cfg), "stg_current", "view", "")
+    materialize_as(stg_history(source.rows, cfg), "stg_history", "view", "")
+    build_ods(to, source, cfg, full_refresh)
     build_daily(to, cfg, full_refresh)
-    build_fact(to, history, cfg, full_refresh)
+    build_fact(to, source, cfg, full_refresh)
     build_accuracy(to, cfg, full_refresh)
     mart = analytics(to.read("ods_periods"), to.read("dwh_forecast_accuracy"), cfg)
     materialize_as(mart, "dm_analytics", "table", to.path("dm_analytics"), BY)

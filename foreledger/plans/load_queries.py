@@ -12,6 +12,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from foreledger.functions.scalars import ntz
+from foreledger.operators import timeline
 from foreledger.operators.explore import recent, stats
 from foreledger.operators.incremental import (
     append,
@@ -167,6 +168,24 @@ def _(run):
     return scd2_merge(table, flatten(documents(old_log(run))), CUT)
 
 
+@query(
+    "scd2_any_order",
+    f"""i:id {PERIOD} i:forecast_intensity i:actual_intensity index_forecast index_actual
+        valid_from_dttm t:valid_to_dttm src_processed_dttm processed_dttm""",
+)
+def _(run):
+    """The newest deliveries come first, then the oldest, those between, and the newest again."""
+    first, last = dt.datetime(2024, 1, 10), CUT
+    rows = run.log.withColumn("src_processed_dttm", F.col("created_at"))
+    at = F.col("created_at")
+    newest, oldest = rows.filter(at >= ntz(last)), rows.filter(at < ntz(first))
+    between = rows.filter((at >= ntz(first)) & (at < ntz(last)))
+    held = timeline.empty(run.raw)
+    for batch in (newest, oldest, between, newest):
+        held = timeline.insert(held, batch, run.cfg)
+    return held.versions
+
+
 @query("load_stats", "i:extracted i:inserted i:reversioned i:loaded transfer_ok")
 def _(run):
     return load_stats(old_raw(run), flatten(documents(new_log(run))))

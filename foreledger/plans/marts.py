@@ -20,7 +20,13 @@ from foreledger.config import (
     UNIT_TEXT,
     Settings,
 )
-from foreledger.functions.aggregates import category_mean_cols, count_cols, peak_cols, stat_cols
+from foreledger.functions.aggregates import (
+    category_mean_cols,
+    count_cols,
+    exact_mean,
+    peak_cols,
+    stat_cols,
+)
 from foreledger.functions.scalars import (
     anomaly_cols,
     bands,
@@ -221,8 +227,8 @@ def report_base(mart: DataFrame, cfg: Settings, more: Sequence[Column] = ()) ->
         *stat_cols(c(forecast), "forecast", spread=True),
         *stat_cols(c(actual), "actual"),
         F.avg(F.abs("forecast_error")).alias("avg_absolute_error"),
-        F.avg("forecast_error_percent").alias("avg_error_percent"),
-        F.avg("rolling_accuracy_rate_pct").alias("avg_accuracy_rate"),
+        exact_mean(c("forecast_error_percent")).alias("avg_error_percent"),
+        exact_mean(c("rolling_accuracy_rate_pct"), 6).alias("avg_accuracy_rate"),
         *category_mean_cols(c("forecast_category"), c(forecast)),
         *more,
     ]

@@ -15,14 +15,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from foreledger.config import Settings
 from foreledger.functions.scalars import ntz
+from foreledger.operators import timeline
 from foreledger.operators.incremental import upsert_latest
-from foreledger.operators.versioning import RAW_COLUMNS, latest_per_key, scd2_merge
+from foreledger.operators.versioning import RAW_COLUMNS, latest_per_key
 from foreledger.plans.ods import daily_summary, ods_enrich
 from foreledger.plans.staging import stg_current
 from foreledger.session import prepare
-from foreledger.sources.feed import flatten, parse_feed
+from foreledger.sources.feed import flatten, parse_feed, require_some
 from foreledger.sources.store import (
     exists,
+    read,
     rebuild,
     replace_partitions,
     touched_partitions,
@@ -57,27 +59,29 @@ class Ingest:
     spark: SparkSession
     out: str
     cfg: Settings
+    require_good: bool = True
 
     def path(self, name: str) -> str:
         return f"{self.out.rstrip('/')}/{name}"
 
-    def _put(self, df: DataFrame, name: str) -> None:
+    def _put(self, df: DataFrame, name: str, by: str = BY) -> None:
         write = replace_partitions if exists(self.spark, self.path(name)) else rebuild
-        write(df, self.path(name), BY)
+        write(df, self.path(name), by)
 
     def _touched(self, name: str, batch: DataFrame) -> DataFrame | None:
         if not exists(self.spark, self.path(name)):
             return None
-        return touched_partitions(self.spark.read.parquet(self.path(name)), batch, BY)
+        return touched_partitions(read(self.spark, self.path(name)), batch, BY)
 
     def records(self, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(latest good record per period, bad records) of the batch's responses."""
+        """(good records, bad records) of the batch's responses."""
         good, bad = parse_feed(batch, "body")
         docs = good.select(*DOC_KEYS, "created_at", "intensity")
-        order = ["created_at", "intensity"]
-        return latest_per_key(docs, DOC_KEYS, order).withColumn(BY, F.to_date("from")), bad
+        return docs.withColumn(BY, F.to_date("from")), bad
 
     def upsert_batch(self, docs: DataFrame) -> None:
+        """The latest record of each period stays."""
+        docs = latest_per_key(docs, DOC_KEYS, ["created_at", "intensity"])
         stored = self._touched("documents", docs)
         if stored is not None:
             docs = upsert_latest(
@@ -86,13 +90,17 @@ class Ingest:
         self._put(docs, "documents")
 
     def scd2_batch(self, docs: DataFrame) -> None:
+        """Every record finds its place in the versions, also one that comes late."""
         rows = flatten(docs)
         now = rows.agg(F.max("src_processed_dttm")).first()[0]
-        stored = self._touched("raw_versions", docs)
-        if stored is None:
-            stored = self.spark.createDataFrame([], RAW_SCHEMA)
-        merged = scd2_merge(stored.select(*RAW_COLUMNS), rows, now)
-        self._put(merged.withColumn(BY, F.to_date("data_from_dttm")), "raw_versions")
+        held = timeline.empty(self.spark.createDataFrame([], RAW_SCHEMA))
+        stored, confirmed = (self._touched(t, docs) for t in ("raw_versions", "raw_confirmed"))
+        if stored is not None:
+            held = timeline.Timeline(stored.drop(BY), held.confirmed if confirmed is None else confirmed.drop(BY))
+        merged = timeline.insert(held, rows, self.cfg, now, one_per_stamp=True)
+        day = F.to_date("data_from_dttm")
+        self._put(merged.versions.withColumn(BY, day), "raw_versions")
+        self._put(merged.confirmed.withColumn(BY, day), "raw_confirmed")
 
     def recompute_days(self, docs: DataFrame) -> None:
         """Day rows of the touched days; late actuals of past days come in that way."""
@@ -106,8 +114,13 @@ class Ingest:
             if not bad.isEmpty():
                 # by batch, so a replay writes the same partition again
                 numbered = bad.withColumn("batch_id", F.lit(batch_id))
-                replace_partitions(numbered, self.path("bad_records"), "batch_id")
+                self._put(numbered, "bad_records", "batch_id")
+            if batch.isEmpty():
+                return
             if docs.isEmpty():
+                # a poll that brings responses but no usable record is an error, not an empty load
+                if self.require_good:
+                    require_some(docs)
                 return
             self.upsert_batch(docs)
             self.scd2_batch(docs)

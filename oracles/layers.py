@@ -14,7 +14,7 @@ def whole(names: str, source: str) -> None:
         BODIES[name] = (source, f"SELECT * FROM {source}")
 
 
-whole("scd2_from_log", "raw")
+whole("scd2_from_log scd2_any_order", "raw")
 whole("stg_current period_minutes index_to_number forecast_error forecast_error_pct", "stg")
 whole("stg_history text_normalise horizon_hours version_flags version_number", "hist")
 whole("total_versions version_delta", "hist")

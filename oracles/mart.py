@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from oracles.sql import exact_mean
+
 from foreledger.config import DAY_NAMES, DAY_PARTS
 
 V = "forecast_co2_gco2_kwh"
@@ -120,8 +122,8 @@ BODIES: dict[str, tuple[str, str]] = {
     ),
     "accuracy_summary": (
         "month",
-        """SELECT count(*) AS rows_with_actual, avg(abs(forecast_error)) AS mae,
-                  avg(abs(forecast_error_percent)) AS mape,
+        f"""SELECT count(*) AS rows_with_actual, avg(abs(forecast_error)) AS mae,
+                  {exact_mean("abs(forecast_error_percent)")} AS mape,
                   100.0 * count(*) FILTER (is_forecast_accurate) / count(*) AS accuracy_rate
            FROM month WHERE actual_co2_gco2_kwh IS NOT NULL""",
     ),

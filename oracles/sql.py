@@ -57,6 +57,11 @@ def hours(a: str, b: str, per: str = "3600000000.0") -> str:
     return f"(epoch_us({b}) - epoch_us({a})) / {per}::DOUBLE"
 
 
+def exact_mean(value: str, digits: int = 2) -> str:
+    scaled = f"round(({value}) * {10**digits})::BIGINT"
+    return f"sum({scaled}) / nullif(count({value}) * {10**digits}, 0)"
+
+
 def key(*cols: str) -> str:
     parts = ", ".join(f"coalesce({c}::VARCHAR, '_null_')" for c in cols)
     return f"md5(concat_ws('-', {parts}))"
@@ -125,11 +130,13 @@ table(
 _CHANGED = """
     SELECT *, date_trunc('second', created_at) AS valid_from_dttm
     FROM (SELECT *, row_number() OVER p AS seen,
-                 lag(forecast_intensity) OVER p AS f0, lag(actual_intensity) OVER p AS a0
+                 lag(forecast_intensity) OVER p AS f0, lag(actual_intensity) OVER p AS a0,
+                 lag(index_forecast) OVER p AS if0, lag(index_actual) OVER p AS ia0
           FROM {source}
           WINDOW p AS (PARTITION BY data_from_dttm, data_to_dttm ORDER BY created_at, id))
     WHERE seen = 1 OR forecast_intensity IS DISTINCT FROM f0
-          OR actual_intensity IS DISTINCT FROM a0"""
+          OR actual_intensity IS DISTINCT FROM a0
+          OR index_forecast IS DISTINCT FROM if0 OR index_actual IS DISTINCT FROM ia0"""
 _VERSIONS = """
     SELECT id, data_from_dttm, data_to_dttm, forecast_intensity, actual_intensity,
            index_forecast, index_actual, valid_from_dttm,
@@ -253,7 +260,7 @@ DAILY_BODY = f"""
                  avg(actual_intensity) AS avg_actual_intensity,
                  quantile_cont(actual_intensity, 0.5) AS median_actual_intensity,
                  avg(abs(forecast_error_gco2_kwh)) AS avg_absolute_error,
-                 avg(forecast_error_percent) AS avg_forecast_error_percent,
+                 {exact_mean("forecast_error_percent")} AS avg_forecast_error_percent,
                  count(*) FILTER (is_forecast_accurate) AS accurate_forecasts_count,
                  {_MINUTES}
           FROM {{source}} GROUP BY ALL)"""
@@ -421,8 +428,8 @@ table(
            avg(actual_co2_gco2_kwh) AS avg_actual,
            quantile_cont(actual_co2_gco2_kwh, 0.5) AS median_actual,
            avg(abs(forecast_error)) AS avg_absolute_error,
-           avg(forecast_error_percent) AS avg_error_percent,
-           avg(rolling_accuracy_rate_pct) AS avg_accuracy_rate, {_MEANS}
+           {exact_mean("forecast_error_percent")} AS avg_error_percent,
+           {exact_mean("rolling_accuracy_rate_pct", 6)} AS avg_accuracy_rate, {_MEANS}
     FROM recent GROUP BY ALL""",
 )
 _TEXT = f"data_hour || '{HOUR_MARK} (' || forecast_co2_gco2_kwh || ' {UNIT_TEXT})'"

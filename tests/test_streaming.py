@@ -5,12 +5,12 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from foreledger.operators.incremental import upsert_latest
-from foreledger.operators.versioning import latest_per_key, scd2_merge
+from foreledger.operators.versioning import KEYS, TRACKED, latest_per_key, scd2_from_log
 from foreledger.plans.run import Run
 from foreledger.sources.feed import flatten, parse_feed
 from foreledger.sources.series import responses
+from foreledger.sources.store import read
 from foreledger.streaming.ingest import (
-    RAW_SCHEMA,
     first_seen,
     landed,
     start_ingest,
@@ -40,23 +40,24 @@ def test_ingest_equals_batch(spark, cfg, tmp_path):
         assert query.exception() is None
 
     keys, order = ["from", "to"], ["created_at", "intensity"]
-    table = spark.createDataFrame([], RAW_SCHEMA)
+    seen = None
     docs = None
     for part, at in zip(halves, stamps):
         good, _ = parse_feed(part, "body")
         good = latest_per_key(
             good.select("from", "to", "created_at", "intensity"), keys, order
         )
-        table = scd2_merge(table, flatten(good), at)
+        seen = good if seen is None else seen.unionByName(good)
         docs = good if docs is None else upsert_latest(docs, good, keys, order)
-    stored = spark.read.parquet(f"{out}/raw_versions")
-    assert sorted_rows(stored.drop("data_date")) == sorted_rows(table)
-    assert sorted_rows(spark.read.parquet(f"{out}/documents").drop("data_date")) == sorted_rows(
-        docs
-    )
-    days = spark.read.parquet(f"{out}/days")
+    log = flatten(seen).withColumn("created_at", F.col("src_processed_dttm"))
+    log = log.withColumn("id", F.xxhash64(*KEYS, *TRACKED, "src_processed_dttm"))
+    clock = ["data_date", "processed_dttm"]
+    stored = read(spark, f"{out}/raw_versions")
+    assert sorted_rows(stored.drop(*clock)) == sorted_rows(scd2_from_log(log, cfg).drop(*clock))
+    assert sorted_rows(read(spark, f"{out}/documents").drop("data_date")) == sorted_rows(docs)
+    days = read(spark, f"{out}/days")
     assert days.agg(F.sum("total_periods")).first()[0] == docs.count()
-    assert spark.read.parquet(f"{out}/bad_records").count() == 2
+    assert read(spark, f"{out}/bad_records").count() == 2
 
 
 def test_landed_files(spark, tmp_path):
