@@ -37,8 +37,9 @@ from pyspark.sql import functions as F
 from foreledger.llm.common import stored
 
 SAMPLE = 20_000
-VOTERS = 96
-TERMS = 2048
+VOTERS = 96  # size of the label model, which is quadratic in it; all telling terms are features
+ROUND = 128  # candidates compared with the voters chosen before, at a time
+REDUCERS = 32  # rows a sum of matrices may send to the driver
 PREFIXES = (4, 5, 6, 7)  # letters; a prefix is written with a hyphen after it
 DEFAULT_PRIOR = 0.1
 DEFAULT_REACH = 0.5
@@ -55,7 +56,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 def terms(text: str | None) -> set[str]:
     """Words of a text and their beginnings."""
     words = set(_WORD.findall((text or "").lower()))
-    out = {w for w in words if len(w) <= 40}
+    out = set(words)
     for n in PREFIXES:
         out.update([w[:n] + "-" for w in words if len(w) > n])
     return out
@@ -96,16 +97,15 @@ def sample_of(labelled: DataFrame) -> DataFrame:
     return labelled.join(F.broadcast(chosen), "key", "left_semi").select("text", "toxic")
 
 
-def telling_terms(labelled: DataFrame) -> tuple[pd.DataFrame, int, int]:
-    """Terms that go with toxic texts beyond chance, and the labels' sizes.
+def telling_terms(labelled: DataFrame) -> tuple[pd.DataFrame, dict[str, tuple[int, int]], int, int]:
+    """Terms that go with toxic texts beyond chance, the given terms' counts, and the labels' sizes.
 
-    The test is the likelihood ratio, at a level that falls with the number of
-    terms tried.
+    Counts are a term's toxic (a) and clean (b) labelled texts. The test is the likelihood
+    ratio, at a level that falls with the number of terms tried; it bounds what is
+    fetched, since more texts make few more terms telling.
     """
     sizes = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
-    if not toxic or not clean:
-        return pd.DataFrame({"term": [], "a": [], "b": [], "g": []}), toxic, clean
     counted = (
         labelled.select("text", "toxic").mapInArrow(_count_terms, "term string, toxic long, n long")
         .groupBy("term")
@@ -114,7 +114,10 @@ def telling_terms(labelled: DataFrame) -> tuple[pd.DataFrame, int, int]:
             F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b"),
         )
     )
-    counted = stored(counted.where("a + b >= 3"), "terms")
+    counted = stored(counted, "terms")
+    given = {r["term"]: (r["a"], r["b"]) for r in counted.where(F.col("term").isin(*GIVEN)).collect()}
+    if not toxic or not clean:
+        return pd.DataFrame({"term": [], "a": [], "b": [], "g": []}), given, toxic, clean
     tried = max(2, counted.count())
     total, a, b = toxic + clean, F.col("a"), F.col("b")
 
@@ -127,94 +130,101 @@ def telling_terms(labelled: DataFrame) -> tuple[pd.DataFrame, int, int]:
         g = g + part(seen, (a + b) * share) + part(size - seen, (F.lit(total) - a - b) * share)
     best = counted.where(a * clean > 3 * b * toxic).withColumn("g", 2 * g)
     best = best.where(F.col("g") >= 2 * math.log(tried))
-    return best.orderBy(F.desc("g"), "term").limit(TERMS).toPandas(), toxic, clean
-
-
-def choose_voters(found: pd.DataFrame, mostly: np.ndarray, features: list[str]) -> list[str]:
-    """The given terms and the best of those that go with toxic texts.
-
-    A term that mostly occurs in the texts of one chosen before, and is no surer
-    than that, says the same and is left out. `mostly` says of each
-    two features whether half the labelled texts of the first hold the second.
-    """
-    place = {t: j for j, t in enumerate(features)}
-    sure = {row.term: row.a / (row.a + row.b) for row in found.itertuples()}
-    voters = list(GIVEN)
-    for row in found.itertuples():
-        if len(voters) >= VOTERS:
-            break
-        own = mostly[place[row.term]]
-        rivals = [v for v in voters if sure.get(v, 0) >= sure[row.term]]
-        if not any(own[place[v]] for v in rivals):
-            voters.append(row.term)
-    return voters
-
+    return best.orderBy(F.desc("g"), "term").toPandas(), given, toxic, clean
 
-def vote_sums(docs: DataFrame, voters: list[str]) -> DataFrame:
-    """i, j and n: how often each two voters fire in one text, over all different texts.
 
-    The number of texts is under the place after the last voter, twice.
-    """
-    place = {v: i for i, v in enumerate(voters)}
-    m = len(voters)
+def firing(docs: DataFrame, features: list[str], *keep: Column) -> DataFrame:
+    """The columns asked for and `fired`, the places of the features in each text."""
+    place = {t: i for i, t in enumerate(features)}
+    slim = docs.select(*keep, F.col("text").alias("_fl_text"))
 
     def fire(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fired = [
+            found = [
                 sorted(place[t] for t in terms(x.as_py()) & place.keys())
-                for x in batch.column("text")
+                for x in batch.column("_fl_text")
             ]
-            yield pa.record_batch(
-                [batch.column("key"), pa.array(fired, pa.list_(pa.int32()))], names=["key", "fired"]
+            rest = batch.drop_columns(["_fl_text"])
+            yield pa.RecordBatch.from_arrays(
+                [*rest.columns, pa.array(found, pa.list_(pa.int32()))],
+                names=[*rest.schema.names, "fired"],
             )
 
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema if f.name != "_fl_text"]
+    return slim.mapInArrow(fire, ", ".join([*fields, "fired array<int>"]))
+
+
+def together(rows: DataFrame, left: list[int], right: list[int]) -> tuple[np.ndarray, int]:
+    """How often features `left` and `right` fire in one text, and the number of texts.
+
+    A task sums into one matrix and sends one row; those are summed again in at most
+    REDUCERS tasks, so the driver gets no more however many tasks there are.
+    """
+    shape = (len(left), len(right))
+
+    def marks(fired: pa.Array, chosen: list[int]) -> np.ndarray:
+        column = np.full(max([*chosen, 0]) + 2, -1)
+        column[chosen] = np.arange(len(chosen))
+        flat = np.asarray(fired.flatten())
+        row = np.repeat(np.arange(len(fired)), np.diff(np.asarray(fired.offsets)))
+        where = column[np.minimum(flat, len(column) - 1)]
+        out = np.zeros((len(fired), len(chosen)), np.float32)
+        out[row[where >= 0], where[where >= 0]] = 1
+        return out
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both, rows = np.zeros((m, m), np.int64), 0
+        both, texts = np.zeros(shape, np.int64), 0
         for batch in batches:
-            for fired in batch.column("fired").to_pylist():
-                both[np.ix_(fired, fired)] += 1
-                rows += 1
-        i, j = np.nonzero(both)
-        yield pa.record_batch(
-            [pa.array(np.append(*x)) for x in ((i, m), (j, m), (both[i, j], rows))],
-            schema=pa.schema([(c, pa.int64()) for c in "ijn"]),
-        )
+            fired = batch.column("fired")
+            # exact: a batch has fewer rows than a float holds whole numbers
+            both += (marks(fired, left).T @ marks(fired, right)).astype(np.int64)
+            texts += len(fired)
+        yield pa.RecordBatch.from_pydict({"both": [both.tobytes()], "texts": [texts]})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        both, texts = np.zeros(shape, np.int64), 0
+        for batch in batches:
+            for part, n in zip(batch.column("both"), batch.column("texts").to_pylist(), strict=True):
+                both += np.frombuffer(part.as_buffer(), np.int64).reshape(shape)
+                texts += n
+        if texts:
+            yield pa.RecordBatch.from_pydict({"both": [both.tobytes()], "texts": [texts]})
+
+    kind = "both binary, texts long"
+    sums = rows.select("fired").mapInArrow(count, kind).repartition(REDUCERS).mapInArrow(add, kind)
+    both, texts = np.zeros(shape), 0
+    for part, n in sums.collect():  # at most REDUCERS
+        both += np.frombuffer(bytes(part), np.int64).reshape(shape)
+        texts += n
+    return both, texts
+
+
+def choose_voters(found: pd.DataFrame, features: list[str], fired: DataFrame) -> list[str]:
+    """The given terms and the best of those that go with toxic texts.
 
-    votes = docs.select(F.xxhash64("text").alias("key"), "text").mapInArrow(
-        fire, "key long, fired array<int>"
-    )
-    summed = votes.dropDuplicates(["key"]).select("fired").mapInArrow(count, "i long, j long, n long")
-    return summed.groupBy("i", "j").agg(F.sum("n").alias("n"))
-
-
-def vote_moments(docs: DataFrame, voters: list[str]) -> tuple[np.ndarray, int]:
-    """The sums of `vote_sums` as a matrix, and the number of texts."""
-    m = len(voters)
-    out = np.zeros((m + 1, m + 1))
-    for i, j, n in vote_sums(docs, voters).collect():  # at most voters squared
-        out[i, j] = n
-    return out[:m, :m], int(out[m, m])
-
-
-def label_moments(labelled: DataFrame, features: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Over all labelled texts: how often each feature occurs by label, and which go mostly together."""
-    m = len(features)
-    by_label = [
-        vote_sums(labelled.where(F.col("toxic") == label), features).withColumn("toxic", F.lit(label))
-        for label in (0, 1)
-    ]
-    sums = stored(by_label[0].unionByName(by_label[1]).where(F.col("i") < m), "label-moments")
-    counts = np.zeros((2, m))
-    for i, label, n in sums.where("i = j").select("i", "toxic", "n").collect():  # twice the features
-        counts[label, i] = n
-    both = sums.groupBy("i", "j").agg(F.sum("n").alias("n"))
-    own = both.where("i = j").select("i", F.col("n").alias("own"))
-    pairs = both.join(own, "i").where("2 * n >= own")
-    # as Arrow columns: at most features squared, in practice few
-    found = pairs.select(F.col("i").cast("int"), F.col("j").cast("int")).toArrow()
-    mostly = np.zeros((m, m), bool)
-    mostly[found["i"].to_numpy(), found["j"].to_numpy()] = True
-    return counts, mostly
+    A term that mostly occurs in the texts of one chosen before, and is no surer
+    than that, says the same and is left out. Candidates are taken in rounds: each
+    round counts how often they occur with those chosen so far and with each other.
+    """
+    place = {t: j for j, t in enumerate(features)}
+    sure = {row.term: row.a / (row.a + row.b) for row in found.itertuples()}
+    own = {row.term: row.a + row.b for row in found.itertuples()}
+    voters = list(GIVEN)
+    candidates = [t for t in found["term"] if t not in GIVEN]
+    for start in range(0, len(candidates), ROUND):
+        if len(voters) >= VOTERS:
+            break
+        new = candidates[start : start + ROUND]
+        rivals = [*voters, *new]
+        both, _ = together(fired, [place[t] for t in new], [place[t] for t in rivals])
+        at = {t: j for j, t in enumerate(rivals)}
+        for i, term in enumerate(new):
+            covered = any(
+                2 * both[i, at[v]] >= own[term] for v in voters if sure.get(v, 0) >= sure[term]
+            )
+            if not covered and len(voters) < VOTERS:
+                voters.append(term)
+    return voters
 
 
 @dataclass
@@ -286,21 +296,8 @@ class Classifier:
 
 def present(sample: DataFrame, features: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
     """Features of each text of the sample, and its label."""
-    place = {t: i for i, t in enumerate(features)}
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [
-                sorted(place[t] for t in terms(x.as_py()) & place.keys())
-                for x in batch.column("text")
-            ]
-            yield pa.record_batch(
-                [pa.array(found, pa.list_(pa.int32())), batch.column("toxic")],
-                names=["found", "toxic"],
-            )
-
-    out = sample.mapInArrow(find, "found array<int>, toxic long").toPandas()  # at most SAMPLE rows
-    return [np.asarray(x, np.int64) for x in out["found"]], out["toxic"].to_numpy(np.int64)
+    out = firing(sample, features, F.col("toxic")).toPandas()  # at most SAMPLE rows
+    return [np.asarray(x, np.int64) for x in out["fired"]], out["toxic"].to_numpy(np.int64)
 
 
 def fit_classifier(
@@ -326,17 +323,18 @@ def fit_classifier(
 def train(docs: DataFrame, labels: DataFrame) -> Classifier:
     """Voters, label model and classifier from the training rows `docs`."""
     labelled = labelled_texts(docs, labels)
-    found, toxic, clean = telling_terms(labelled)
+    found, given, toxic, clean = telling_terms(labelled)
     features = [*GIVEN, *[t for t in found["term"] if t not in GIVEN]]
-    counts, mostly = label_moments(labelled, features)
-    voters = choose_voters(found, mostly, features)
+    voters = choose_voters(found, features, stored(firing(labelled, features), "labelled-features"))
     prior = toxic / (toxic + clean) if toxic and clean else DEFAULT_PRIOR
-    place = {t: i for i, t in enumerate(features)}
-    with_label = counts[:, [place[v] for v in voters]]
+    counts = given | {row.term: (row.a, row.b) for row in found.itertuples()}
+    with_label = np.array([counts.get(v, (0, 0))[::-1] for v in voters], float).T
     # voters first among the features
     features = list(dict.fromkeys([*voters, *features]))
     rows, _ = present(sample_of(labelled), features)
-    both, texts = vote_moments(docs, voters)
+    votes = firing(docs, voters, F.xxhash64("text").alias("key")).dropDuplicates(["key"])
+    every = list(range(len(voters)))
+    both, texts = together(votes, every, every)
     model = fit_label_model(both, texts, prior, with_label, toxic, clean)
     odds = np.array([model.log_odds(r[r < len(voters)]) for r in rows])
     posterior = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
