@@ -34,7 +34,17 @@ BLOCK = 1 << 20  # ids coded at a time, a multiple of four
 # case and composed form change one character into one, and words end at blanks.
 _PLAIN = re.compile("[\t\n\r -~À-ÖØ-öø-ÿ]*")
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-_MAX_CACHED = 400_000
+_MARKS = frozenset(".,;:!?")
+_MAX_CACHED = 800_000
+
+
+def _cut(word: str) -> tuple[str, ...] | list[str]:
+    """Pieces of a word; plain words, and those with one mark after them, need no pattern."""
+    if word.isalpha():
+        return (word,)
+    if word[-1] in _MARKS and word[:-1].isalpha():
+        return word[:-1], word[-1]
+    return _PIECE.findall(word)
 
 
 class Encoder:
@@ -74,9 +84,9 @@ class Encoder:
         for cache in (self.words, self.pieces):
             if len(cache) > _MAX_CACHED:
                 cache.clear()
-        new = [w for w in dict.fromkeys(chain.from_iterable(split)) if w not in self.words]
-        cut = [_PIECE.findall(w) for w in new]
-        fresh = [p for p in dict.fromkeys(chain.from_iterable(cut)) if p not in self.pieces]
+        new = list(set(chain.from_iterable(split)).difference(self.words))
+        cut = list(map(_cut, new))
+        fresh = list(set(chain.from_iterable(cut)).difference(self.pieces))
         if fresh:
             self.learn_pieces(fresh)
         known = self.pieces.__getitem__
