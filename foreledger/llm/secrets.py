@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,10 +33,12 @@ _HEX = re.compile(r"[0-9a-f]{32,}")  # runs of 32 or more; a shorter run holds n
 # what any assignment contains, to pass over texts without
 _NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
+# a key block begins and ends with such a line
+_KEY_BEGIN = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----")
+_KEY_END = re.compile(r"-----END [A-Z ]{0,40}PRIVATE KEY-----")
+
 # further kinds: a plain string every match contains, and the pattern
 _MORE = (
-    ("private_key", "-----BEGIN ", re.compile(
-        r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[\s\S]*?-----END [A-Z ]{0,40}PRIVATE KEY-----")),
     ("jwt", "eyJ", re.compile(
         r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")),
     ("forge_token", "gh", re.compile(r"\bgh[pousr]_[A-Za-z0-9]{36,}")),
@@ -43,7 +46,7 @@ _MORE = (
     ("url_password", "://", re.compile(
         r"\b[a-z][a-z0-9+.-]{1,20}://[^\s/:@]{1,64}:[^\s/:@]{3,64}@[A-Za-z0-9.-]+")),
 )
-KINDS = ("assign", "access", "hex", *(name for name, _, _ in _MORE))
+KINDS = ("assign", "access", "hex", "private_key", *(name for name, _, _ in _MORE))
 
 Span = tuple[int, int, int]  # start, place of the kind in KINDS, end
 
@@ -74,10 +77,27 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found)
 
 
+def key_blocks(text: str) -> list[Span]:
+    """Each begin line outside a block with the next end line; every line is looked at once."""
+    found, ends, closed = [], None, 0
+    for begin in _KEY_BEGIN.finditer(text):
+        if begin.start() < closed:
+            continue
+        if ends is None:
+            ends = [(m.start(), m.end()) for m in _KEY_END.finditer(text)]
+        at = bisect_left(ends, (begin.end(), 0))
+        if at == len(ends):
+            break
+        closed = ends[at][1]
+        found.append((begin.start(), 3, closed))
+    return found
+
+
 def more_spans(text: str) -> list[Span]:
-    return [
+    blocks = key_blocks(text) if "-----BEGIN " in text else []
+    return blocks + [
         (m.start(), place, m.end())
-        for place, (_, needle, pattern) in enumerate(_MORE, start=3)
+        for place, (_, needle, pattern) in enumerate(_MORE, start=4)
         if needle in text
         for m in pattern.finditer(text)
     ]
@@ -124,7 +144,7 @@ def scan_unseen(versions: DataFrame, ledger: DataFrame | None, key: str, text: s
     texts = versions.select(
         F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")
     ).withColumn("own", blob_of(F.col("text")))
-    due = carriers.hint("shuffle_hash").alias("c")
+    due = carriers.alias("c")
     unseen = texts.alias("t").join(
         due, F.col("t.key").eqNullSafe(F.col("c.key")) & (F.col("t.own") == F.col("c.blob"))
     )

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foreledger.llm.common import write_file
+from foreledger.llm.common import stored, write_file
 
 MIN_REVISIT = 100
 DATE = "2024-01-01T00:00:00Z"
@@ -123,7 +123,7 @@ def write_archives(pages: DataFrame, folder: str, per_archive: int = 64 << 20) -
     # a page id that repeats has one decision for each of its payloads
     each = decisions.select("page_id", "digest", "refers_to").distinct().alias("d")
     joined = texts.alias("t").join(
-        each.hint("shuffle_hash"),
+        each,
         F.col("t.page_id").eqNullSafe(F.col("d.page_id")) & (F.col("t.own") == F.col("d.digest")),
     )
     # a revisit needs no payload: it is not carried further
@@ -222,7 +222,8 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
         .load(folder)
     )
     records = files.select("content").mapInArrow(_read, _RECORDS)
-    return resolved(records)
+    # written, so that the archives are read and unpacked once
+    return resolved(stored(records, "warc-records"))
 
 
 def resolved(records: DataFrame) -> DataFrame:

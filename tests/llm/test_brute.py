@@ -194,6 +194,22 @@ def test_secret_patterns():
     assert secrets.finding("x https://me:pass1@host/")[4] == "url_password:2:23"
 
 
+def test_key_blocks_of_any_text():
+    plain = re.compile(
+        r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[\s\S]*?-----END [A-Z ]{0,40}PRIVATE KEY-----"
+    )
+    rnd = random.Random(2)
+    pieces = ["-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----", "-----END X PRIVATE KEY-----", "a\n", "-----"]
+    for _ in range(300):
+        text = "".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 12)))
+        want = [(m.start(), 3, m.end()) for m in plain.finditer(text)]
+        assert secrets.key_blocks(text) == want
+    # a text of begin lines, with and without an end
+    lines = "-----BEGIN PRIVATE KEY-----\nabc\n" * 100_000
+    assert secrets.more_spans(lines) == []
+    assert len(secrets.more_spans(lines + "-----END PRIVATE KEY-----")) == 1
+
+
 def test_secret_ledger_grows(spark, docs):
     df = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
     first = secrets.scan_unseen(df.where("doc_id < 100"), None, "doc_id", "text").cache()
