@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -34,6 +35,7 @@ BLOCK = 1 << 20  # ids coded at a time, a multiple of four
 # case and composed form change one character into one, and words end at blanks.
 _PLAIN = re.compile("[\t\n\r -~À-ÖØ-öø-ÿ]*")
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
+_TRIED = ["the", "zqxjk", "7", "...", "'s", "internationalisation", "~", "$%"]
 _MARKS = frozenset(".,;:!?")
 _MAX_CACHED = 800_000
 
@@ -51,7 +53,8 @@ class Encoder:
     """Ids of texts. Words and pieces seen before come from caches; new pieces go to the tokenizer.
 
     New pieces are tokenized as one text. The vocabulary marks the last token of
-    a piece, which tells the pieces apart again.
+    a piece, which tells the pieces apart again. Where the model alone gives the same
+    ids for ASCII pieces, which is tried on a few, those go to it directly.
     """
 
     def __init__(self, path: str):
@@ -65,12 +68,24 @@ class Encoder:
             self.ends[i] = token.endswith("</w>")
         self.pieces: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.direct = self.model_parts(_TRIED) == [self.ids(p).tobytes() for p in _TRIED]
+
+    def model_parts(self, new: list[str]) -> list[bytes]:
+        """Ids of pieces from the model alone."""
+        tokenize, code = self.tokenizer.model.tokenize, self.dtype.char
+        return [array(code, [t.id for t in tokenize(p)]).tobytes() for p in new]
 
     def ids(self, text: str) -> np.ndarray:
         coded = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.array(coded, self.dtype)
 
     def learn_pieces(self, new: list[str]) -> None:
+        if self.direct:
+            plain = [p for p in new if p.isascii()]
+            self.pieces.update(zip(plain, self.model_parts(plain), strict=True))
+            new = [p for p in new if not p.isascii()]
+        if not new:
+            return
         ids = self.ids(" ".join(new))
         raw, size = ids.tobytes(), ids.itemsize
         ends = ((np.flatnonzero(self.ends[ids]) + 1) * size).tolist()
