@@ -39,6 +39,7 @@ from foreledger.llm.common import stored
 SAMPLE = 20_000
 VOTERS = 96  # size of the label model, which is quadratic in it; all telling terms are features
 ROUND = 128  # candidates compared with the voters chosen before, at a time
+CELLS = 1 << 22  # bits of a bitmap of ids
 REDUCERS = 32  # rows a sum of matrices may send to the driver
 PREFIXES = (4, 5, 6, 7)  # letters; a prefix is written with a hyphen after it
 DEFAULT_PRIOR = 0.1
@@ -78,6 +79,21 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _may_be_in(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose doc_id may be among `ids`: a bitmap of CELLS bits, broadcast as one row."""
+    cell = F.pmod(F.xxhash64("doc_id"), F.lit(CELLS))
+    words = ids.groupBy((cell / 64).cast("int").alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(cell, F.lit(64)).cast("int"))).alias("bits")
+    )
+    found = words.toArrow()  # at most CELLS / 64 rows
+    bits = np.zeros(CELLS // 64, np.int64)
+    bits[found["word"].to_numpy()] = found["bits"].to_numpy()
+    one = rows.sparkSession.createDataFrame([(bits.tolist(),)], "_fl_bits array<long>")
+    word = F.get("_fl_bits", (cell / 64).cast("int"))
+    there = F.call_function("getbit", word, F.pmod(cell, F.lit(64)).cast("int")) == 1
+    return rows.join(F.broadcast(one), there).drop("_fl_bits")
+
+
 def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """key, text and toxic of the different labelled texts of `docs`."""
     marked = (
@@ -85,7 +101,10 @@ def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.max(F.col("toxic").cast("long")).alias("toxic"))
     )
+    marked = stored(marked, "marked")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # the same plan at every size: few texts without label are shuffled, none with one is lost
+    texts = _may_be_in(texts, marked).hint("merge")
     # copies of a text are one observation
     each = texts.join(marked, "doc_id").groupBy("text").agg(F.max("toxic").alias("toxic"))
     return stored(each.select(F.xxhash64("text").alias("key"), "text", "toxic"), "labelled")
