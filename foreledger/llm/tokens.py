@@ -37,13 +37,11 @@ _PLAIN = re.compile("[\t\n\r -~À-ÖØ-öø-ÿ]*")
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 _TRIED = ["the", "zqxjk", "7", "...", "'s", "internationalisation", "~", "$%"]
 _MARKS = frozenset(".,;:!?")
-_MAX_CACHED = 800_000
+_MAX_CACHED = 1_200_000
 
 
-def _cut(word: str) -> tuple[str, ...] | list[str]:
-    """Pieces of a word; plain words, and those with one mark after them, need no pattern."""
-    if word.isalpha():
-        return (word,)
+def _cut(word: str) -> tuple[str, str] | list[str]:
+    """Pieces of a word; letters with one mark after them need no pattern."""
     if word[-1] in _MARKS and word[:-1].isalpha():
         return word[:-1], word[-1]
     return _PIECE.findall(word)
@@ -66,8 +64,7 @@ class Encoder:
         self.ends = np.zeros(size, bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.ends[i] = token.endswith("</w>")
-        self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}  # and whole words
         self.direct = self.model_parts(_TRIED) == [self.ids(p).tobytes() for p in _TRIED]
 
     def model_parts(self, new: list[str]) -> list[bytes]:
@@ -96,22 +93,23 @@ class Encoder:
         self.pieces.update(zip(new, parts, strict=True))
 
     def learn_words(self, split: list[list[str]]) -> None:
-        for cache in (self.words, self.pieces):
-            if len(cache) > _MAX_CACHED:
-                cache.clear()
-        new = list(set(chain.from_iterable(split)).difference(self.words))
-        cut = list(map(_cut, new))
-        fresh = list(set(chain.from_iterable(cut)).difference(self.pieces))
-        if fresh:
-            self.learn_pieces(fresh)
+        """A word without marks is a piece itself; the others are joined from their pieces."""
+        if len(self.pieces) > _MAX_CACHED:
+            self.pieces.clear()
+        new = set(chain.from_iterable(split)).difference(self.pieces)
+        rest = [w for w in new if not w.isalpha()]
+        cut = list(map(_cut, rest))
+        fresh = new.difference(rest)
+        fresh.update(set(chain.from_iterable(cut)).difference(self.pieces))
+        self.learn_pieces(list(fresh))
         known = self.pieces.__getitem__
-        self.words.update(zip(new, [b"".join(map(known, c)) for c in cut], strict=True))
+        self.pieces.update(zip(rest, [b"".join(map(known, c)) for c in cut], strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         plain = [_PLAIN.fullmatch(t) is not None and "<|" not in t for t in texts]
         split = [t.lower().split() if p else [] for t, p in zip(texts, plain, strict=True)]
         self.learn_words(split)
-        known = self.words.__getitem__
+        known = self.pieces.__getitem__
         return [
             b"".join(map(known, words)) if p else self.ids(t).tobytes()
             for t, p, words in zip(texts, plain, split, strict=True)
