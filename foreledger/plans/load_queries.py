@@ -12,7 +12,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from foreledger.functions.scalars import ntz
-from foreledger.operators import timeline
+from foreledger.operators import asof, timeline
 from foreledger.operators.explore import recent, stats
 from foreledger.operators.incremental import (
     append,
@@ -186,6 +186,20 @@ def _(run):
     return held.versions
 
 
+@query(
+    "forecast_at_lead",
+    f"""{PERIOD} i:lead_hours forecast_made_at i:forecast_intensity i:actual_intensity i:error
+        i:absolute_error""",
+)
+def _(run):
+    return asof.at_lead(run.raw)
+
+
+@query("lead_accuracy", "i:lead_hours i:periods i:with_actual f:mean_error f:mean_absolute_error")
+def _(run):
+    return asof.lead_accuracy(run.raw)
+
+
 @query("load_stats", "i:extracted i:inserted i:reversioned i:loaded transfer_ok")
 def _(run):
     return load_stats(old_raw(run), flatten(documents(new_log(run))))

@@ -165,6 +165,29 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return read_snapshot(spark, path, state)
 
 
+def newest_partitions(state: Snapshot, limit: int) -> list[str]:
+    """As many partitions, the newest first, as hold `limit` rows; their order is that of the text."""
+    chosen, rows = [], 0
+    for key in sorted((k for k in state.parts if k != "__null__"), reverse=True):
+        if rows >= limit:
+            break
+        chosen.append(key)
+        rows += state.parts[key].rows
+    return chosen if rows >= limit else list(state.parts)
+
+
+def read_newest(spark: SparkSession, path: str, order: str, limit: int) -> DataFrame:
+    """The last `limit` rows of a table partitioned by the day of `order`, newest first.
+
+    Only the partitions that can hold them are read, by the row counts of the manifest.
+    """
+    state = snapshot(spark, path)
+    if state is None:
+        raise FileNotFoundError(f"no table at {path}")
+    rows = read_snapshot(spark, path, state, newest_partitions(state, limit))
+    return rows.orderBy(F.col(order).desc()).limit(limit)
+
+
 def spread_by(df: DataFrame, by: str) -> DataFrame:
     """Few files per partition value, without one task for a hot value: AQE splits it."""
     return df.hint("rebalance", by)

@@ -124,5 +124,23 @@ BODIES: dict[str, tuple[str, str]] = {
              (SELECT max(data_from_dttm) FROM fact_old WHERE actual_intensity IS NOT NULL)""",
     ),
 }
+_AT_LEAD = f"""
+    SELECT v.*, o.actual_intensity AS actual_intensity, v.forecast_intensity - o.actual_intensity AS error,
+           abs(v.forecast_intensity - o.actual_intensity) AS absolute_error
+    FROM (SELECT data_from_dttm, data_to_dttm, lead_hours, forecast_intensity,
+                 valid_from_dttm AS forecast_made_at
+          FROM raw, (VALUES (1), (6), (24)) leads(lead_hours)
+          WHERE valid_from_dttm <= data_from_dttm - to_hours(lead_hours)
+            AND valid_to_dttm + INTERVAL 1 SECOND > data_from_dttm - to_hours(lead_hours)
+          QUALIFY row_number() OVER (PARTITION BY data_from_dttm, data_to_dttm, lead_hours
+                                     ORDER BY valid_from_dttm DESC, id DESC) = 1) v
+    JOIN raw o ON o.data_from_dttm = v.data_from_dttm AND o.data_to_dttm = v.data_to_dttm
+              AND o.valid_to_dttm = {OPEN_END}"""
+BODIES["forecast_at_lead"] = ("raw", _AT_LEAD)
+BODIES["lead_accuracy"] = (
+    "raw",
+    f"""SELECT lead_hours, count(*) AS periods, count(error) AS with_actual, avg(error) AS mean_error,
+               avg(absolute_error) AS mean_absolute_error FROM ({_AT_LEAD}) GROUP BY lead_hours""",
+)
 # an overtaken delivery changes nothing
 BODIES["scd2_late"] = BODIES["scd2_merge"]

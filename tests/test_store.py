@@ -169,3 +169,15 @@ def test_halo_doubles_until_the_frames_are_full():
     assert pruned.halo(days, full) == days[:32] and tried == [8, 16, 32]
     assert pruned.halo(days[:5], full) == days[:5] and len(tried) == 3
     assert pruned.halo(days[:100], lambda some, left: False) == days
+
+
+def test_newest_rows_read_newest_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    store.rebuild(rows(spark, *[(d * 10 + i, d) for d in range(1, 6) for i in range(3)]), path, "day")
+    state = store.snapshot(spark, path)
+    assert store.newest_partitions(state, 4) == ["2024-01-05", "2024-01-04"]
+    got = store.read_newest(spark, path, "at", 4)
+    assert [r.day.day for r in got.collect()] == [5, 5, 5, 4]
+    assert len(got.inputFiles()) <= 2 * 3
+    assert len(store.newest_partitions(state, 99)) == 5
+    assert store.read_newest(spark, path, "at", 99).count() == 15
