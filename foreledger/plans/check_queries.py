@@ -10,12 +10,14 @@ from foreledger.config import INDEX_NUMBERS
 from foreledger.operators import monitors, quality
 from foreledger.operators.gaps import gap_islands, gaps
 from foreledger.operators.joins import orphans
+from foreledger.plans import data_tests
 from foreledger.plans.catalog import query
 from foreledger.plans.data_tests import ods_tests
 from foreledger.plans.dwh import derived_fact_cols, with_series_windows
 from foreledger.plans.load_queries import old_ods
 from foreledger.plans.ods import ods_enrich
 from foreledger.plans.staging import stg_current
+from foreledger.session import materialize
 from foreledger.streaming.windows import half_hour
 
 JUDGED = "i:history_size f:history_mean f:history_stddev is_anomaly"
@@ -108,6 +110,49 @@ def _(run):
     return ods_tests(run.ods)
 
 
+SUMMARY = "test column_name severity i:failures"
+
+
+@query("dq_raw", SUMMARY)
+def _(run):
+    return data_tests.raw_tests(run.raw)
+
+
+@query("dq_current", SUMMARY)
+def _(run):
+    return data_tests.current_tests(run.stg)
+
+
+@query("dq_history", SUMMARY)
+def _(run):
+    return data_tests.history_tests(run.history)
+
+
+@query("dq_daily", SUMMARY)
+def _(run):
+    return data_tests.daily_tests(run.daily)
+
+
+@query("dq_fact", SUMMARY)
+def _(run):
+    return data_tests.fact_tests(materialize(run.fact, "fact"), run.ods)
+
+
+@query("dq_accuracy", SUMMARY)
+def _(run):
+    return data_tests.accuracy_tests(materialize(run.accuracy, "accuracy"), run.fact_rows)
+
+
+@query("dq_analytics", SUMMARY)
+def _(run):
+    return data_tests.analytics_tests(run.stored_mart)
+
+
+@query("dq_report", SUMMARY)
+def _(run):
+    return data_tests.report_tests(run.report)
+
+
 @query("dq_volume_anomaly", f"bucket i:row_count {JUDGED}")
 def _(run):
     return monitors.volume_anomalies(run.events, "ts", run.cfg)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foreledger.config import CATEGORIES, INDEX_NUMBERS
+from foreledger.config import CATEGORIES, DAILY_QUALITY, DAILY_TREND_WORDS, INDEX_NUMBERS
 from oracles.sql import AS_OF, hours, key
 
 BODIES: dict[str, tuple[str, str]] = {}
@@ -230,3 +230,107 @@ BODIES |= {
                   avg(value) AS mean_value FROM events GROUP BY 1""",
     ),
 }
+
+
+def _words(*values: str) -> str:
+    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+
+
+def _layer(table, nulls, values=(), ranges=(), keys=(), parents=(), clock=()) -> tuple[str, str]:
+    """The declared tests of one layer; `clock` columns hold the load time and are never NULL."""
+    entries = [("not_null", c, "FALSE" if c in clock else f"{c} IS NULL") for c in nulls.split()]
+    entries += [("accepted_values", c, f"{c} NOT IN ({listed})") for c, listed in values]
+    entries += [("accepted_range", c, f"{c} NOT BETWEEN {lo} AND {hi}") for c, lo, hi in ranges]
+    body = _tests(table, entries)
+    for c in keys:
+        body += f""" UNION ALL SELECT 'unique', '{c}', 'warn', (SELECT count(*) FROM
+            (SELECT {c} FROM {table} WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(*) > 1))"""
+    for c, parent, where in parents:
+        body += f""" UNION ALL SELECT 'relationships', '{c}', 'warn', (SELECT count(*) FROM {table} c
+            WHERE {c} IS NOT NULL AND {where}
+              AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{c} = c.{c}))"""
+    return " ".join([table, *[p for _, p, _ in parents]]), body
+
+
+_STATUS = _words("completed", "in_progress", "future")
+_DAYS = _words("weekday", "weekend")
+_PARTS = _words("morning", "afternoon", "evening", "night")
+_BOTH = "TRUE, FALSE"
+_TO_1000 = [("forecast_intensity", 0, 1000)]
+BODIES["dq_raw"] = _layer(
+    "raw", "id data_from_dttm data_to_dttm valid_from_dttm valid_to_dttm",
+    [("index_forecast", _WORDS)], keys=["id"],
+)
+BODIES["dq_current"] = _layer(
+    "stg",
+    """id data_from_dttm data_to_dttm period_duration_minutes forecast_intensity index_forecast
+       index_forecast_numeric data_status valid_from_dttm updated_at""",
+    [("period_duration_minutes", "30.0"), ("index_forecast", _WORDS),
+     ("index_forecast_numeric", ", ".join(str(n) for n in INDEX_NUMBERS.values())),
+     ("index_actual", _WORDS), ("data_status", _STATUS)],
+    [("period_duration_minutes", 25, 35), *_TO_1000, ("actual_intensity", 0, 1000),
+     ("forecast_error_percent", -100, 100)],
+    ["id"], clock=["updated_at"],
+)
+BODIES["dq_history"] = _layer(
+    "hist",
+    """id data_from_dttm forecast_made_at forecast_horizon_hours version_number total_versions
+       is_current_version""",
+    [("is_current_version", _BOTH)], [("version_number", 1, 1000), ("total_versions", 1, 1000)], ["id"],
+)
+BODIES["dq_daily"] = _layer(
+    "daily",
+    "data_date total_periods avg_forecast_intensity data_completeness_percent hours_with_data", [],
+    [("total_periods", 1, 100), ("avg_forecast_intensity", 0, 1000),
+     ("forecast_accuracy_percent", 0, 100), ("data_completeness_percent", 0, 100),
+     ("forecast_volatility_percent", 0, 1000)],
+    ["data_date"],
+)
+BODIES["dq_fact"] = _layer(
+    "fact",
+    """fact_key period_key data_from_dttm forecast_made_at forecast_horizon_hours
+       forecast_horizon_category forecast_intensity forecast_ma3 forecast_ma12 daily_intensity_rank
+       daily_intensity_percentile short_term_trend is_outlier is_current_version version_number""",
+    [("forecast_horizon_category",
+      _words("immediate", "short_term", "medium_term", "long_term", "very_long_term")),
+     ("short_term_trend", _words("rising", "falling", "stable")), ("is_outlier", _BOTH)],
+    [*_TO_1000, ("forecast_pct_change_from_prev_period", -100, 100),
+     ("daily_intensity_percentile", 0, 100), ("version_number", 1, 1000)],
+    ["fact_key"], [("period_key", "ods", "is_current_version")],
+)
+BODIES["dq_accuracy"] = _layer(
+    "acc",
+    """accuracy_key fact_key period_key data_from_dttm data_date forecast_made_at actual_intensity
+       absolute_error squared_error forecast_quality error_direction is_improving rolling_24h_mae""",
+    [("forecast_quality", _words("excellent", "good", "acceptable", "poor")),
+     ("error_direction", _words("overestimated", "underestimated", "exact")), ("is_improving", _BOTH)],
+    [("absolute_error", 0, 500), ("absolute_percentage_error", 0, 1000),
+     ("accuracy_percentage", 0, 100), ("rolling_24h_accuracy_rate", 0, 100)],
+    ["accuracy_key"], [("fact_key", "fact", "TRUE")],
+)
+BODIES["dq_analytics"] = _layer(
+    "mart",
+    """period_key period_start data_date time_of_day day_type forecast_co2_gco2_kwh forecast_category
+       energy_cleanliness_level is_peak_carbon_period consumption_recommendation intensity_z_score
+       intensity_percentile_same_hour is_statistical_anomaly intensity_anomaly_type data_status""",
+    [("time_of_day", _PARTS), ("day_type", _DAYS), ("forecast_category", _LEVELS),
+     ("actual_category", _LEVELS),
+     ("energy_cleanliness_level",
+      _words("green_energy", "moderate_impact", "standard", "high_carbon")),
+     ("is_peak_carbon_period", _BOTH),
+     ("intensity_anomaly_type", _words("unusually_high", "unusually_low", "normal")),
+     ("data_status", _STATUS)],
+    [("forecast_co2_gco2_kwh", 0, 1000), ("actual_co2_gco2_kwh", 0, 1000),
+     ("intensity_percentile_same_hour", 0, 100)],
+)
+BODIES["dq_report"] = _layer(
+    "report",
+    """data_date data_day_of_week day_type total_periods data_completeness_pct avg_daily_intensity
+       min_daily_intensity max_daily_intensity top_3_peak_hours top_3_best_hours short_term_trend
+       daily_recommendation""",
+    [("day_type", _DAYS), ("daily_forecast_quality", _words(*[w for _, w in DAILY_QUALITY])),
+     ("short_term_trend", _words(*DAILY_TREND_WORDS))],
+    [("total_periods", 1, 100), ("data_completeness_pct", 0, 100), ("avg_daily_intensity", 0, 1000),
+     ("forecast_accuracy_rate", 0, 100)],
+    ["data_date"],
+)
