@@ -100,6 +100,8 @@ class Settings:
     windows_restart_per_load: bool = False
     # columns that a load may add to or drop from its table: fail, sync_all_columns
     schema_policy: str = "fail"
+    # the declared row tests of a layer are counted while it is written
+    test_writes: bool = True
     # monitors (volume, freshness, dimension, column)
     history_buckets: int = 14
     min_history: int = 7

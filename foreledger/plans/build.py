@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from foreledger.config import Settings
 from foreledger.functions.scalars import horizon_band, ntz
 from foreledger.operators.incremental import delete_insert, since_mark
-from foreledger.plans import pruned
+from foreledger.operators.audit import Audit
+from foreledger.plans import data_tests, pruned
 from foreledger.plans.dwh import DAY_ROWS, HORIZON_FRAME, MOVING, fact, forecast_accuracy
 from foreledger.plans.loads import accuracy_from, facts_from, first_week
 from foreledger.plans.marts import analytics, daily_report
@@ -29,6 +30,15 @@ from foreledger.sources.store import (
 )
 
 BY = "data_date"
+RESULTS = "test_results"
+TESTED = {
+    "ods_periods": data_tests.ods_rows,
+    "ods_daily_summary": data_tests.daily_rows,
+    "dwh_version_fact": data_tests.fact_rows,
+    "dwh_forecast_accuracy": data_tests.accuracy_rows,
+    "dm_analytics": data_tests.analytics_rows,
+    "dm_daily_report": data_tests.report_rows,
+}
 
 
 @dataclass(frozen=True)
@@ -47,6 +57,12 @@ class Layers:
     def has(self, name: str) -> bool:
         return exists(self.spark, self.path(name))
 
+    def audit(self, name: str, cfg: Settings) -> Audit | None:
+        """The declared row tests of a layer, counted while it is written."""
+        if not cfg.test_writes:
+            return None
+        return Audit(name, TESTED[name](), self.path(RESULTS), cfg.as_of)
+
     def state(self, name: str, version: int | None = None) -> Snapshot | None:
         return store.snapshot(self.spark, self.path(name), version)
 
@@ -90,12 +106,13 @@ def build_ods(to: Layers, raw: Source, cfg: Settings, full: bool) -> None:
     path = to.path("ods_periods")
     held = to.state("ods_periods")
     if full or held is None:
-        rebuild(ods_enrich(stg_current(raw.rows, cfg), cfg), path, BY, raw.version)
+        rebuild(ods_enrich(stg_current(raw.rows, cfg), cfg), path, BY, raw.version, to.audit("ods_periods", cfg))
         return
-    rows = raw.rows
     if raw.state and (older := raw.before(held)):
-        rows = raw.days(raw.state.changed_since(older))
-    new = since_mark(stg_current(rows, cfg), held.newest("updated_at"), "processed_dttm")
+        # the partitions say what is new, also versions made before the last build
+        new = stg_current(raw.days(raw.state.changed_since(older)), cfg)
+    else:
+        new = since_mark(stg_current(raw.rows, cfg), held.newest("updated_at"), "processed_dttm")
     batch = ods_enrich(new, cfg)
     part = touched_partitions(to.read("ods_periods"), batch, BY)
     columns = [c for c in batch.columns if c in part.columns]
@@ -104,27 +121,31 @@ def build_ods(to: Layers, raw: Source, cfg: Settings, full: bool) -> None:
     if set(columns) != set(batch.columns):
         added = batch.select("period_key", *[c for c in batch.columns if c not in columns])
         kept = kept.join(added, "period_key", "left").select(*batch.columns)
-    replace_partitions(kept, path, BY, cfg.schema_policy, raw.version)
+    replace_partitions(
+        kept, path, BY, cfg.schema_policy, raw.version, to.audit("ods_periods", cfg)
+    )
 
 
 def build_daily(to: Layers, cfg: Settings, full: bool) -> None:
     path, ods = to.path("ods_daily_summary"), to.read("ods_periods")
     held = to.state("ods_daily_summary")
     if full or held is None:
-        rebuild(daily_summary(ods, cfg), path, BY)
+        rebuild(daily_summary(ods, cfg), path, BY, audit=to.audit("ods_daily_summary", cfg))
         return
     newest = held.newest(BY)
     first = newest - dt.timedelta(days=cfg.lookback_days) if newest else cfg.start_date.date()
     # the partition column is the merge key: a written day replaces the stored one
     recent = ods.filter(F.col(BY) >= F.lit(first))
-    replace_partitions(daily_summary(recent, cfg), path, BY, cfg.schema_policy)
+    audit = to.audit("ods_daily_summary", cfg)
+    replace_partitions(daily_summary(recent, cfg), path, BY, cfg.schema_policy, audit=audit)
 
 
 def build_fact(to: Layers, raw: Source, cfg: Settings, full: bool) -> None:
     path = to.path("dwh_version_fact")
-    held = to.state("dwh_version_fact")
+    held, audit = to.state("dwh_version_fact"), to.audit("dwh_version_fact", cfg)
     if full or held is None:
-        rebuild(dated(fact(stg_history(raw.rows, cfg), cfg)), path, BY, raw.version)
+        rows = dated(fact(stg_history(raw.rows, cfg), cfg))
+        rebuild(rows, path, BY, raw.version, audit)
         return
     if raw.state and (older := raw.before(held)):
         start = pruned.first_changed_week(raw.state, older)
@@ -139,7 +160,7 @@ def build_fact(to: Layers, raw: Source, cfg: Settings, full: bool) -> None:
         if start is None:
             return
     rows = dated(facts_from(history, start, cfg))
-    replace_partitions(rows, path, BY, cfg.schema_policy, raw.version)
+    replace_partitions(rows, path, BY, cfg.schema_policy, raw.version, audit)
 
 
 def fact_days(raw: Source, start: dt.date, cfg: Settings) -> list[str]:
@@ -177,8 +198,9 @@ def build_accuracy(to: Layers, cfg: Settings, full: bool) -> None:
         where = to.path("dwh_version_fact")
         return read_snapshot(to.spark, where, facts, days).drop(BY).filter(done)
 
+    audit = to.audit("dwh_forecast_accuracy", cfg)
     if full or held is None:
-        rebuild(forecast_accuracy(read(), cfg), path, BY, facts.version)
+        rebuild(forecast_accuracy(read(), cfg), path, BY, facts.version, audit)
         return
     older = to.state("dwh_version_fact", held.source_version) if held.source_version else None
     start = pruned.first_changed_week(facts, older)
@@ -191,7 +213,7 @@ def build_accuracy(to: Layers, cfg: Settings, full: bool) -> None:
         before, lambda tried, left: pruned.enough(read(tried), key, wanted, DAY_ROWS)
     )
     rows = accuracy_from(read(inside + context), dt.datetime.combine(start, dt.time()), cfg)
-    replace_partitions(rows, path, BY, cfg.schema_policy, facts.version)
+    replace_partitions(rows, path, BY, cfg.schema_policy, facts.version, audit)
 
 
 def build_all(
@@ -203,6 +225,9 @@ def build_all(
     incremental run replaces only the partitions its rows fall into. Where `raw` is the
     path of a published version table (as the ingest keeps it), such a run also reads only
     the partitions that changed since the layer was built, and those its windows reach back to.
+
+    The declared row tests run inside the writes (`operators.audit`); their results are
+    appended to `test_results` beside the layers.
     """
     to = Layers(spark, out)
     source = Source.of(spark, raw)
@@ -214,7 +239,9 @@ def build_all(
     build_fact(to, source, cfg, full_refresh)
     build_accuracy(to, cfg, full_refresh)
     mart = analytics(to.read("ods_periods"), to.read("dwh_forecast_accuracy"), cfg)
-    materialize_as(mart, "dm_analytics", "table", to.path("dm_analytics"), BY)
+    audit = to.audit("dm_analytics", cfg)
+    materialize_as(mart, "dm_analytics", "table", to.path("dm_analytics"), BY, audit)
     report = daily_report(to.read("dm_analytics"), cfg)
-    materialize_as(report, "dm_daily_report", "table", to.path("dm_daily_report"))
+    audit = to.audit("dm_daily_report", cfg)
+    materialize_as(report, "dm_daily_report", "table", to.path("dm_daily_report"), audit=audit)
     return to

@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
 from foreledger.config import INDEX_NUMBERS
-from foreledger.operators import monitors, quality
+from foreledger.operators import audit, metrics, monitors, quality
 from foreledger.operators.gaps import gap_islands, gaps
 from foreledger.operators.joins import orphans
 from foreledger.plans import data_tests
+from foreledger.plans.build import Layers, Source, build_daily, build_ods
 from foreledger.plans.catalog import query
 from foreledger.plans.data_tests import ods_tests
 from foreledger.plans.dwh import derived_fact_cols, with_series_windows
 from foreledger.plans.load_queries import old_ods
 from foreledger.plans.ods import ods_enrich
 from foreledger.plans.staging import stg_current
-from foreledger.session import materialize
+from foreledger.session import materialize, shared_dir
+from foreledger.sources import store
+from foreledger.streaming.actuals import Reporting, with_actuals
 from foreledger.streaming.windows import half_hour
 
 JUDGED = "i:history_size f:history_mean f:history_stddev is_anomaly"
@@ -192,6 +197,97 @@ def _(run):
     )
 
 
+# ---- monitors on stored metrics, tests inside writes, late actuals ----------
+
+
+def _scratch(run, name: str) -> str:
+    return f"{shared_dir(run.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored_metrics(run, rows, ts: str, dims=(), ties=()):
+    """States of a table that was published in two loads, brought up to date after each.
+
+    The first load lacks the later half of the days and the evening of the others.
+    """
+    source, target = _scratch(run, "monitored"), _scratch(run, "metrics")
+    dated = rows.withColumn("data_date", F.to_date(ts))
+    early = dated.filter((F.hour(ts) < 18) & (F.dayofmonth(ts) <= 15))
+    store.rebuild(early, source, "data_date")
+    metrics.update(run.spark, source, target, ts, run.cfg, dims=dims, ties=ties)
+    store.replace_partitions(dated, source, "data_date")
+    metrics.update(run.spark, source, target, ts, run.cfg, dims=dims, ties=ties)
+    return store.read(run.spark, target)
+
+
+@query("metrics_columns", f"column_name metric bucket f:metric_value {JUDGED}")
+def _(run):
+    states = stored_metrics(run, run.stg.drop("updated_at"), "data_from_dttm")
+    return metrics.column_anomalies(states, run.cfg)
+
+
+@query("metrics_volume", f"bucket i:row_count {JUDGED}")
+def _(run):
+    states = stored_metrics(run, run.events.select("event_id", "ts"), "ts")
+    return metrics.volume_anomalies(states, run.cfg)
+
+
+@query("metrics_freshness", f"bucket f:max_gap_minutes {JUDGED}")
+def _(run):
+    states = stored_metrics(run, run.events.select("event_id", "ts"), "ts", ties=["event_id"])
+    return metrics.freshness_anomalies(states, run.cfg)
+
+
+@query("metrics_dimension", f"event_type bucket i:row_count {JUDGED}")
+def _(run):
+    rows = run.events.select("event_type", "event_id", "ts")
+    states = stored_metrics(run, rows, "ts", dims=["event_type"])
+    return metrics.volume_anomalies(states, run.cfg, ["event_type"])
+
+
+@query(
+    "metrics_weeks",
+    "week event_type i:rows f:mean_value f:stddev_value f:min_value f:max_value f:longest_wait",
+)
+def _(run):
+    """Weeks from the states of their days."""
+    rows = run.events.select("event_type", "event_id", "ts", "value")
+    states = stored_metrics(run, rows, "ts", dims=["event_type"], ties=["event_id"])
+    week = states.withColumn("week", F.date_trunc("week", "bucket").cast("date"))
+    merged = metrics.combined(week, ["week", "event_type"])
+    keys = ["week", "event_type"]
+    value = merged.filter("column_name = 'value'").select(
+        *keys,
+        F.col("n").alias("rows"),
+        F.col("mean").alias("mean_value"),
+        metrics.stddev().alias("stddev_value"),
+        F.col("low").alias("min_value"),
+        F.col("high").alias("max_value"),
+    )
+    waits = merged.filter(F.col("column_name") == metrics.ALL).select(*keys, "longest_wait")
+    return value.join(waits, keys)
+
+
+@query("dq_in_writes", "layer test column_name severity i:failures i:tested")
+def _(run):
+    """What the writes of the period and day tables found, from the table of results."""
+    to = Layers(run.spark, _scratch(run, "audited"))
+    cfg = dataclasses.replace(run.cfg, test_writes=True)
+    build_ods(to, Source(run.spark, run.raw), cfg, True)
+    build_daily(to, cfg, True)
+    return audit.results(run.spark, to.path("test_results"))
+
+
+@query(
+    "late_actuals",
+    "i:id data_from_dttm i:forecast_intensity i:actual_intensity reported_at",
+)
+def _(run):
+    """Forecasts with the first actual reported from 12 hours before their period to a day after."""
+    forecasts = run.log.select("id", "data_from_dttm", "data_to_dttm", "forecast_intensity")
+    reports = run.log.withColumnRenamed("created_at", "reported_at")
+    return with_actuals(forecasts, reports, Reporting("12 hours", "1 day"))
+
+
 # ---- gaps and tumbling windows --------------------------------------------
 
 

@@ -50,13 +50,17 @@ def _unique(df: DataFrame, *names: str) -> list[FrameCheck]:
     return [FrameCheck("unique", n, unique(df, n)) for n in names]
 
 
-def raw_tests(raw: DataFrame) -> DataFrame:
+def raw_rows() -> list[RowCheck]:
     rows = _nulls("id data_from_dttm data_to_dttm valid_from_dttm valid_to_dttm")
     rows += _values(index_forecast=INDEX)
-    return run_checks(raw, rows, _unique(raw, "id"))
+    return rows
 
 
-def current_tests(stg: DataFrame) -> DataFrame:
+def raw_tests(raw: DataFrame) -> DataFrame:
+    return run_checks(raw, raw_rows(), _unique(raw, "id"))
+
+
+def current_rows() -> list[RowCheck]:
     rows = _nulls(
         """id data_from_dttm data_to_dttm period_duration_minutes forecast_intensity
            index_forecast index_forecast_numeric data_status valid_from_dttm updated_at"""
@@ -74,20 +78,28 @@ def current_tests(stg: DataFrame) -> DataFrame:
         actual_intensity=(0, 1000),
         forecast_error_percent=(-100, 100),
     )
-    return run_checks(stg, rows, _unique(stg, "id"))
+    return rows
 
 
-def history_tests(history: DataFrame) -> DataFrame:
+def current_tests(stg: DataFrame) -> DataFrame:
+    return run_checks(stg, current_rows(), _unique(stg, "id"))
+
+
+def history_rows() -> list[RowCheck]:
     rows = _nulls(
         """id data_from_dttm forecast_made_at forecast_horizon_hours version_number
            total_versions is_current_version"""
     )
     rows += _values(is_current_version=BOOLS)
     rows += _ranges(version_number=(1, 1000), total_versions=(1, 1000))
-    return run_checks(history, rows, _unique(history, "id"))
+    return rows
 
 
-def ods_tests(ods: DataFrame) -> DataFrame:
+def history_tests(history: DataFrame) -> DataFrame:
+    return run_checks(history, history_rows(), _unique(history, "id"))
+
+
+def ods_rows() -> list[RowCheck]:
     rows = _nulls(
         """source_id period_key data_from_dttm data_date data_year data_day_of_week time_of_day
            day_type forecast_intensity forecast_intensity_category data_status
@@ -102,10 +114,14 @@ def ods_tests(ods: DataFrame) -> DataFrame:
     done = F.col("data_status") == "completed"
     rows.append(null_check("actual_intensity", done))
     rows += _ranges(data_year=(2020, 2030), forecast_intensity=(0, 1000))
-    return run_checks(ods, rows, _unique(ods, "source_id", "period_key"))
+    return rows
 
 
-def daily_tests(daily: DataFrame) -> DataFrame:
+def ods_tests(ods: DataFrame) -> DataFrame:
+    return run_checks(ods, ods_rows(), _unique(ods, "source_id", "period_key"))
+
+
+def daily_rows() -> list[RowCheck]:
     rows = _nulls(
         """data_date total_periods avg_forecast_intensity data_completeness_percent
            hours_with_data"""
@@ -117,10 +133,14 @@ def daily_tests(daily: DataFrame) -> DataFrame:
         data_completeness_percent=(0, 100),
         forecast_volatility_percent=(0, 1000),
     )
-    return run_checks(daily, rows, _unique(daily, "data_date"))
+    return rows
 
 
-def fact_tests(fact: DataFrame, ods: DataFrame) -> DataFrame:
+def daily_tests(daily: DataFrame) -> DataFrame:
+    return run_checks(daily, daily_rows(), _unique(daily, "data_date"))
+
+
+def fact_rows() -> list[RowCheck]:
     rows = _nulls(
         """fact_key period_key data_from_dttm forecast_made_at forecast_horizon_hours
            forecast_horizon_category forecast_intensity forecast_ma3 forecast_ma12
@@ -136,12 +156,16 @@ def fact_tests(fact: DataFrame, ods: DataFrame) -> DataFrame:
         daily_intensity_percentile=(0, 100),
         version_number=(1, 1000),
     )
+    return rows
+
+
+def fact_tests(fact: DataFrame, ods: DataFrame) -> DataFrame:
     lost = orphans(fact, ods, "period_key", "period_key", F.col("is_current_version"))
     frames = _unique(fact, "fact_key") + [FrameCheck("relationships", "period_key", lost)]
-    return run_checks(fact, rows, frames)
+    return run_checks(fact, fact_rows(), frames)
 
 
-def accuracy_tests(accuracy: DataFrame, fact: DataFrame) -> DataFrame:
+def accuracy_rows() -> list[RowCheck]:
     rows = _nulls(
         """accuracy_key fact_key period_key data_from_dttm data_date forecast_made_at
            actual_intensity absolute_error squared_error forecast_quality error_direction
@@ -154,12 +178,16 @@ def accuracy_tests(accuracy: DataFrame, fact: DataFrame) -> DataFrame:
         accuracy_percentage=(0, 100),
         rolling_24h_accuracy_rate=(0, 100),
     )
+    return rows
+
+
+def accuracy_tests(accuracy: DataFrame, fact: DataFrame) -> DataFrame:
     lost = orphans(accuracy, fact, "fact_key", "fact_key")
     frames = _unique(accuracy, "accuracy_key") + [FrameCheck("relationships", "fact_key", lost)]
-    return run_checks(accuracy, rows, frames)
+    return run_checks(accuracy, accuracy_rows(), frames)
 
 
-def analytics_tests(mart: DataFrame) -> DataFrame:
+def analytics_rows() -> list[RowCheck]:
     rows = _nulls(
         """period_key period_start data_date time_of_day day_type forecast_co2_gco2_kwh
            forecast_category energy_cleanliness_level is_peak_carbon_period
@@ -181,10 +209,14 @@ def analytics_tests(mart: DataFrame) -> DataFrame:
         actual_co2_gco2_kwh=(0, 1000),
         intensity_percentile_same_hour=(0, 100),
     )
-    return run_checks(mart, rows)
+    return rows
 
 
-def report_tests(report: DataFrame) -> DataFrame:
+def analytics_tests(mart: DataFrame) -> DataFrame:
+    return run_checks(mart, analytics_rows())
+
+
+def report_rows() -> list[RowCheck]:
     rows = _nulls(
         """data_date data_day_of_week day_type total_periods data_completeness_pct
            avg_daily_intensity min_daily_intensity max_daily_intensity top_3_peak_hours
@@ -201,4 +233,8 @@ def report_tests(report: DataFrame) -> DataFrame:
         avg_daily_intensity=(0, 1000),
         forecast_accuracy_rate=(0, 100),
     )
-    return run_checks(report, rows, _unique(report, "data_date"))
+    return rows
+
+
+def report_tests(report: DataFrame) -> DataFrame:
+    return run_checks(report, report_rows(), _unique(report, "data_date"))

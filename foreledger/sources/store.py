@@ -193,12 +193,19 @@ def spread_by(df: DataFrame, by: str) -> DataFrame:
     return df.hint("rebalance", by)
 
 
-def _write(df: DataFrame, path: str, by: str | None) -> dict[str, Part]:
-    """Write the rows into folders of their own and describe them."""
+def _write(df: DataFrame, path: str, by: str | None, audit=None) -> dict[str, Part]:
+    """Write the rows into folders of their own and describe them.
+
+    An `operators.audit.Audit` counts its tests in the same pass, and may stop the load here.
+    """
     load = f"l{uuid.uuid4().hex}"
     out = spread_by(df, by) if by else df
+    if audit:
+        out = audit.watch(out)
     layout = [by, LOAD] if by else [LOAD]
     out.withColumn(LOAD, F.lit(load)).write.mode("append").partitionBy(*layout).parquet(path)
+    if audit:
+        audit.settle(df.sparkSession)
 
     files = _Files(df.sparkSession, path)
     if not files.fs.globStatus(files.at(f"{by}=*/{LOAD}={load}" if by else f"{LOAD}={load}")):
@@ -241,12 +248,16 @@ def _publish(
 
 
 def rebuild(
-    df: DataFrame, path: str, by: str | None = None, source_version: int | None = None
+    df: DataFrame,
+    path: str,
+    by: str | None = None,
+    source_version: int | None = None,
+    audit=None,
 ) -> Snapshot:
     """Full refresh: publish these rows as the whole table."""
     spark = df.sparkSession
     before = snapshot(spark, path)
-    return _publish(spark, path, before, df.schema, by, _write(df, path, by), source_version)
+    return _publish(spark, path, before, df.schema, by, _write(df, path, by, audit), source_version)
 
 
 def replace_partitions(
@@ -255,6 +266,7 @@ def replace_partitions(
     by: str,
     policy: str = "fail",
     source_version: int | None = None,
+    audit=None,
 ) -> Snapshot:
     """Publish the table with the partitions that occur in `df` replaced by its rows.
 
@@ -267,7 +279,7 @@ def replace_partitions(
     if before is None or before.by != by:
         raise ValueError(f"no table partitioned by {by} at {path}")
     check_columns(before.schema, df.schema, policy)
-    parts = before.parts | _write(df, path, by)
+    parts = before.parts | _write(df, path, by, audit)
     return _publish(spark, path, before, df.schema, by, parts, source_version)
 
 
@@ -311,16 +323,18 @@ def vacuum(spark: SparkSession, path: str, keep: int = _KEEP) -> int:
     return gone
 
 
-def materialize_as(df: DataFrame, name: str, how: str, path: str, by: str | None = None):
+def materialize_as(
+    df: DataFrame, name: str, how: str, path: str, by: str | None = None, audit=None
+):
     """Give a layer its form: `view`, `table` (rewritten) or `incremental` (partitions replaced)."""
     spark = df.sparkSession
     if how == "view":
         df.createOrReplaceTempView(name)
         return df
     if how == "incremental" and by and exists(spark, path):
-        replace_partitions(df, path, by)
+        replace_partitions(df, path, by, audit=audit)
     elif how in ("table", "incremental"):
-        rebuild(df, path, by)
+        rebuild(df, path, by, audit=audit)
     else:
         raise ValueError(f"unknown form: {how}")
     stored = read(spark, path)

@@ -334,3 +334,56 @@ BODIES["dq_report"] = _layer(
      ("forecast_accuracy_rate", 0, 100)],
     ["data_date"],
 )
+
+# the monitors on stored metrics judge what those over the rows do
+BODIES["metrics_columns"] = BODIES["dq_all_columns_anomaly"]
+BODIES["metrics_volume"] = BODIES["dq_volume_anomaly"]
+BODIES["metrics_freshness"] = BODIES["dq_freshness_anomaly"]
+BODIES["metrics_dimension"] = (
+    "",
+    judged(
+        "SELECT event_type, ts::DATE AS bucket, count(*) AS row_count FROM events GROUP BY 1, 2",
+        "event_type",
+        "row_count",
+    ),
+)
+_WAIT = hours("lag(ts) OVER (PARTITION BY event_type, week ORDER BY ts, event_id)", "ts", "60000000.0")
+BODIES["metrics_weeks"] = (
+    "",
+    f"""SELECT week, event_type, count(*) AS rows, avg(value) AS mean_value,
+               stddev_samp(value) AS stddev_value, min(value) AS min_value,
+               max(value) AS max_value, max(wait) AS longest_wait
+        FROM (SELECT *, {_WAIT} AS wait
+              FROM (SELECT *, date_trunc('week', ts)::DATE AS week FROM events))
+        GROUP BY 1, 2""",
+)
+_ROW_TESTS = {
+    "ods_periods": ("ods", _tests("ods", [t for t in _SUMMARY if t[0] != "unique"])),
+    "ods_daily_summary": ("daily", _layer(
+        "daily",
+        "data_date total_periods avg_forecast_intensity data_completeness_percent hours_with_data", [],
+        [("total_periods", 1, 100), ("avg_forecast_intensity", 0, 1000),
+         ("forecast_accuracy_percent", 0, 100), ("data_completeness_percent", 0, 100),
+         ("forecast_volatility_percent", 0, 1000)],
+    )[1]),
+}
+BODIES["dq_in_writes"] = (
+    "ods daily",
+    " UNION ALL ".join(
+        f"""SELECT '{layer}' AS layer, *, (SELECT count(*) FROM {table}) AS tested
+            FROM ({body})"""
+        for layer, (table, body) in _ROW_TESTS.items()
+    ),
+)
+BODIES["late_actuals"] = (
+    "obs",
+    """SELECT f.id, f.data_from_dttm, f.forecast_intensity, a.actual_intensity, a.reported_at
+       FROM obs f LEFT JOIN
+         (SELECT data_from_dttm, data_to_dttm, actual_intensity, created_at AS reported_at
+          FROM obs WHERE actual_intensity IS NOT NULL
+            AND created_at >= data_from_dttm - INTERVAL 12 HOURS
+            AND created_at <= data_from_dttm + INTERVAL 1 DAY
+          QUALIFY row_number() OVER (PARTITION BY data_from_dttm, data_to_dttm
+                                     ORDER BY created_at, actual_intensity) = 1) a
+         USING (data_from_dttm, data_to_dttm)""",
+)
