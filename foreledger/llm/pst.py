@@ -1,326 +1,470 @@
-"""Language-model scores from a probabilistic suffix tree over words.
-
-Symbols are the most frequent words, the end of a text, and one symbol for all
-other words. A context of one or two symbols becomes a state if its next-symbol
-distribution differs from that of the context without its oldest symbol by more
-than describing it costs (counted divergence against half a logarithm for each
-number). A state's counts are discounted and the mass taken off goes to the
-shorter context, down to single words; a text is scored in the longest state each
-time. A word outside the symbols takes the share that its own smoothed frequency
-has in the mass of the others.
-
-All words of all training texts are counted. What tasks need at hand is bounded:
-`HOT` words, and the contexts and successors seen once in 2^`CONTEXT_BITS` and
-2^`ENTRY_BITS` tokens. Words beyond `HOT` are looked up by a join, so every count
-is exact.
-
-Null is the empty text, which has the end as its only token. Rows with a null id
-count as training rows; repeated rows are rows like others. Only id and text are
-read. With no training text every token has probability one.
+"""Language-model scores from a probabilistic suffix tree over all words.
+
+Symbols are all words and the end of a text. A context is the one or two words
+before a symbol (or the start of the text). A context seen at least twice becomes
+a state if its next symbols differ from what the shorter context predicts by more
+than describing them costs (counted divergence against half a logarithm for each
+different symbol). A state's counts are smoothed with the shorter context's
+distribution, down to that of single words; a text is scored in the longest state
+each time. Nothing is cut by a share of the corpus: states and successors grow
+with it.
+
+The tree is never at hand as a whole. Texts form portions of rows; a portion sends
+each n-gram it holds once, as sorted hashes in packets dealt by range of the hash,
+so a frequent n-gram costs one entry in a portion. The counts that are not plain
+from the portion itself come back to it, written by portion, and a task reads those
+of its own portions only. The sums of the divergence test travel the same way.
+
+Words are told apart by 64 bits. N-grams are told apart by `SPARE_BITS` more bits
+than the corpus' size has, so one in 2^`SPARE_BITS` shares the counts of another.
+
+Null is the empty text, which has the end as its only token. A null `training`
+counts as true; repeated rows are rows like others. Only the columns asked for,
+the text and `training` are read. With no training text every token has
+probability one.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foreledger.llm.common import stored
+from foreledger.llm.common import filesystem, run_dir, stored
 
-HOT = 1 << 18
-HOT_BYTES = 64  # longer words are never kept at hand
-SYMBOLS = 2048
-CONTEXT_BITS = 16
-ENTRY_BITS = 20
-DISCOUNT = 0.75
+PORTION_BYTES = 16 << 20
+PIECE_BYTES = 64 << 20
+BUCKET_BYTES = 16 << 20
+SPARE_BITS = 20
+CACHED_WORDS = 500_000
+SMOOTHING = (4.0, 2.0)  # weight of the shorter context, for states of one and two words
+LEAST_SEEN = 2
+UNIT = 1024  # the divergence is summed in whole parts of this
 END = b""  # no word is empty
+START = np.uint64(0x9E3779B97F4A7C15)
+_PAIR, _TRIPLE = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
 def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[bytes] = Counter()
+class Hashes(dict):
+    """Word to 64-bit hash, remembered up to a bound."""
 
-    def emit() -> pa.RecordBatch:
-        columns = [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())]
-        counts.clear()
-        return pa.record_batch(columns, names=["word", "n"])
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > CACHED_WORDS:
+            self.clear()
+        value = self[word] = xxhash.xxh64_intdigest(word)
+        return value
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A one-to-one scrambling of 64-bit numbers."""
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33))
 
+
+@dataclass
+class Positions:
+    """Every token of some texts: its n-grams of one to three words and its contexts."""
+
+    first: np.ndarray  # places at which the texts start
+    train: np.ndarray  # place -> whether it counts
+    later: np.ndarray  # places that are not a text's first, which have two-word contexts
+    grams: list[np.ndarray]  # keys by size; those of three words for `later` alone
+    before: np.ndarray  # the word before, START at the first
+
+    @classmethod
+    def of(cls, texts: pa.ChunkedArray, train: np.ndarray, known: Hashes, bits: int) -> Positions:
+        end, look = known[END], known.__getitem__
+        parts, sizes = [], []
+        for text in texts:
+            words = tokens(text.as_py())
+            own = np.fromiter(map(look, words), np.uint64, len(words))
+            parts += [own, np.array([end], np.uint64)]
+            sizes.append(len(words) + 1)
+        symbols = np.concatenate(parts)
+        first = np.cumsum([0, *sizes[:-1]])
+        before = np.concatenate(([START], symbols[:-1]))
+        before[first] = START
+        later = np.ones(len(symbols), bool)
+        later[first] = False
+        later = np.flatnonzero(later)
+        pair = mixed(before * _PAIR + symbols)
+        triple = mixed(pair[later - 1] * _TRIPLE + symbols[later])
+        cut = np.uint64(64 - bits)
+        return cls(first, np.repeat(train, sizes), later, [symbols, pair >> cut, triple >> cut], before)
+
+
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+    """Neighbouring rows of one portion, in pieces of bounded size."""
+    held: list[pa.RecordBatch] = []
+    at, room = None, 0
     for batch in batches:
-        for text in batch.column("text"):
-            counts.update(tokens(text.as_py()))
-            counts[END] += 1
-            if len(counts) > 400_000:
-                yield emit()
-    yield emit()
+        own = batch.column("_fl_portion").to_numpy()
+        cuts = [0, *(np.flatnonzero(own[1:] != own[:-1]) + 1).tolist(), len(own)]
+        for a, b in pairwise(cuts):
+            if a == b:
+                continue
+            if held and (own[a] != at or room > PIECE_BYTES):
+                yield at, pa.Table.from_batches(held)
+                held, room = [], 0
+            part = batch.slice(a, b - a)
+            at, room = int(own[a]), room + part.nbytes
+            held.append(part)
+    if held:
+        yield at, pa.Table.from_batches(held)
 
 
-def word_counts(train: DataFrame) -> DataFrame:
-    """word and c for every token of the training texts, the end included."""
-    partial = train.select("text").mapInArrow(_count_words, "word binary, n long")
-    return stored(partial.groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers as planes of bytes: planes of zeros vanish in any compression."""
+    return np.ascontiguousarray(numbers.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
-def most_frequent(counts: DataFrame, most: int) -> tuple[list[bytes], np.ndarray]:
-    """At most `most` words, the commonest, and their counts; the end comes first.
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<i8").reshape(-1)
 
-    A histogram of counts in sixteenths of a doubling gives the bound below
-    which words would be too many, so no task sorts them all.
-    """
-    rows = counts.where((F.octet_length("word") <= HOT_BYTES) & (F.octet_length("word") > 0))
-    step = F.floor(F.log2("c") * 16)
-    bins = rows.groupBy(step.alias("step")).agg(F.count("*").alias("n"), F.min("c").alias("least"))
-    bound, total = None, 0
-    for row in sorted(bins.collect(), key=lambda r: -r["step"]):  # a few hundred rows
-        total += row["n"]
-        if total > most:
-            break
-        bound = row["least"]
-    if bound is None:
-        rows = rows.where("false")
-    else:
-        rows = rows.where(F.col("c") >= bound)
-    found = rows.select("word", "c").toPandas().sort_values(["c", "word"], ascending=[False, True])
-    ends = counts.where(F.octet_length("word") == 0).agg(F.sum("c")).first()[0] or 0
-    words = [END, *map(bytes, found["word"])]
-    return words, np.array([ends, *found["c"]], np.int64)
-
-
-class Ranks(dict):
-    """Word to rank; words not at hand share the rank after the last."""
-
-    def __init__(self, words: list[bytes]):
-        super().__init__(zip(words, range(len(words)), strict=True))
-        self.beyond = len(words)
 
-    def __missing__(self, word: bytes) -> int:
-        return self.beyond
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys by their differences."""
+    return packed(np.diff(keys, prepend=np.uint64(0)).view(np.int64))
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        """Ranks of the words and of the end, which has rank zero."""
-        found = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        return np.append(found, 0)
 
+def unpacked_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data).view(np.uint64), dtype=np.uint64)
 
-def contexts(symbols: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
-    """The symbols one and two places before each."""
-    padded = np.concatenate(([start, start], symbols))
-    return padded[1:-1], padded[:-2]
 
+def summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Sorted distinct keys and the sums of the values at each."""
+    if not len(keys):
+        return keys, *values
+    order = np.argsort(keys)
+    keys = keys[order]
+    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return keys[starts], *[np.add.reduceat(v[order], starts) for v in values]
 
-def successor_counts(train: DataFrame, words: list[bytes], used: int) -> DataFrame:
-    """size, context, symbol and n of contexts made of symbols alone.
 
-    Ranks below `used` are symbols, `used` is any other word, `used` + 1 stands
-    before the first word. A context is its symbols as digits.
-    """
-    shared = train.sparkSession.sparkContext.broadcast(words)
-    width = used + 2
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = Ranks(shared.value)
-        held: list[list[np.ndarray]] = [[], []]
-        room = 0
-
-        def emit() -> Iterator[pa.RecordBatch]:
-            for size, parts in enumerate(held, start=1):
-                if parts:
-                    keys, n = np.unique(np.concatenate(parts), return_counts=True)
-                    sizes = pa.array(np.full(len(keys), size, np.int32))
-                    yield pa.record_batch([sizes, pa.array(keys), pa.array(n)], names=["size", "key", "n"])
-                parts.clear()
-
-        for batch in batches:
-            for text in batch.column("text"):
-                symbols = np.minimum(ranks.of(tokens(text.as_py())), used)
-                one, two = contexts(symbols, used + 1)
-                known = one != used
-                held[0].append((one * width + symbols)[known])
-                known &= two != used
-                held[1].append(((two * width + one) * width + symbols)[known])
-                room += len(symbols)
-                if room > 4_000_000:
-                    yield from emit()
-                    room = 0
-        yield from emit()
-
-    partial = train.select("text").mapInArrow(count, "size int, key long, n long")
-    summed = partial.groupBy("size", "key").agg(F.sum("n").alias("n"))
-    return stored(
-        summed.select(
-            "size",
-            F.floor(F.col("key") / width).alias("context"),
-            F.pmod("key", F.lit(width)).cast("int").alias("symbol"),
-            "n",
-        ),
-        "successors",
+PACKET = "portion long, size int, bucket int, keys binary, numbers binary"
+REPLY = "size int, keys binary, numbers binary, portion long"
+
+
+def rows(schema: str, values: list[tuple]) -> pa.RecordBatch:
+    types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    fields = [x.split() for x in schema.split(", ")]
+    columns = list(zip(*values, strict=True)) if values else [[]] * len(fields)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(c), types[t]) for c, (_, t) in zip(columns, fields, strict=True)],
+        names=[n for n, _ in fields],
     )
 
 
 @dataclass
-class Tree:
-    """Frozen tables: words at hand with counts, one-symbol states dense, two-symbol states sparse."""
-
-    words: list[bytes]
-    count: np.ndarray
-    divisor: float  # training tokens plus distinct ones plus one
-    used: int
-    single: np.ndarray  # probabilities of the symbols without context
-    after_one: np.ndarray  # symbol before, symbol -> probability
-    state: np.ndarray  # two symbols before -> number of the state or -1
-    left: np.ndarray  # state -> mass for the shorter context
-    entry: np.ndarray  # sorted state and symbol
-    gain: np.ndarray  # discounted probability of each entry
-
-    def probability(self, symbols: np.ndarray) -> np.ndarray:
-        one, two = contexts(symbols, self.used + 1)
-        p = self.after_one[one, symbols].astype(np.float64)
-        state = self.state[two * (self.used + 2) + one]
-        at = np.flatnonzero(state >= 0)
-        if len(at):
-            s = state[at].astype(np.int64)
-            key = s * (self.used + 2) + symbols[at]
-            place = np.minimum(np.searchsorted(self.entry, key), len(self.entry) - 1)
-            direct = np.where(self.entry[place] == key, self.gain[place], 0.0)
-            p[at] = direct + self.left[s] * p[at]
-        return p
-
-
-def grow(
-    words: list[bytes], count: np.ndarray, total: int, distinct: int, used: int, rows, divergence: float
-) -> Tree:
-    """The tree of counted contexts: a frame of size, context, seen, symbol, n."""
-    width, divisor = used + 2, float(total + distinct + 1)
-    single = np.zeros(width)
-    single[:used] = (count[:used] + 1) / divisor
-    single[used] = max(1 - single[:used].sum(), 1 / divisor)
-    after_one = np.tile(single, (width, 1))
-
-    def told(counts: np.ndarray, seen: int, base: np.ndarray) -> tuple[np.ndarray, float, bool]:
-        """Discounted probabilities, the mass left, and whether the context is kept."""
-        gain = np.maximum(counts - DISCOUNT, 0) / seen
-        left = 1 - gain.sum()
-        share = counts / seen
-        apart = seen * float((share * np.log(share / base)).sum())
-        return gain, left, apart >= divergence * len(counts) * np.log(seen + 1)
-
-    groups = {k: g for k, g in rows.groupby("size")} if len(rows) else {}
-    for context, own in groups[1].groupby("context") if 1 in groups else ():
-        symbols, counts = own["symbol"].to_numpy(), own["n"].to_numpy(np.float64)
-        gain, left, kept = told(counts, int(own["seen"].iloc[0]), single[symbols])
-        if kept:
-            after_one[context] = left * single
-            after_one[context, symbols] += gain
-    state = np.full(width * width, -1, np.int32)
-    lefts, entries, gains = [], [np.zeros(0, np.int64)], [np.zeros(0)]
-    for context, own in groups[2].groupby("context") if 2 in groups else ():
-        symbols, counts = own["symbol"].to_numpy(), own["n"].to_numpy(np.float64)
-        base = after_one[context % width, symbols]
-        gain, left, kept = told(counts, int(own["seen"].iloc[0]), base)
-        if kept:
-            state[context] = len(lefts)
-            order = np.argsort(symbols)
-            entries.append(len(lefts) * width + symbols[order].astype(np.int64))
-            gains.append(gain[order])
-            lefts.append(left)
-    return Tree(
-        words, count, divisor, used, single, after_one.astype(np.float32), state,
-        np.array(lefts), np.concatenate(entries), np.concatenate(gains),
-    )
-
-
-def train(texts: DataFrame, divergence: float = 0.5) -> tuple[Tree, DataFrame, int]:
-    """The tree, all word counts, and the number of training tokens."""
-    counts = word_counts(texts)
-    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    words, count = most_frequent(counts, HOT)
-    used = min(SYMBOLS, len(words))
-    pairs = successor_counts(texts, words, used)
-    seen = pairs.groupBy("size", "context").agg(F.sum("n").alias("seen"))
-    often = seen.where(F.col("seen") * (1 << CONTEXT_BITS) >= total)
-    kept = pairs.where((F.col("n") * (1 << ENTRY_BITS) >= total) & (F.col("symbol") <= used))
-    rows = kept.join(often, ["size", "context"]).toPandas()  # at most 2^ENTRY_BITS of each size
-    return grow(words, count, total, distinct, used, rows, divergence), counts, total
-
-
-_OUT = (
-    "row long, n_tokens long, n_known long, base_score double, score double, "
-    "rare array<binary>, times array<long>"
-)
-
-
-def scored(docs: DataFrame, tree: Tree, counts: DataFrame, *keep: Column) -> DataFrame:
-    """The columns asked for, n_tokens, n_known, base_score and score of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
-    slim = docs.select(*keep, F.col("text").alias("_fl_text"))
-    kept = [f for f in slim.schema if f.name != "_fl_text"]
+class Plan:
+    """What follows from the corpus' size: bits of an n-gram's key, and buckets (a power of two)."""
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        own = shared.value
-        ranks = Ranks(own.words)
-        base_of = np.log10((own.count + 1) / own.divisor)
-        others = np.log10(own.single[own.used])
-        row = TaskContext.get().partitionId() << 40
-
-        def one(text: str | None) -> tuple:
-            nonlocal row
-            words = tokens(text)
-            rank = ranks.of(words)
-            at_hand = rank[rank < ranks.beyond]
-            rare = Counter(w for w in words if w not in ranks) if len(at_hand) < len(rank) else {}
-            base = base_of[at_hand].sum()
-            symbols = np.minimum(rank, own.used)
-            full = np.log10(own.probability(symbols)).sum()
-            # words outside the symbols: their share of the others' mass
-            outside = at_hand[at_hand >= own.used]
-            full += base_of[outside].sum() - others * int((symbols == own.used).sum())
-            known = int((own.count[at_hand] > 0).sum())
-            row += 1
-            return row, len(rank), known, base, full, list(rare), list(rare.values())
-
-        for batch in batches:
-            found = [one(t.as_py()) for t in batch.column("_fl_text")]
-            columns = list(zip(*found, strict=True)) if found else [[]] * 7
-            types = (
-                pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
-                pa.list_(pa.binary()), pa.list_(pa.int64()),
-            )
-            made = [pa.array(list(c), t) for c, t in zip(columns, types, strict=True)]
-            rest = batch.drop_columns(["_fl_text"])
-            yield pa.RecordBatch.from_arrays(
-                [*rest.columns, *made],
-                names=[*rest.schema.names, *[x.split()[0] for x in _OUT.split(", ")]],
-            )
+    bits: int
+    bucket_bits: int
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept]
-    # written once: the row numbers must not change between its two uses
-    rows = stored(slim.mapInArrow(score, ", ".join([*fields, _OUT])), "scored")
-    each = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
-        "row", F.col("x.rare").alias("word"), F.col("x.times").alias("times")
-    )
-    log = F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(tree.divisor))
-    looked_up = (
-        each.join(counts, "word", "left")
-        .groupBy("row")
-        .agg(
-            F.sum(F.col("times") * log).alias("rare_score"),
-            F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
-        )
+    def width(self, size: int) -> int:
+        """Bits of the keys of n-grams of so many words."""
+        return 64 if size == 1 else self.bits
+
+    def packets(self, portion: int, size: int, keys: np.ndarray, numbers: np.ndarray) -> list[tuple]:
+        bucket = (keys >> np.uint64(self.width(size) - self.bucket_bits)) if self.bucket_bits else keys * 0
+        cuts = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(keys)]
+        return [
+            (portion, size, int(bucket[a]), packed_keys(keys[a:b]), packed(numbers[a:b]))
+            for a, b in pairwise(cuts)
+            if a < b
+        ]
+
+
+def gathered(table: pa.Table) -> tuple[list[int], np.ndarray, np.ndarray, list[int], np.ndarray]:
+    """Portions, keys and numbers of packets, where each ends, and the sum of `numbers`' key for each.
+
+    The sum is over numbers shifted right by one where they are counts; see the callers.
+    """
+    parts = [unpacked_keys(k.as_py()) for k in table["keys"]]
+    ends = np.cumsum([0, *map(len, parts)]).tolist()
+    numbers = np.concatenate([unpacked(n.as_py()) for n in table["numbers"]])
+    keys = np.concatenate(parts)
+    _, place = np.unique(keys, return_inverse=True)
+    return table["portion"].to_pylist(), keys, numbers, ends, place
+
+
+def count_packets(plan: Plan):
+    """Each n-gram of a portion once: twice its training count, and one more where a row to score alone has it."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Hashes()
+        for portion, piece in pieces(batches):
+            train = piece["_fl_train"].to_numpy()
+            at = Positions.of(piece["_fl_text"], train, known, plan.bits)
+            for size, keys in enumerate(at.grams, start=1):
+                own = at.train if size < 3 else at.train[at.later]
+                distinct, n, others = summed(keys, own.astype(np.int64), (~own).astype(np.int64))
+                yield rows(PACKET, plan.packets(portion, size, distinct, 2 * n + (others > 0)))
+
+    return emit
+
+
+def count_replies(table: pa.Table) -> pa.Table:
+    """Counts a portion cannot tell by itself; for portion -1 the distinct n-grams and the total."""
+    portions, keys, numbers, ends, place = gathered(table)
+    size = table["size"][0].as_py()
+    total = np.bincount(place, numbers >> 1).astype(np.int64)
+    each = total[place]
+    send = (each >= 2) | ((each == 1) & (numbers & 1 == 1))
+    made = [(size, b"", packed(np.array([np.count_nonzero(total), total.sum()])), -1)]
+    for portion, (a, b) in zip(portions, pairwise(ends), strict=True):
+        own = send[a:b]
+        if own.any():
+            made.append((size, packed_keys(keys[a:b][own]), packed(each[a:b][own]), portion))
+    return pa.Table.from_batches([rows(REPLY, made)])
+
+
+def state_replies(table: pa.Table) -> pa.Table:
+    """The contexts that become states, for each portion that has them."""
+    portions, keys, numbers, ends, place = gathered(table)
+    total = np.zeros(place.max() + 1, np.int64)
+    np.add.at(total, place, numbers)
+    kept = total[place] >= 0
+    size = table["size"][0].as_py()
+    made = []
+    for portion, (a, b) in zip(portions, pairwise(ends), strict=True):
+        own = kept[a:b]
+        if own.any():
+            made.append((size, packed_keys(keys[a:b][own]), b"", portion))
+    return pa.Table.from_batches([rows(REPLY, made)])
+
+
+def answered(packets: DataFrame, replies, label: str) -> str:
+    """The folder of the replies, by portion."""
+    folder = run_dir(packets.sparkSession, label)
+    made = packets.groupBy("size", "bucket").applyInArrow(replies, REPLY)
+    made.repartition("portion").write.partitionBy("portion").parquet(folder)
+    return folder
+
+
+def replies_of(folder: str, portion: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Size to sorted keys and numbers, of one portion."""
+    from pyarrow import fs
+
+    where, path = filesystem(folder)
+    found: dict[int, tuple[list, list]] = {}
+    choice = fs.FileSelector(f"{path}/portion={portion}", allow_not_found=True)
+    for info in where.get_file_info(choice):
+        if not info.base_name.endswith(".parquet"):
+            continue
+        with where.open_input_file(info.path) as source:
+            table = pq.ParquetFile(source).read()
+        for row in table.to_pylist():
+            keys, numbers = found.setdefault(row["size"], ([], []))
+            keys.append(unpacked_keys(row["keys"]))
+            numbers.append(unpacked(row["numbers"]))
+    whole = {}
+    for size, (keys, numbers) in found.items():
+        joined = np.concatenate(keys)
+        order = np.argsort(joined)
+        values = np.concatenate(numbers)
+        whole[size] = joined[order], values[order] if len(values) else values
+    return whole
+
+
+def place_in(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each key its place in the sorted table, and whether it is there."""
+    if not len(table):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    order = np.argsort(keys)
+    inner = np.minimum(np.searchsorted(table, keys[order]), len(table) - 1)
+    place = np.empty(len(keys), np.int64)
+    place[order] = inner
+    return place, table[place] == keys
+
+
+_NOTHING = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
+@dataclass
+class Model:
+    """Where the counts and states are, and the totals."""
+
+    plan: Plan
+    total: int  # training tokens
+    distinct: int
+    texts: int  # training texts
+    divergence: float
+    counts: str
+    states: str = ""
+
+    def counted(self, at: Positions, found: dict) -> list[np.ndarray]:
+        """Training counts of the n-grams of every position."""
+        counts = []
+        for size, keys in enumerate(at.grams, start=1):
+            table, numbers = found.get(size, _NOTHING)
+            # what did not come back is once in the training texts, if in a training row
+            n = (at.train if size < 3 else at.train[at.later]).astype(np.int64)
+            place, there = place_in(table, keys)
+            n[there] = numbers[place[there]]
+            counts.append(n)
+        return counts
+
+    def seen(self, at: Positions, counts: list[np.ndarray]) -> list[np.ndarray]:
+        """How often the contexts of one and two words occur in the training texts."""
+        one = np.concatenate(([0], counts[0][:-1]))
+        one[at.first] = self.texts
+        return [one, counts[1][at.later - 1]]
+
+    def single(self, counts: list[np.ndarray]) -> np.ndarray:
+        return (counts[0] + 1) / (self.total + self.distinct + 1)
+
+    def contexts(self, at: Positions) -> list[np.ndarray]:
+        return [at.before, at.grams[1][at.later - 1]]
+
+    def state_packets(self, portion: int, at: Positions, found: dict) -> list[tuple]:
+        counts = self.counted(at, found)
+        seen = self.seen(at, counts)
+        shorter = self.single(counts)
+        made = []
+        for size, keys in enumerate(self.contexts(at), start=1):
+            train = at.train
+            if size == 2:
+                shorter, train = shorter[at.later], train[at.later]
+            n, often = counts[size], seen[size - 1]
+            told = np.zeros(len(n), np.int64)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                gain = np.log(n / (often * shorter)) - self.divergence * np.log(often + 1) / n
+                told[train] = np.rint(gain[train] * UNIT)
+            often_enough = often >= LEAST_SEEN
+            distinct, sums = summed(keys[often_enough], told[often_enough])
+            made += self.plan.packets(portion, size, distinct, sums)
+            shorter = self.smoothed(size, n, often, shorter, often_enough)
+        return made
+
+    def smoothed(
+        self, size: int, n: np.ndarray, often: np.ndarray, shorter: np.ndarray, state: np.ndarray
+    ) -> np.ndarray:
+        weight = SMOOTHING[size - 1]
+        return np.where(state, (n + weight * shorter) / (often + weight), shorter)
+
+    def logs(self, at: Positions, found: dict, states: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For every position its word's count, and both logarithms: of single words and of the tree."""
+        counts = self.counted(at, found)
+        seen = self.seen(at, counts)
+        single = self.single(counts)
+        p = single.copy()
+        for size, keys in enumerate(self.contexts(at), start=1):
+            there = place_in(states.get(size, _NOTHING)[0], keys)[1]
+            where = slice(None) if size == 1 else at.later
+            p[where] = self.smoothed(size, counts[size], seen[size - 1], p[where], there)
+        return counts[0], np.log10(single), np.log10(p)
+
+
+def located(docs: DataFrame, training: Column, per_portion: int, *keep: Column) -> DataFrame:
+    """The columns asked for, the text, whether a row counts, and its portion.
+
+    Portions are rows that lie together in a file.
+    """
+    meta = docs.metadataColumn("_metadata")
+    portion = F.xxhash64(meta["file_path"], F.floor(meta["row_index"] / per_portion)).bitwiseAND(
+        F.lit((1 << 62) - 1)
     )
-    rare_score = F.coalesce("rare_score", F.lit(0.0))
-    return rows.join(looked_up, "row", "left").select(
-        *[F.col(f"`{f.name}`") for f in kept],
-        "n_tokens",
-        (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        (F.col("base_score") + rare_score).alias("base_score"),
-        (F.col("score") + rare_score).alias("score"),
+    return docs.select(
+        *keep,
+        F.col("text").alias("_fl_text"),
+        F.coalesce(training, F.lit(True)).alias("_fl_train"),
+        portion.alias("_fl_portion"),
     )
+
+
+def in_files(docs: DataFrame) -> DataFrame:
+    """`docs` if its rows still have a place in a file, otherwise written to files."""
+    try:
+        docs.select(docs.metadataColumn("_metadata")["row_index"])
+    except AnalysisException:
+        return stored(docs, "lm-texts")
+    return docs
+
+
+def train(docs: DataFrame, training: Column, divergence: float = 0.5) -> tuple[Model, int]:
+    """The tree of the training rows, with replies for all rows of `docs`, and rows in a portion.
+
+    `docs` has to be in files (see `in_files`).
+    """
+    size = F.octet_length("text")
+    n_rows, volume, texts = docs.agg(
+        F.count("*"),
+        F.coalesce(F.sum(size), F.lit(0)),
+        F.count_if(F.coalesce(training, F.lit(True))),
+    ).first()
+    per_portion = max(1, n_rows * PORTION_BYTES // max(volume, 1))
+    reach = int(volume + n_rows).bit_length()
+    plan = Plan(min(64, max(48, reach + SPARE_BITS)), int(volume // BUCKET_BYTES).bit_length())
+    slim = located(docs, training, per_portion)
+    packets = slim.mapInArrow(count_packets(plan), PACKET)
+    counts = answered(packets, count_replies, "lm-counts")
+    spark = docs.sparkSession
+    totals = [
+        unpacked(bytes(r["numbers"]))
+        for r in spark.read.schema(REPLY).parquet(counts).where("portion = -1 AND size = 1").collect()
+    ]  # a pair of numbers from each bucket
+    distinct, total = (int(sum(t[i] for t in totals)) for i in (0, 1))
+    model = Model(plan, total, distinct, texts, divergence, counts)
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Hashes()
+        for portion, piece in pieces(batches):
+            counted = piece["_fl_train"].to_numpy()
+            at = Positions.of(piece["_fl_text"], counted, known, model.plan.bits)
+            found = replies_of(model.counts, portion)
+            yield rows(PACKET, model.state_packets(portion, at, found))
+
+    states = answered(slim.mapInArrow(emit, PACKET), state_replies, "lm-states")
+    return Model(plan, total, distinct, texts, divergence, counts, states), per_portion
+
+
+def scored(docs: DataFrame, training: Column, *keep: Column, divergence: float = 0.5) -> DataFrame:
+    """The columns asked for, n_tokens, n_known, train_tokens, base_score and score of every row.
+
+    The tree learns from the rows that `training` marks.
+    """
+    docs = in_files(docs)
+    model, per_portion = train(docs, training, divergence)
+    slim = located(docs, training, per_portion, *keep)
+    kept = [f for f in slim.schema if not f.name.startswith("_fl_")]
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Hashes()
+        for portion, piece in pieces(batches):
+            counted = piece["_fl_train"].to_numpy()
+            at = Positions.of(piece["_fl_text"], counted, known, model.plan.bits)
+            found, states = replies_of(model.counts, portion), replies_of(model.states, portion)
+            n, base, full = model.logs(at, found, states)
+            sizes = np.diff(at.first, append=len(n))
+            out = piece.drop_columns(["_fl_text", "_fl_train", "_fl_portion"]).combine_chunks()
+            made = [
+                sizes.astype(np.int64),
+                np.add.reduceat((n > 0).astype(np.int64), at.first),
+                np.full(len(sizes), model.total, np.int64),
+                np.add.reduceat(base, at.first),
+                np.add.reduceat(full, at.first),
+            ]
+            names = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+            for name, values in zip(names, made, strict=True):
+                out = out.append_column(name, pa.array(values))
+            yield from out.to_batches()
+
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept]
+    outputs = "n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return slim.mapInArrow(score, ", ".join([*fields, outputs]))

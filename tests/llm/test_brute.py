@@ -324,15 +324,89 @@ def test_lm_base_is_exact_and_model_is_better(spark, docs):
     assert sum(got[i]["score"] for i in held) > sum(got[i]["base_score"] for i in held)
 
 
-def test_tree_is_a_distribution(spark):
+class PlainTree:
+    """The suffix tree over texts, by dictionaries."""
+
+    def __init__(self, texts, divergence=0.5):
+        self.n = [Counter(), Counter(), Counter()]
+        self.starts = len(texts)
+        for words in texts:
+            own = [None, *words]
+            for i in range(1, len(own)):
+                for size in (1, 2, 3):
+                    if i + 1 - size >= (0 if size > 1 else 1):
+                        self.n[size - 1][tuple(own[i + 1 - size : i + 1])] += 1
+        self.total, self.distinct = self.n[0].total(), len(self.n[0])
+        self.states = set()
+        every = [{c for g in self.n[k] if self.seen(c := g[:-1]) >= pst.LEAST_SEEN} for k in (1, 2)]
+        self.may, told = every[0] | every[1], Counter()
+        for k in (1, 2):
+            for gram, n in self.n[k].items():
+                seen = self.seen(gram[:-1])
+                if seen >= pst.LEAST_SEEN:
+                    below = self.p(gram[1:-1], gram[-1], self.may)
+                    one = math.log(n / (seen * below)) - divergence * math.log(seen + 1) / n
+                    told[gram[:-1]] += n * round(one * pst.UNIT)
+        self.states = {c for c in told if told[c] >= 0}
+
+    def seen(self, context):
+        return self.starts if context == (None,) else self.n[len(context) - 1][context]
+
+    def p(self, context, word, states=None):
+        if not context:
+            return (self.n[0][(word,)] + 1) / (self.total + self.distinct + 1)
+        below = self.p(context[1:], word, states)
+        if context not in (self.states if states is None else states):
+            return below
+        weight = pst.SMOOTHING[len(context) - 1]
+        return (self.n[len(context)][(*context, word)] + weight * below) / (self.seen(context) + weight)
+
+    def score(self, words):
+        own = [None, *words]
+        return sum(math.log10(self.p(tuple(own[max(0, i - 2) : i]), own[i])) for i in range(1, len(own)))
+
+
+@pytest.mark.parametrize("portion", [None, 3000])
+def test_lm_score_is_that_of_the_plain_tree(spark, docs, monkeypatch, portion):
+    if portion:  # many portions and buckets
+        monkeypatch.setattr(pst, "PORTION_BYTES", portion)
+        monkeypatch.setattr(pst, "BUCKET_BYTES", 5 * portion)
+    got = answers(spark, "op4_lm_scoring")
+    words = {r["doc_id"]: [*(r["text"] or "").encode().lower().split(), b""] for r in docs}
+    tree = PlainTree([own for i, own in words.items() if not got[i]["held_out"]])
+    assert {len(c) for c in tree.states} == {1, 2} and tree.states < tree.may
+    for i, own in words.items():
+        assert got[i]["score"] == pytest.approx(tree.score(own), rel=1e-6), i
+
+
+def test_tree_is_a_distribution():
     lines = ["the cat sat on the mat", "the cat ate", "the dog sat on the cat"] * 40
-    df = spark.createDataFrame([(x,) for x in lines], "text string")
-    tree, counts, total = pst.train(df)
-    known = len(tree.words)
-    assert (tree.state >= 0).any() and counts.count() == known
-    for before in ([], [1], [1, 2], [2, 1, 3]):
-        p = [tree.probability(np.array([*before, s]))[-1] for s in range(tree.used + 1)]
-        assert sum(p) == pytest.approx(1, abs=0.02)
+    tree = PlainTree([[*x.encode().split(), b""] for x in lines])
+    words = [w for (w,) in tree.n[0]]
+    assert any(len(c) == 2 for c in tree.states)
+    for before in [(), (b"the",), (b"the", b"cat"), (None,), (None, b"the"), (b"no",), (b"no", b"the")]:
+        assert sum(tree.p(before, w) for w in [*words, b"unknown"]) == pytest.approx(1)
+
+
+def test_lm_tells_texts_that_occur_twice(spark, tmp_path):
+    """However rare its words, a text that repeats scores above one that does not."""
+    dice = random.Random(11)
+    lines = [" ".join(f"w{dice.randrange(5000)}" for _ in range(60)) for _ in range(300)]
+    rows = [(i, x) for i, x in enumerate([*lines, *lines[:20]])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    from pyspark.sql import functions as F
+
+    score = {r["doc_id"]: r["score"] - r["base_score"] for r in pst.scored(df, F.lit(True), F.col("doc_id")).collect()}
+    twice = {*range(20), *range(300, 320)}
+    assert min(score[i] for i in twice) > max(score[i] for i in score if i not in twice)
+
+
+def test_packed_keys_come_back():
+    dice = np.random.default_rng(2)
+    keys = np.unique(np.frombuffer(dice.bytes(8 * 999), "<u8"))
+    assert (pst.unpacked_keys(pst.packed_keys(keys)) == keys).all()
+    numbers = np.array([0, -1, 5, -(1 << 40), 1 << 62])
+    assert (pst.unpacked(pst.packed(numbers)) == numbers).all()
 
 
 def test_near_passages_are_found(spark):
