@@ -15,7 +15,7 @@ so a frequent n-gram costs one entry in a portion. The counts that are not plain
 from the portion itself come back to it, written by portion, and a task reads those
 of its own portions only. The sums of the divergence test travel the same way.
 
-Words are told apart by 64 bits. N-grams are told apart by `SPARE_BITS` more bits
+Words are told apart by 63 bits. N-grams are told apart by `SPARE_BITS` more bits
 than the corpus' size has, so one in 2^`SPARE_BITS` shares the counts of another.
 
 Null is the empty text, which has the end as its only token. A null `training`
@@ -32,6 +32,7 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 import xxhash
 from pyspark.errors import AnalysisException
@@ -42,36 +43,54 @@ from foreledger.llm.common import filesystem, run_dir, stored
 
 PORTION_BYTES = 16 << 20
 PIECE_BYTES = 64 << 20
+SCORED_BYTES = 4 << 20  # texts scored at a time
+HASHED_ROWS = 1024  # texts split at a time
 BUCKET_BYTES = 16 << 20
-SPARE_BITS = 20
-CACHED_WORDS = 500_000
+SPARE_BITS = 16
 SMOOTHING = (4.0, 2.0)  # weight of the shorter context, for states of one and two words
 LEAST_SEEN = 2
-UNIT = 1024  # the divergence is summed in whole parts of this
+UNIT = 256  # the divergence is summed in whole parts of this
 END = b""  # no word is empty
-START = np.uint64(0x9E3779B97F4A7C15)
+WORD_BITS = 63  # one bit is left for a flag when keys are sorted
+START = np.uint64(0x1E3779B97F4A7C15)
 _PAIR, _TRIPLE = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
-def tokens(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
-
-
-class Hashes(dict):
-    """Word to 64-bit hash, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > CACHED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
+def symbols_of(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, each text followed by the end, and the tokens of each."""
+    flat = pc.fill_null(texts, "").combine_chunks()
+    if isinstance(flat, pa.ChunkedArray):  # a table without rows, or chunks too large to join
+        flat = pa.concat_arrays([c.cast(pa.large_string()) for c in flat.chunks])
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(flat))
+    words, count = lists.flatten(), pc.list_value_length(lists).to_numpy()
+    blank = pc.equal(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+    if blank.any():  # from white space at the ends of a text
+        owner = np.repeat(np.arange(len(count)), count)
+        count = count - np.bincount(owner[blank], minlength=len(count))
+        words = words.filter(pa.array(~blank))
+    sizes = count.astype(np.int64) + 1
+    symbols = np.full(int(sizes.sum()), hashed(END), np.uint64)
+    if len(words):
+        own = words.dictionary_encode()
+        distinct = own.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False)
+        values = np.fromiter(map(hashed, distinct), np.uint64, len(distinct))
+        inner = np.ones(len(symbols), bool)
+        inner[np.cumsum(sizes) - 1] = False
+        symbols[inner] = values[own.indices.to_numpy()]
+    return symbols, sizes
+
+
+def hashed(word: bytes) -> int:
+    return xxhash.xxh64_intdigest(word) >> (64 - WORD_BITS)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
-    """A one-to-one scrambling of 64-bit numbers."""
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
+    """A one-to-one scrambling of 64-bit numbers, in place."""
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        x ^= x >> np.uint64(33)
+        x *= np.uint64(factor)
+    x ^= x >> np.uint64(33)
+    return x
 
 
 @dataclass
@@ -85,28 +104,27 @@ class Positions:
     before: np.ndarray  # the word before, START at the first
 
     @classmethod
-    def of(cls, texts: pa.ChunkedArray, train: np.ndarray, known: Hashes, bits: int) -> Positions:
-        end, look = known[END], known.__getitem__
-        parts, sizes = [], []
-        for text in texts:
-            words = tokens(text.as_py())
-            own = np.fromiter(map(look, words), np.uint64, len(words))
-            parts += [own, np.array([end], np.uint64)]
-            sizes.append(len(words) + 1)
-        symbols = np.concatenate(parts)
-        first = np.cumsum([0, *sizes[:-1]])
+    def of(cls, texts: pa.ChunkedArray, train: np.ndarray, bits: int) -> Positions:
+        some = [symbols_of(texts.slice(i, HASHED_ROWS)) for i in range(0, len(texts), HASHED_ROWS)]
+        symbols, sizes = (np.concatenate(x) for x in zip(*some, strict=True))
+        pa.default_memory_pool().release_unused()
+        first = np.cumsum(sizes) - sizes
         before = np.concatenate(([START], symbols[:-1]))
         before[first] = START
-        later = np.ones(len(symbols), bool)
-        later[first] = False
-        later = np.flatnonzero(later)
+        rest = np.ones(len(symbols), bool)
+        rest[first] = False
+        later = np.flatnonzero(rest)
         pair = mixed(before * _PAIR + symbols)
-        triple = mixed(pair[later - 1] * _TRIPLE + symbols[later])
-        cut = np.uint64(64 - bits)
-        return cls(first, np.repeat(train, sizes), later, [symbols, pair >> cut, triple >> cut], before)
+        triple = pair[later - 1]
+        triple *= _TRIPLE
+        triple += symbols[later]
+        mixed(triple)
+        pair >>= np.uint64(64 - bits)
+        triple >>= np.uint64(64 - bits)
+        return cls(first, np.repeat(train, sizes), later, [symbols, pair, triple], before)
 
 
-def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+def pieces(batches: Iterator[pa.RecordBatch], most: int = PIECE_BYTES) -> Iterator[tuple[int, pa.Table]]:
     """Neighbouring rows of one portion, in pieces of bounded size."""
     held: list[pa.RecordBatch] = []
     at, room = None, 0
@@ -116,23 +134,30 @@ def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
         for a, b in pairwise(cuts):
             if a == b:
                 continue
-            if held and (own[a] != at or room > PIECE_BYTES):
+            if held and own[a] != at:
                 yield at, pa.Table.from_batches(held)
                 held, room = [], 0
-            part = batch.slice(a, b - a)
-            at, room = int(own[a]), room + part.nbytes
-            held.append(part)
+            # some rows at a time, so that a piece may end within a portion
+            for start in range(a, b, 256):
+                part = batch.slice(start, min(256, b - start))
+                if held and room > most:
+                    yield at, pa.Table.from_batches(held)
+                    held, room = [], 0
+                at, room = int(own[a]), room + part.nbytes
+                held.append(part)
     if held:
         yield at, pa.Table.from_batches(held)
 
 
 def packed(numbers: np.ndarray) -> bytes:
-    """Numbers as planes of bytes: planes of zeros vanish in any compression."""
-    return np.ascontiguousarray(numbers.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Numbers as planes of bytes, which compress well as most are zero."""
+    planes = np.ascontiguousarray(numbers.astype("<i8", copy=False).view(np.uint8).reshape(-1, 8).T)
+    return len(numbers).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(planes, asbytes=True)
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.Codec("zstd").decompress(data[8:], n * 8), np.uint8).reshape(8, n)
     return np.ascontiguousarray(planes.T).view("<i8").reshape(-1)
 
 
@@ -145,14 +170,31 @@ def unpacked_keys(data: bytes) -> np.ndarray:
     return np.cumsum(unpacked(data).view(np.uint64), dtype=np.uint64)
 
 
-def summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+def borders(keys: np.ndarray) -> np.ndarray:
+    """Where each distinct one of the sorted keys begins."""
+    return np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+
+
+def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys and the sums of the values at each."""
-    if not len(keys):
-        return keys, *values
     order = np.argsort(keys)
     keys = keys[order]
-    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    return keys[starts], *[np.add.reduceat(v[order], starts) for v in values]
+    starts = borders(keys)
+    return keys[starts], np.add.reduceat(values[order], starts) if len(starts) else values[:0]
+
+
+def tallied(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys; twice the number in training rows, and one more where another row has it."""
+    flagged = keys << np.uint64(1)
+    flagged |= ~train
+    flagged.sort()
+    starts = borders(flagged)
+    times = np.diff(starts, append=len(flagged))
+    flagged = flagged[starts]
+    number = np.where(flagged & np.uint64(1), 1, 2 * times)
+    flagged >>= np.uint64(1)
+    starts = borders(flagged)
+    return flagged[starts], np.add.reduceat(number, starts) if len(starts) else number
 
 
 PACKET = "portion long, size int, bucket int, keys binary, numbers binary"
@@ -178,7 +220,7 @@ class Plan:
 
     def width(self, size: int) -> int:
         """Bits of the keys of n-grams of so many words."""
-        return 64 if size == 1 else self.bits
+        return WORD_BITS if size == 1 else self.bits
 
     def packets(self, portion: int, size: int, keys: np.ndarray, numbers: np.ndarray) -> list[tuple]:
         bucket = (keys >> np.uint64(self.width(size) - self.bucket_bits)) if self.bucket_bits else keys * 0
@@ -191,10 +233,7 @@ class Plan:
 
 
 def gathered(table: pa.Table) -> tuple[list[int], np.ndarray, np.ndarray, list[int], np.ndarray]:
-    """Portions, keys and numbers of packets, where each ends, and the sum of `numbers`' key for each.
-
-    The sum is over numbers shifted right by one where they are counts; see the callers.
-    """
+    """Portions, keys and numbers of packets, where each ends, and the place of each key among the distinct."""
     parts = [unpacked_keys(k.as_py()) for k in table["keys"]]
     ends = np.cumsum([0, *map(len, parts)]).tolist()
     numbers = np.concatenate([unpacked(n.as_py()) for n in table["numbers"]])
@@ -207,14 +246,12 @@ def count_packets(plan: Plan):
     """Each n-gram of a portion once: twice its training count, and one more where a row to score alone has it."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Hashes()
         for portion, piece in pieces(batches):
             train = piece["_fl_train"].to_numpy()
-            at = Positions.of(piece["_fl_text"], train, known, plan.bits)
+            at = Positions.of(piece["_fl_text"], train, plan.bits)
             for size, keys in enumerate(at.grams, start=1):
                 own = at.train if size < 3 else at.train[at.later]
-                distinct, n, others = summed(keys, own.astype(np.int64), (~own).astype(np.int64))
-                yield rows(PACKET, plan.packets(portion, size, distinct, 2 * n + (others > 0)))
+                yield rows(PACKET, plan.packets(portion, size, *tallied(keys, own)))
 
     return emit
 
@@ -235,15 +272,15 @@ def count_replies(table: pa.Table) -> pa.Table:
 
 
 def state_replies(table: pa.Table) -> pa.Table:
-    """The contexts that become states, for each portion that has them."""
+    """The contexts that do not become states, which are few, for each portion that has them."""
     portions, keys, numbers, ends, place = gathered(table)
     total = np.zeros(place.max() + 1, np.int64)
     np.add.at(total, place, numbers)
-    kept = total[place] >= 0
+    refused = total[place] < 0
     size = table["size"][0].as_py()
     made = []
     for portion, (a, b) in zip(portions, pairwise(ends), strict=True):
-        own = kept[a:b]
+        own = refused[a:b]
         if own.any():
             made.append((size, packed_keys(keys[a:b][own]), b"", portion))
     return pa.Table.from_batches([rows(REPLY, made)])
@@ -282,15 +319,25 @@ def replies_of(folder: str, portion: int) -> dict[int, tuple[np.ndarray, np.ndar
     return whole
 
 
-def place_in(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each key its place in the sorted table, and whether it is there."""
+def place_in(table: np.ndarray, keys: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each key its place in the sorted table, and whether it is there.
+
+    Keys are spread evenly over `width` bits, so their first bits lead within a few places.
+    """
     if not len(table):
         return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-    order = np.argsort(keys)
-    inner = np.minimum(np.searchsorted(table, keys[order]), len(table) - 1)
-    place = np.empty(len(keys), np.int64)
-    place[order] = inner
-    return place, table[place] == keys
+    lead = len(table).bit_length()
+    shift = np.uint64(width - lead)
+    sizes = np.bincount((table >> shift).view(np.int64), minlength=1 << lead)
+    begin = np.cumsum(sizes) - sizes
+    closed = np.append(table, np.uint64((1 << 64) - 1))
+    place = begin[(keys >> shift).view(np.int64)]
+    behind = np.flatnonzero(closed[place] < keys)
+    while len(behind):
+        place[behind] += 1
+        behind = behind[closed[place[behind]] < keys[behind]]
+    there = closed[place] == keys
+    return np.minimum(place, len(table) - 1), there
 
 
 _NOTHING = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
@@ -298,7 +345,7 @@ _NOTHING = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
 @dataclass
 class Model:
-    """Where the counts and states are, and the totals."""
+    """Where the counts and the contexts that are no states are, and the totals."""
 
     plan: Plan
     total: int  # training tokens
@@ -306,7 +353,7 @@ class Model:
     texts: int  # training texts
     divergence: float
     counts: str
-    states: str = ""
+    refused: str = ""
 
     def counted(self, at: Positions, found: dict) -> list[np.ndarray]:
         """Training counts of the n-grams of every position."""
@@ -315,7 +362,7 @@ class Model:
             table, numbers = found.get(size, _NOTHING)
             # what did not come back is once in the training texts, if in a training row
             n = (at.train if size < 3 else at.train[at.later]).astype(np.int64)
-            place, there = place_in(table, keys)
+            place, there = place_in(table, keys, self.plan.width(size))
             n[there] = numbers[place[there]]
             counts.append(n)
         return counts
@@ -358,16 +405,18 @@ class Model:
         weight = SMOOTHING[size - 1]
         return np.where(state, (n + weight * shorter) / (often + weight), shorter)
 
-    def logs(self, at: Positions, found: dict, states: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def logs(self, at: Positions, found: dict, refused: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For every position its word's count, and both logarithms: of single words and of the tree."""
         counts = self.counted(at, found)
         seen = self.seen(at, counts)
         single = self.single(counts)
         p = single.copy()
         for size, keys in enumerate(self.contexts(at), start=1):
-            there = place_in(states.get(size, _NOTHING)[0], keys)[1]
+            state = seen[size - 1] >= LEAST_SEEN
+            often = np.flatnonzero(state)
+            state[often] = ~place_in(refused.get(size, _NOTHING)[0], keys[often], self.plan.width(size))[1]
             where = slice(None) if size == 1 else at.later
-            p[where] = self.smoothed(size, counts[size], seen[size - 1], p[where], there)
+            p[where] = self.smoothed(size, counts[size], seen[size - 1], p[where], state)
         return counts[0], np.log10(single), np.log10(p)
 
 
@@ -410,7 +459,7 @@ def train(docs: DataFrame, training: Column, divergence: float = 0.5) -> tuple[M
     ).first()
     per_portion = max(1, n_rows * PORTION_BYTES // max(volume, 1))
     reach = int(volume + n_rows).bit_length()
-    plan = Plan(min(64, max(48, reach + SPARE_BITS)), int(volume // BUCKET_BYTES).bit_length())
+    plan = Plan(min(WORD_BITS, max(48, reach + SPARE_BITS)), int(volume // BUCKET_BYTES).bit_length())
     slim = located(docs, training, per_portion)
     packets = slim.mapInArrow(count_packets(plan), PACKET)
     counts = answered(packets, count_replies, "lm-counts")
@@ -423,15 +472,14 @@ def train(docs: DataFrame, training: Column, divergence: float = 0.5) -> tuple[M
     model = Model(plan, total, distinct, texts, divergence, counts)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Hashes()
         for portion, piece in pieces(batches):
             counted = piece["_fl_train"].to_numpy()
-            at = Positions.of(piece["_fl_text"], counted, known, model.plan.bits)
+            at = Positions.of(piece["_fl_text"], counted, model.plan.bits)
             found = replies_of(model.counts, portion)
             yield rows(PACKET, model.state_packets(portion, at, found))
 
-    states = answered(slim.mapInArrow(emit, PACKET), state_replies, "lm-states")
-    return Model(plan, total, distinct, texts, divergence, counts, states), per_portion
+    refused = answered(slim.mapInArrow(emit, PACKET), state_replies, "lm-refused")
+    return Model(plan, total, distinct, texts, divergence, counts, refused), per_portion
 
 
 def scored(docs: DataFrame, training: Column, *keep: Column, divergence: float = 0.5) -> DataFrame:
@@ -445,12 +493,14 @@ def scored(docs: DataFrame, training: Column, *keep: Column, divergence: float =
     kept = [f for f in slim.schema if not f.name.startswith("_fl_")]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Hashes()
-        for portion, piece in pieces(batches):
+        last = None
+        for portion, piece in pieces(batches, SCORED_BYTES):
+            if portion != last:
+                found, refused = replies_of(model.counts, portion), replies_of(model.refused, portion)
+                last = portion
             counted = piece["_fl_train"].to_numpy()
-            at = Positions.of(piece["_fl_text"], counted, known, model.plan.bits)
-            found, states = replies_of(model.counts, portion), replies_of(model.states, portion)
-            n, base, full = model.logs(at, found, states)
+            at = Positions.of(piece["_fl_text"], counted, model.plan.bits)
+            n, base, full = model.logs(at, found, refused)
             sizes = np.diff(at.first, append=len(n))
             out = piece.drop_columns(["_fl_text", "_fl_train", "_fl_portion"]).combine_chunks()
             made = [

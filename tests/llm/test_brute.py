@@ -11,6 +11,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import xxhash
@@ -401,6 +402,23 @@ def test_lm_tells_texts_that_occur_twice(spark, tmp_path):
     assert min(score[i] for i in twice) > max(score[i] for i in score if i not in twice)
 
 
+def test_words_of_odd_texts():
+    odd = [" a  B\x0bc\x1cd\x85e ", None, "", "\t\n", "\u00c4x \u00a0 y\u2003z Q", "\r\nlast"]
+    got, sizes = pst.symbols_of(pa.chunked_array([odd[:2], odd[2:]], pa.string()))
+    words = [[*(x or "").encode().lower().split(), b""] for x in odd]
+    assert sizes.tolist() == [len(own) for own in words]
+    assert got.tolist() == [pst.hashed(w) for own in words for w in own]
+
+
+def test_places_in_a_sorted_table():
+    dice = np.random.default_rng(3)
+    keys = np.frombuffer(dice.bytes(8 * 5000), "<u8") >> np.uint64(14)
+    for size in (0, 1, 2, 3000):
+        table = np.sort(keys[:size])
+        place, there = pst.place_in(table, keys, 50)
+        assert there.sum() == size and (table[place[there]] == keys[there]).all()
+
+
 def test_packed_keys_come_back():
     dice = np.random.default_rng(2)
     keys = np.unique(np.frombuffer(dice.bytes(8 * 999), "<u8"))
