@@ -28,7 +28,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import pairwise
+from itertools import groupby, pairwise
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -379,11 +380,11 @@ class Model:
     def contexts(self, at: Positions) -> list[np.ndarray]:
         return [at.before, at.grams[1][at.later - 1]]
 
-    def state_packets(self, portion: int, at: Positions, found: dict) -> list[tuple]:
+    def told(self, at: Positions, found: dict) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Size, contexts seen often enough, and the divergence less its cost summed at each."""
         counts = self.counted(at, found)
         seen = self.seen(at, counts)
         shorter = self.single(counts)
-        made = []
         for size, keys in enumerate(self.contexts(at), start=1):
             train = at.train
             if size == 2:
@@ -394,10 +395,8 @@ class Model:
                 gain = np.log(n / (often * shorter)) - self.divergence * np.log(often + 1) / n
                 told[train] = np.rint(gain[train] * UNIT)
             often_enough = often >= LEAST_SEEN
-            distinct, sums = summed(keys[often_enough], told[often_enough])
-            made += self.plan.packets(portion, size, distinct, sums)
+            yield size, *summed(keys[often_enough], told[often_enough])
             shorter = self.smoothed(size, n, often, shorter, often_enough)
-        return made
 
     def smoothed(
         self, size: int, n: np.ndarray, often: np.ndarray, shorter: np.ndarray, state: np.ndarray
@@ -472,11 +471,17 @@ def train(docs: DataFrame, training: Column, divergence: float = 0.5) -> tuple[M
     model = Model(plan, total, distinct, texts, divergence, counts)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for portion, piece in pieces(batches):
-            counted = piece["_fl_train"].to_numpy()
-            at = Positions.of(piece["_fl_text"], counted, model.plan.bits)
+        for portion, own in groupby(pieces(batches, SCORED_BYTES), itemgetter(0)):
             found = replies_of(model.counts, portion)
-            yield rows(PACKET, model.state_packets(portion, at, found))
+            parts: dict[int, list] = {1: [], 2: []}
+            for _, piece in own:
+                counted = piece["_fl_train"].to_numpy()
+                at = Positions.of(piece["_fl_text"], counted, model.plan.bits)
+                for size, keys, sums in model.told(at, found):
+                    parts[size].append((keys, sums))
+            for size, some in parts.items():
+                keys, sums = (np.concatenate(x) for x in zip(*some, strict=True))
+                yield rows(PACKET, model.plan.packets(portion, size, *summed(keys, sums)))
 
     refused = answered(slim.mapInArrow(emit, PACKET), state_replies, "lm-refused")
     return Model(plan, total, distinct, texts, divergence, counts, refused), per_portion
