@@ -109,6 +109,10 @@ class Settings:
     # distributed window shapes: used when the source is larger than the limit
     wide: bool = False
     plain_limit_bytes: int = 256 << 20
+    # the same for windows whose few keys (version kinds, bands, weeks) share all rows: a key
+    # grows with the source, and a packed file may hold a row in less than five bytes
+    wide_few_keys: bool = False
+    few_keys_limit_bytes: int = 4 << 20
     bucket_rows: int = 500_000
     # range partitions at least; sized_by sets it so that one holds some 2 GB
     min_parts: int = 1
@@ -119,5 +123,10 @@ class Settings:
         return replace(
             self,
             wide=self.wide or size > self.plain_limit_bytes,
+            wide_few_keys=self.wide_few_keys or size > self.few_keys_limit_bytes,
             min_parts=max(self.min_parts, size >> 31),
         )
+
+    def few_keys(self) -> "Settings":
+        """The settings for windows whose few keys share all rows."""
+        return replace(self, wide=self.wide or self.wide_few_keys)

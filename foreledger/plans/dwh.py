@@ -75,7 +75,7 @@ def with_series_windows(df: DataFrame, cfg: Settings) -> DataFrame:
     frames = {name: mean(rows) for name, rows in MOVING.items()}
     frames["__prev"] = lambda w: F.lag("forecast_intensity").over(w)
     order, back = ascending(SERIES_ORDER), max(MOVING.values()) - 1
-    out = ordered(df, ["is_current_version"], order, frames, cfg, before=back)
+    out = ordered(df, ["is_current_version"], order, frames, cfg.few_keys(), before=back)
     step = value - F.col("__prev")
     return out.withColumns(
         {

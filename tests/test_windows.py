@@ -1,6 +1,7 @@
 """The wide window shapes equal the plain ones, on a hot key, ties and NULLs."""
 
 import datetime as dt
+import re
 from dataclasses import replace
 
 import pytest
@@ -16,6 +17,7 @@ from foreledger.operators.windows import (
     with_group_stats,
     with_ranks,
 )
+from foreledger.plans.dwh import with_series_windows
 from foreledger.plans.marts import with_day_comparison
 from tests.conftest import sorted_rows
 
@@ -127,3 +129,55 @@ def test_top_bottom(rows, cfg):
     assert sorted_rows(plain) == sorted_rows(wide)
     top = top_k(rows, ["k"], "v", [F.col("id").asc()], 2).filter("side = 'low'").drop("side", "rnk")
     assert sorted_rows(top) == sorted_rows(plain.filter("rnk_low <= 2").drop("rnk", "rnk_low"))
+
+
+@pytest.fixture(scope="module")
+def versions(spark):
+    """300 versions, some of the same period and moment, most of one kind, with NULL values and a NULL kind."""
+    n = F.col("id")
+    begin = F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")
+    made = begin + F.make_dt_interval(mins=(n * 37) % 900)
+    return (
+        spark.range(300)
+        .select(
+            n.alias("source_id"),
+            n.cast("string").alias("fact_key"),
+            (begin + F.make_dt_interval(mins=30 * ((n * 7) % 700))).alias("data_from_dttm"),
+            made.alias("forecast_made_at"),
+            F.when(n != 13, n % 9 == 0).alias("is_current_version"),
+            F.when(n % 17 != 0, (n * 31) % 90).cast("int").alias("forecast_intensity"),
+            F.when(n % 5 != 0, (n * 29) % 90).cast("int").alias("actual_intensity"),
+            F.when(n % 19 != 0, (n % 40).cast("double")).alias("forecast_horizon_hours"),
+            F.when(n % 3 == 0, "immediate").otherwise("short_term").alias("forecast_horizon_category"),
+            (n % 41).cast("double").alias("absolute_error"),
+            ((n % 41) * (n % 41)).cast("double").alias("squared_error"),
+            F.when(n % 23 != 0, (n % 29).cast("double")).alias("absolute_percentage_error"),
+        )
+        .cache()
+    )
+
+
+@pytest.fixture(scope="module")
+def middling(spark, tmp_path_factory):
+    """A table of some 5 MB, far below the limit of the plain shapes."""
+    path = str(tmp_path_factory.mktemp("middling"))
+    spark.range(0, 700_000, 1, 2).select(F.xxhash64("id").alias("v")).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize(
+    "step, wide_plan",
+    [
+        (with_series_windows, "Window .*__bucket"),
+    ],
+)
+def test_few_keys_are_split_early(versions, middling, cfg, step, wide_plan):
+    """No version kind of a middling table is one task's window."""
+    sized = replace(cfg, bucket_rows=110).sized_by(middling)
+    assert not sized.wide and not cfg.sized_by(versions.limit(3)).wide
+    split = step(versions, sized)
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(wide_plan, plan)
+    for line in plan.splitlines():
+        assert "Window " not in line or "__bucket" in line, line
+    assert sorted_rows(split) == sorted_rows(step(versions, cfg))
