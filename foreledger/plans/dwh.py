@@ -105,7 +105,7 @@ def with_daily_ranks(df: DataFrame, cfg: Settings) -> DataFrame:
             "daily_intensity_rank": ("rank", True),
             "daily_intensity_percentile": ("percent_rank", False),
         },
-        cfg,
+        cfg.few_keys(),
     )
     return ranked.withColumn(
         "daily_intensity_percentile", F.col("daily_intensity_percentile") * 100
@@ -124,7 +124,7 @@ def with_horizon_error(df: DataFrame, cfg: Settings) -> DataFrame:
         "avg_error_for_horizon": lambda w: F.avg("__gap").over(w.rowsBetween(-HORIZON_FRAME, 0))
     }
     order = ascending(MADE_ORDER)
-    out = ordered(banded, ["__band"], order, frames, cfg, before=HORIZON_FRAME)
+    out = ordered(banded, ["__band"], order, frames, cfg.few_keys(), before=HORIZON_FRAME)
     return out.drop("__band", "__gap")
 
 
@@ -139,7 +139,7 @@ def with_weekly_range(
             "weekly_min_intensity": F.min("forecast_intensity"),
             "weekly_max_intensity": F.max("forecast_intensity"),
         },
-        cfg,
+        cfg.few_keys(),
         None if source is None else source.withColumn("__week", week),
     ).drop("__week")
 
@@ -160,7 +160,7 @@ def fact(history: DataFrame, cfg: Settings) -> DataFrame:
     Histogram ranks and group aggregates come first, both read off the settled
     base rows; then one ordered pass per order.
     """
-    base = settle(fact_base(history), cfg, "fact-base")
+    base = settle(fact_base(history), cfg.few_keys(), "fact-base")
     ranged = with_weekly_range(with_daily_ranks(base, cfg), cfg, source=base)
     windowed = with_horizon_error(with_series_windows(ranged, cfg), cfg)
     return windowed.withColumns(derived_fact_cols()).withColumn("updated_at", ntz(cfg.as_of))
@@ -203,7 +203,8 @@ def with_error_windows(df: DataFrame, cfg: Settings) -> DataFrame:
         "__prev": lambda w: F.lag("absolute_error").over(w),
     }
     order = ascending(ACCURACY_ORDER)
-    out = ordered(df, ["forecast_horizon_category"], order, frames, cfg, before=DAY_ROWS - 1)
+    kinds = ["forecast_horizon_category"]
+    out = ordered(df, kinds, order, frames, cfg.few_keys(), before=DAY_ROWS - 1)
     better = F.coalesce(F.col("absolute_error") < F.col("__prev"), F.lit(False))
     return out.withColumn("is_improving", better).drop("__prev")
 
@@ -214,10 +215,10 @@ def with_weekly_error(df: DataFrame, cfg: Settings) -> DataFrame:
         weekly,
         ["__week", "forecast_horizon_category"],
         {"weekly_avg_error": F.avg("absolute_error")},
-        cfg,
+        cfg.few_keys(),
     ).drop("__week")
 
 
 def forecast_accuracy(facts: DataFrame, cfg: Settings) -> DataFrame:
-    rows = settle(accuracy_rows(facts, cfg), cfg, "accuracy")
+    rows = settle(accuracy_rows(facts, cfg), cfg.few_keys(), "accuracy")
     return with_error_windows(with_weekly_error(rows, cfg), cfg)

@@ -98,7 +98,7 @@ def facts_from(history: DataFrame, start: dt.datetime, cfg: Settings) -> DataFra
     rows before `start`: per version kind for the moving averages, per horizon
     band, in order of making, for the horizon error.
     """
-    rows = settle(fact_base(history), cfg, "fact-base")
+    rows = settle(fact_base(history), cfg.few_keys(), "fact-base")
     inside = F.col("data_from_dttm") >= ntz(start)
     wanted = rows.filter(inside)
 

@@ -17,7 +17,14 @@ from foreledger.operators.windows import (
     with_group_stats,
     with_ranks,
 )
-from foreledger.plans.dwh import with_series_windows
+from foreledger.plans.dwh import (
+    with_daily_ranks,
+    with_error_windows,
+    with_horizon_error,
+    with_series_windows,
+    with_weekly_error,
+    with_weekly_range,
+)
 from foreledger.plans.marts import with_day_comparison
 from tests.conftest import sorted_rows
 
@@ -169,10 +176,15 @@ def middling(spark, tmp_path_factory):
     "step, wide_plan",
     [
         (with_series_windows, "Window .*__bucket"),
+        (with_horizon_error, "Window .*__bucket"),
+        (with_error_windows, "Window .*__bucket"),
+        (with_daily_ranks, "Join"),
+        (with_weekly_range, "Join"),
+        (with_weekly_error, "Join"),
     ],
 )
 def test_few_keys_are_split_early(versions, middling, cfg, step, wide_plan):
-    """No version kind of a middling table is one task's window."""
+    """No version kind, band, category, day or week of a middling table is one task's window."""
     sized = replace(cfg, bucket_rows=110).sized_by(middling)
     assert not sized.wide and not cfg.sized_by(versions.limit(3)).wide
     split = step(versions, sized)
