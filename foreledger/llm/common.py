@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,6 +48,21 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, label)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Within, a query's shuffle files are dropped as it ends, not when the driver next collects garbage.
+
+    For writes only: a frame run again after this would have to shuffle anew.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def words_of(text: Column) -> Column:
     """Array of the words of a text; no words for a null or blank one."""
     inner = F.btrim(text, F.lit(SPACE))

@@ -40,7 +40,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foreledger.llm.common import filesystem, run_dir, stored
+from foreledger.llm.common import filesystem, run_dir, shuffles_freed, stored
 
 PORTION_BYTES = 16 << 20
 PIECE_BYTES = 64 << 20
@@ -150,25 +150,52 @@ def pieces(batches: Iterator[pa.RecordBatch], most: int = PIECE_BYTES) -> Iterat
         yield at, pa.Table.from_batches(held)
 
 
+def packed_planes(numbers: np.ndarray) -> bytes:
+    """Unsigned numbers as planes of bytes, each compressed by itself, as plain if that is shorter.
+
+    Together the planes would share one code, though some are random and some nearly constant.
+    """
+    planes = np.ascontiguousarray(numbers.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8).T)
+    codec, sizes, parts = pa.Codec("zstd", 1), [len(numbers)], []
+    for plane in planes:
+        part = codec.compress(plane, asbytes=True) if plane.any() else b""
+        parts.append(part if len(part) < len(plane) else plane.tobytes())
+        sizes.append(len(parts[-1]))
+    return np.array(sizes, "<u4").tobytes() + b"".join(parts)
+
+
+def unpacked_planes(data: bytes) -> np.ndarray:
+    if not data:
+        return np.zeros(0, np.uint64)
+    n, *sizes = np.frombuffer(data, "<u4", 9).tolist()
+    codec, at = pa.Codec("zstd"), 36
+    planes = np.zeros((8, n), np.uint8)
+    for plane, size in zip(planes, sizes, strict=True):
+        part = data[at : at + size]
+        at += size
+        if size:
+            plane[:] = np.frombuffer(part if size == n else codec.decompress(part, n), np.uint8)
+    return np.ascontiguousarray(planes.T).view("<u8").reshape(-1)
+
+
 def packed(numbers: np.ndarray) -> bytes:
-    """Numbers as planes of bytes, which compress well as most are zero."""
-    planes = np.ascontiguousarray(numbers.astype("<i8", copy=False).view(np.uint8).reshape(-1, 8).T)
-    return len(numbers).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(planes, asbytes=True)
+    """Numbers, the sign in the lowest bit so that high planes of small ones are empty."""
+    numbers = numbers.astype(np.int64, copy=False)
+    return packed_planes(((numbers << 1) ^ (numbers >> 63)).view(np.uint64))
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    n = int.from_bytes(data[:8], "little")
-    planes = np.frombuffer(pa.Codec("zstd").decompress(data[8:], n * 8), np.uint8).reshape(8, n)
-    return np.ascontiguousarray(planes.T).view("<i8").reshape(-1)
+    folded = unpacked_planes(data)
+    return (folded >> np.uint64(1)).view(np.int64) ^ -(folded & np.uint64(1)).view(np.int64)
 
 
 def packed_keys(keys: np.ndarray) -> bytes:
     """Sorted keys by their differences."""
-    return packed(np.diff(keys, prepend=np.uint64(0)).view(np.int64))
+    return packed_planes(np.diff(keys, prepend=np.uint64(0)))
 
 
 def unpacked_keys(data: bytes) -> np.ndarray:
-    return np.cumsum(unpacked(data).view(np.uint64), dtype=np.uint64)
+    return np.cumsum(unpacked_planes(data), dtype=np.uint64)
 
 
 def borders(keys: np.ndarray) -> np.ndarray:
@@ -288,10 +315,15 @@ def state_replies(table: pa.Table) -> pa.Table:
 
 
 def answered(packets: DataFrame, replies, label: str) -> str:
-    """The folder of the replies, by portion."""
-    folder = run_dir(packets.sparkSession, label)
-    made = packets.groupBy("size", "bucket").applyInArrow(replies, REPLY)
-    made.repartition("portion").write.partitionBy("portion").parquet(folder)
+    """The folder of the replies, by portion.
+
+    Written before they are dealt, so that the disk never holds the packets' shuffle and both copies.
+    """
+    spark = packets.sparkSession
+    folder = run_dir(spark, label)
+    with shuffles_freed(spark):
+        made = stored(packets.groupBy("size", "bucket").applyInArrow(replies, REPLY), f"{label}-made")
+        made.repartition("portion").write.partitionBy("portion").parquet(folder)
     return folder
 
 

@@ -427,6 +427,21 @@ def test_packed_keys_come_back():
     assert (pst.unpacked(pst.packed(numbers)) == numbers).all()
 
 
+def test_packed_numbers_take_little_room():
+    """Keys cost what their spread tells, small numbers of either sign no more than they are wide."""
+    dice = np.random.default_rng(5)
+    keys = np.unique(dice.integers(0, 1 << 42, 27_000, dtype=np.uint64))
+    told = 42 - np.log2(len(keys)) + np.log2(np.e)
+    assert len(pst.packed_keys(keys)) * 8 < 1.02 * told * len(keys)
+    sums = np.rint(dice.normal(0, 300, 14_000)).astype(np.int64)
+    assert len(pst.packed(sums)) < 1.4 * len(sums)
+    for some in (keys[:0], keys[:1], keys):
+        assert (pst.unpacked_keys(pst.packed_keys(some)) == some).all()
+    ends = np.array([-(1 << 63), (1 << 63) - 1, -1, 0])
+    for some in (sums, sums[:0], ends):
+        assert (pst.unpacked(pst.packed(some)) == some).all()
+
+
 def test_near_passages_are_found(spark):
     """Windows with words changed: what brute force over all windows finds is found."""
     dice = random.Random(5)
