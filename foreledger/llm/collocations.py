@@ -7,8 +7,9 @@ into the others before and kept beside them, which can be undone as well. The fi
 bits of a key are the quotient, the others the remainder, kept whole. A filter is the
 sorted keys of a shard: a bit per quotient that occurs, a bit per slot that ends a run,
 remainders in as few bytes as they need, one byte per counter with larger ones apart. Filters are cut by
-ranges of quotients and merged in key order across shards, so no two phrases share a
-counter. Phrases of k words are counted where both phrases of k - 1 words in them may be
+ranges of quotients, as many as a language's words need, and merged in key order across
+shards, so no two phrases share a counter. A task holds `SHARD` phrases before it writes
+them and `RANGE_TOKENS` before it merges them, at any size. Phrases of k words are counted where both phrases of k - 1 words in them may be
 frequent: the occupied quotients of those, a bitmap of fixed size, let every frequent
 one through.
 
@@ -26,9 +27,11 @@ from __future__ import annotations
 import struct
 from collections import Counter
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,10 +44,13 @@ AT_HAND = 1 << 20
 BITS = 21  # of a word's number
 OTHER = (1 << BITS) - 1  # a word that may be frequent and is not at hand
 CELLS = 1 << 22  # bits of a bitmap
-SHARD = 1 << 21  # keys a task holds before it writes a filter
-RANGE_TOKENS = 4 << 20
+SHARD = 1 << 20  # different phrases a task holds before it writes filters of them
+WORDS = 1 << 19  # different words a task holds before it sends them on
+PACKET = 4 << 20  # bytes of filters sent on at a time
+RANGE_TOKENS = 2 << 20  # words of a language for each range of its quotients, at most
 PORTION = 1 << 20  # bytes of text split at a time
 MOST_RANGES = 1 << 16
+FILES = 8  # of a table much smaller than the input, unless it outgrows them
 SCALE = 2_000_000
 
 _BREAK = b"\xff"  # not a byte of UTF-8
@@ -99,8 +105,8 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lang, words in _by_lang(batch):
             counts.setdefault(lang, Counter()).update(words)
-        if sum(map(len, counts.values())) > SHARD // 4:
-            yield from flush()
+            if sum(map(len, counts.values())) > WORDS:
+                yield from flush()
     yield from flush()
 
 
@@ -130,18 +136,31 @@ Filter = tuple[np.ndarray, np.ndarray, np.ndarray]  # keys, last words of four,
 
 
 def merge(parts: list[Filter]) -> Filter:
-    """Sorted different keys and the sums of their counts."""
-    keys, last, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+    """Sorted different keys and the sums of their counts; `parts` is emptied to make room."""
+    columns = [list(x) for x in zip(*parts, strict=True)]
+    parts.clear()
+
+    def joined(column: list[np.ndarray]) -> np.ndarray:
+        whole = column[0] if len(column) == 1 else np.concatenate(column)
+        column.clear()
+        return whole
+
+    keys, last = joined(columns[0]), joined(columns[1])
     if not len(keys):
-        return keys, last, counts
+        return keys, last, joined(columns[2])
     order = np.argsort(keys)
-    same = keys[order[1:]] == keys[order[:-1]]
-    if (same & (last[order[1:]] != last[order[:-1]])).any():  # equal keys of four different words
+    last = last[order]
+    by_key = keys[order]
+    same = by_key[1:] == by_key[:-1]
+    if (same & (last[1:] != last[:-1])).any():  # equal keys of four different words
+        last[order] = last.copy()
         order = np.lexsort((last, keys))
-        same = keys[order[1:]] == keys[order[:-1]]
-    keys, last, counts = keys[order], last[order], counts[order]
+        last, by_key = last[order], keys[order]
+        same = by_key[1:] == by_key[:-1]
     first = np.flatnonzero(np.append(True, ~(same & (last[1:] == last[:-1]))))
-    return keys[first], last[first], np.add.reduceat(counts, first)
+    keys, last = by_key[first], last[first]
+    del by_key, same
+    return keys, last, np.add.reduceat(joined(columns[2])[order], first)
 
 
 def pack_filter(keys: np.ndarray, last: np.ndarray, counts: np.ndarray, prefix: int) -> bytes:
@@ -158,7 +177,7 @@ def pack_filter(keys: np.ndarray, last: np.ndarray, counts: np.ndarray, prefix:
     fourth = bool(last.any())
 
     def low_bytes(values: np.ndarray, size: int) -> bytes:
-        return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(m, 8)[:, :size]).tobytes()
+        return values.astype("<u8", copy=False).view(np.uint8).reshape(m, 8)[:, :size].tobytes()
 
     large = counts >= 255
     return b"".join(
@@ -192,7 +211,7 @@ def unpack_filter(raw: bytes, prefix: int, part: int) -> Filter:
     occupied = np.unpackbits(take(-(-(1 << q_bits) // 8), "u1"), count=1 << q_bits)
     run_end = np.unpackbits(take(-(-m // 8), "u1"), count=m).astype(np.int64)
     remainder = numbers(-(-r_bits // 8))
-    last = numbers(3) if fourth else np.zeros(m, np.uint64)
+    last = numbers(3).astype(np.uint32) if fourth else np.zeros(m, np.uint32)
     counts = take(m, "u1").astype(np.int64)
     large = counts == 255
     counts[large] = take(8 * int(large.sum()), "<i8")
@@ -206,13 +225,15 @@ def key_of(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     key = words[0].astype(np.uint64)
     for more in words[1:3]:
         key = key << np.uint64(BITS) | more.astype(np.uint64)
-    last = words[3].astype(np.uint64) if len(words) > 3 else np.zeros(len(key), np.uint64)
-    return permute(key ^ last * np.uint64(_ODD[1])), last
+    if len(words) < 4:
+        return permute(key), np.zeros(len(key), np.uint32)
+    last = words[3].astype(np.uint32)
+    return permute(key ^ last.astype(np.uint64) * np.uint64(_ODD[1])), last
 
 
 def words_in(keys: np.ndarray, last: np.ndarray, k: int) -> np.ndarray:
     """The numbers of the words of permuted keys, a row per phrase."""
-    plain = restore(keys) ^ last * np.uint64(_ODD[1])
+    plain = restore(keys) ^ last.astype(np.uint64) * np.uint64(_ODD[1])
     shifts = [np.uint64(BITS * (min(k, 3) - 1 - j)) for j in range(min(k, 3))]
     parts = [plain >> s & np.uint64(OTHER) for s in shifts] + ([last] if k > 3 else [])
     return np.stack(parts, 1).astype(np.int64)
@@ -247,8 +268,8 @@ def windows(
 class Numbers(dict):
     """Word to number; other words are OTHER if the bitmap has them and 0 if not."""
 
-    def __init__(self, known: dict[bytes, int], lang: str, rest: np.ndarray | None):
-        super().__init__(known)
+    def __init__(self, known: pa.BinaryArray, lang: str, rest: np.ndarray | None):
+        super().__init__(zip(known.to_pylist(), range(1, len(known) + 1), strict=True))
         self[_BREAK] = 0
         self.lang, self.rest = lang.encode() + b" ", rest
 
@@ -278,20 +299,20 @@ def _bitmap(cells: DataFrame) -> np.ndarray:
     return out
 
 
+def _gathered(df: DataFrame, label: str) -> DataFrame:
+    """`df` stored in few files, however many tasks made it; large parts are split again."""
+    return stored(df.hint("rebalance", FILES), label)
+
+
 def mined(
     docs: DataFrame, least: int = LEAST, at_hand: int = AT_HAND, shard: int = SHARD
 ) -> DataFrame:
     """lang, phrase, k, a, l, r, cut, score, n of every candidate that no longer one covers."""
     spark = docs.sparkSession
     slim = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
-    words = stored(
-        slim.mapInArrow(_count_words, "lang string, phrase string, f long")
-        .groupBy("lang", "phrase")
-        .agg(F.sum("f").alias("f")),
-        "words",
-    )
-    totals = stored(words.groupBy("lang").agg(F.sum("f").alias("n")), "word-totals")
-    frequent = words.where(F.col("f") >= least)
+    words = slim.mapInArrow(_count_words, "lang string, phrase string, f long")
+    words = words.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    frequent = _gathered(words.where(F.col("f") >= least), "words")
     best = Window.partitionBy("lang").orderBy(F.desc("f"), "phrase")
     common = frequent.orderBy(F.desc("f"), "lang", "phrase").limit(at_hand)
     chosen = stored(common.withColumn("id", F.row_number().over(best)), "words-at-hand")
@@ -300,30 +321,34 @@ def mined(
     rest_cells = F.expr(f"pmod(xxhash64(concat(lang, ' ', phrase)), {CELLS})").alias("cell")
     others = _bitmap(rest.select(rest_cells))
     others = others if others.any() else None
-    per: dict[str, dict[bytes, int]] = {}
     hand = chosen.select("lang", "phrase", "id").toArrow()  # at most at_hand
-    for lang, word, i in zip(*(hand[c] for c in ("lang", "phrase", "id")), strict=True):
-        per.setdefault(lang.as_py(), {})[word.as_py().encode()] = i.as_py()
-    for lang, *_ in totals.where(~F.lit(others is None)).select("lang").collect():
-        per.setdefault(lang, {})
+    hand = hand.sort_by([("lang", "ascending"), ("id", "ascending")])
+    spelling = hand["phrase"].cast(pa.binary()).combine_chunks()
+    per: dict[str, tuple[int, int]] = {}  # place of a language's words, in the order of their numbers
+    start = 0
+    for own in pc.value_counts(hand["lang"]).to_pylist():
+        per[own["values"]] = start, own["counts"]
+        start += own["counts"]
+    for lang, *_ in rest.select("lang").distinct().collect() if others is not None else ():
+        per.setdefault(lang, (0, 0))
     langs = sorted(per)
-    shared = spark.sparkContext.broadcast((langs, per, others))
+    shared = spark.sparkContext.broadcast((langs, per, spelling, others))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, per, others = shared.value
-        numbers = {x: Numbers(per[x], x, others) for x in langs}
+        langs, per, spelling, others = shared.value
+        numbers = {x: Numbers(spelling.slice(*per[x]), x, others) for x in langs}
         for batch in batches:
             for lang, found in _by_lang(batch):
                 if lang not in numbers:
                     continue
                 ids = np.fromiter(map(numbers[lang].__getitem__, found), np.uint32, len(found))
                 spelled = _spelled(found, ids) if others is not None else {}
-                m = len(spelled)
+                m, n = len(spelled), len(found) - found.count(_BREAK)
                 yield pa.record_batch(
                     [
                         pa.array([lang] * (m + 1), pa.string()),
                         pa.array([*spelled, None], pa.binary()).cast(pa.string()),
-                        pa.array([*spelled.values(), 0], pa.int64()),
+                        pa.array([*spelled.values(), n], pa.int64()),
                         pa.array([None] * m + [ids.tobytes()], pa.binary()),
                     ],
                     names=["lang", "phrase", "f", "ids"],
@@ -332,82 +357,110 @@ def mined(
     coded = stored(slim.mapInArrow(encode, "lang string, phrase string, f long, ids binary"), "coded")
     spelled = coded.where("phrase IS NOT NULL").groupBy("lang", "phrase").agg(F.sum("f").alias("a"))
     found = [spelled.where(F.col("a") >= least).select("lang", "phrase", "a")]
-    most = int(totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
-    prefix = min(MOST_RANGES, max(1, most // RANGE_TOKENS)).bit_length() - 1
+    totals = coded.where("phrase IS NULL").groupBy("lang").agg(F.sum("f").alias("n"))
+    sizes = dict(totals.collect())  # a row per language with a frequent word
+    prefixes = [prefix_of(sizes.get(x, 0)) for x in langs]
     coded_ids = coded.where("ids IS NOT NULL").select("lang", "ids")
     shorter = None
     for k in range(2, LONGEST + 1):
-        level = _counted(coded_ids, k, shared, shorter, prefix, least, shard)
+        level = _counted(coded_ids, k, shared, shorter, prefixes, least, shard)
         found.append(level.select("lang", "phrase", "a"))
         shorter = _bitmap(level)
     candidates = found[0]
     for more in found[1:]:
         candidates = candidates.unionByName(more)
-    candidates = stored(candidates.withColumn("k", F.size(F.split("phrase", " "))), "candidates")
+    candidates = _gathered(candidates.withColumn("k", F.size(F.split("phrase", " "))), "candidates")
     return _scored(candidates, frequent, totals)
 
 
+def prefix_of(n: int) -> int:
+    """Bits that tell the ranges of a language of n words apart."""
+    return (min(MOST_RANGES, max(1, -(-n // RANGE_TOKENS))) - 1).bit_length()
+
+
+def filters_of(
+    found: Iterator[tuple[int, np.ndarray, np.ndarray]], prefixes: list[int], shard: int = SHARD
+) -> Iterator[tuple[int, int, bytes]]:
+    """Language, range and filter of phrases, given as language, keys and last words.
+
+    Half a shard of phrases is held as found and then merged with those before, which are
+    written as they pass a shard.
+    """
+    merged: dict[int, Filter] = {}
+    fresh: dict[int, list[Filter]] = {}
+
+    def settle() -> None:
+        for lang in list(fresh):
+            new = [merge(fresh.pop(lang))]
+            if lang in merged:
+                new.append(merged.pop(lang))
+            merged[lang] = merge(new) if len(new) > 1 else new[0]
+            del new
+
+    def flush() -> Iterator[tuple[int, int, bytes]]:
+        for lang in list(merged):
+            keys, last, n = merged.pop(lang)
+            prefix = prefixes[lang]
+            ends = (np.arange(1, 1 << prefix).astype(np.uint64) << np.uint64(64 - prefix)) if prefix else []
+            cuts = [0, *np.searchsorted(keys, ends).tolist(), len(keys)]
+            for part, (a, b) in enumerate(pairwise(cuts)):
+                if a < b:
+                    yield lang, part, pack_filter(keys[a:b], last[a:b], n[a:b], prefix)
+
+    held = 0
+    for lang, keys, last in found:
+        fresh.setdefault(lang, []).append((keys, last, np.broadcast_to(np.int64(1), len(keys))))
+        held += len(keys)
+        if held >= shard // 2:
+            settle()
+            held = 0
+            if sum(len(x[0]) for x in merged.values()) >= shard:
+                yield from flush()
+    settle()
+    yield from flush()
+
+
 def _counted(
-    coded: DataFrame, k: int, shared, shorter: np.ndarray | None, prefix: int, least: int, shard: int
+    coded: DataFrame, k: int, shared, shorter: np.ndarray | None, prefixes: list[int], least: int, shard: int
 ) -> DataFrame:
     """lang, phrase, a, cell of the phrases of k words at hand that occur `least` times."""
     allowed = coded.sparkSession.sparkContext.broadcast(shorter)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = {x: i for i, x in enumerate(shared.value[0])}
-        merged: dict[int, Filter] = {}
-        fresh: dict[int, list[Filter]] = {}
-
-        def settle() -> None:
-            for lang, new in fresh.items():
-                merged[lang] = merge([*new, merged[lang]] if lang in merged else new)
-            fresh.clear()
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for lang, (keys, last, n) in merged.items():
-                part = (keys >> np.uint64(64 - prefix)).astype(np.int64) if prefix else np.zeros(len(keys), np.int64)
-                cuts = np.flatnonzero(np.diff(part, prepend=-1))
-                for a, b in zip(cuts, np.append(cuts, len(keys))[1:], strict=True):
-                    raw = pack_filter(keys[a:b], last[a:b], n[a:b], prefix)
-                    yield pa.RecordBatch.from_pydict(
-                        {"lang": [lang], "part": [int(part[a])], "filter": [raw]},
-                        pa.schema([("lang", pa.int32()), ("part", pa.int32()), ("filter", pa.binary())]),
-                    )
-            merged.clear()
-
-        held = 0
-        for batch in batches:
-            for lang, ids in zip(batch.column("lang").to_pylist(), batch.column("ids"), strict=True):
-                own = place[lang]
-                keys, last = windows(np.frombuffer(ids.as_buffer(), np.uint32), k, own, allowed.value)
-                fresh.setdefault(own, []).append((keys, last, np.ones(len(keys), np.int64)))
-                held += len(keys)
-                if held >= shard:
-                    settle()
-                    held = 0
-                    if sum(len(x[0]) for x in merged.values()) >= shard:
-                        yield from flush()
-        settle()
-        yield from flush()
+        schema = pa.schema([("lang", pa.int32()), ("part", pa.int32()), ("filter", pa.binary())])
+
+        def found() -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+            for batch in batches:
+                for lang, ids in zip(batch.column("lang").to_pylist(), batch.column("ids"), strict=True):
+                    own = place[lang]
+                    yield own, *windows(np.frombuffer(ids.as_buffer(), np.uint32), k, own, allowed.value)
+
+        packet, size = [], 0
+        for row in filters_of(found(), prefixes, shard):
+            packet.append(row)
+            size += len(row[2])
+            if size >= PACKET:
+                yield pa.record_batch(list(zip(*packet, strict=True)), schema)
+                packet, size = [], 0
+        if packet:
+            yield pa.record_batch(list(zip(*packet, strict=True)), schema)
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, per, _ = shared.value
-        words = []
-        for x in langs:
-            own = np.empty(max(per[x].values(), default=0) + 1, object)
-            own[list(per[x].values())] = list(per[x])
-            words.append(own)
+        langs, per, spelling, _ = shared.value
         at, parts = None, []
 
         def close() -> pa.RecordBatch:
             lang = at[0]
             keys, last, n = merge(parts)
-            keys, last, n = keys[n >= least], last[n >= least], n[n >= least]
-            spelled = [b" ".join(row) for row in words[lang][words_in(keys, last, k)].tolist()]
+            often = n >= least
+            keys, last, n = keys[often], last[often], n[often]
+            places = words_in(keys, last, k).T + (per[langs[lang]][0] - 1)
+            words = [spelling.take(pa.array(own)) for own in places]
             return pa.record_batch(
                 [
                     pa.array([langs[lang]] * len(n), pa.string()),
-                    pa.array(spelled, pa.binary()).cast(pa.string()),
+                    pc.binary_join_element_wise(*words, b" ").cast(pa.string()),
                     pa.array(n, pa.int64()),
                     pa.array(cell(keys, lang).astype(np.int32)),
                 ],
@@ -421,15 +474,15 @@ def _counted(
                     if parts:
                         yield close()
                     at, parts = (lang, part), []
-                parts.append(unpack_filter(raw.as_buffer().to_pybytes(), prefix, part))
-                if sum(len(x[0]) for x in parts[1:]) > max(SHARD, len(parts[0][0])):
-                    parts = [merge(parts)]
+                parts.append(unpack_filter(raw.as_buffer().to_pybytes(), prefixes[lang], part))
+                if sum(len(x[0]) for x in parts[1:]) > max(SHARD, len(parts[0][0])) // 2:
+                    parts.append(merge(parts))
         if parts:
             yield close()
 
     filters = coded.mapInArrow(count, "lang int, part int, filter binary")
     ordered = filters.repartition("lang", "part").sortWithinPartitions("lang", "part")
-    return stored(ordered.mapInArrow(combine, "lang string, phrase string, a long, cell int"), f"phrases-{k}")
+    return _gathered(ordered.mapInArrow(combine, "lang string, phrase string, a long, cell int"), f"phrases-{k}")
 
 
 def _scored(candidates: DataFrame, words: DataFrame, totals: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
@@ -224,3 +225,35 @@ def test_sql_on_odd_rows(spark, tmp_path):
     for name in ("op11_exact_dedup", "op12_collocations"):
         text, ok = compare(spark, db, name, QUERIES[name], ORACLE[name], str(tmp_path))
         assert ok, text
+
+
+def test_filters_are_written_in_little_memory():
+    """Three million phrases pass through a task that holds about one million of them."""
+    rng, want, pieces = np.random.default_rng(3), Counter(), 24
+
+    def found():
+        for i in range(pieces):
+            keys = rng.integers(0, 1 << 63, 1 << 17, np.uint64)
+            keys[:50] = np.arange(50)
+            want.update(dict.fromkeys(range(50), 1) if i % 2 else {})
+            yield i % 2, keys, np.zeros(len(keys), np.uint32)
+
+    held, n, seen = Counter(), 0, 0
+    tracemalloc.start(1)
+    for lang, part, raw in collocations.filters_of(found(), [3, 2]):
+        keys, _, counts = collocations.unpack_filter(raw, [3, 2][lang], part)
+        seen = max(seen, len(keys))
+        n += int(counts.sum())
+        held.update({int(k): int(c) for k, c in zip(keys[keys < 50], counts[keys < 50], strict=True)} if lang else {})
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == pieces << 17 and held == want
+    assert peak < 120 << 20 and seen <= 1 << 20
+
+
+def test_ranges_follow_the_words_of_a_language():
+    """No range has more words of a language than `RANGE_TOKENS`, up to the most ranges."""
+    for n in (0, 1, collocations.RANGE_TOKENS, collocations.RANGE_TOKENS + 1, 10**9, 10**11):
+        bits = collocations.prefix_of(n)
+        assert n <= collocations.RANGE_TOKENS << bits and (bits == 0 or n > collocations.RANGE_TOKENS << bits - 1)
+    assert 1 << collocations.prefix_of(10**15) == collocations.MOST_RANGES
